@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from specweave.llm import components, fusion, leakage, lookalikes, names, splitting, tokens
+from specweave.llm import components, fusion, leakage, lookalikes, names, scans, splitting, tokens
 
 QUERIES = {
     "p1_found": fusion.p1_found,
     "p1_fused": fusion.p1_fused,
+    "p4_found": scans.p4_found,
+    "p4_paragraphs": scans.p4_paragraphs,
     "p5_found": components.p5_found,
     "p6_found": splitting.p6_found,
     "p6_pieces": splitting.p6_pieces,
