@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +27,26 @@ def local_session(app: str = "specweave", cores: str = "*", shuffle_partitions:
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application (a plain ``import`` there needn't find it)."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="specweave-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One of the engine's Parquet tables."""
+    ship(spark)
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
