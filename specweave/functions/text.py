@@ -17,6 +17,11 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
+def extract(text: Column, pattern: Column, group: int) -> Column:
+    """A group of the first match of a pattern that differs by row; empty if there is none."""
+    return F.call_function("regexp_extract", text, pattern, F.lit(group))
+
+
 def norm(text: Column) -> Column:
     """Lower case, outer blanks removed, inner blanks single."""
     return F.regexp_replace(strip(F.lower(text)), r"(?U)\s+", " ")
@@ -48,7 +53,7 @@ def sentence_spans(text: Column) -> Column:
 
 def merged_span(text: Column, needle: Column) -> Column:
     """The stretch from the first to the last sentence with ``needle`` as a word; null if there is none."""
-    holding = F.filter(sentence_spans(text), lambda s: F.substring(text, s["start"], s["length"]).rlike(word_pattern(needle)))
+    holding = F.filter(sentence_spans(text), lambda s: F.regexp_like(F.substring(text, s["start"], s["length"]), word_pattern(needle)))
     first, last = F.try_element_at(holding, F.lit(1)), F.try_element_at(holding, F.lit(-1))
     return strip(F.substring(text, first["start"], last["start"] + last["length"] - first["start"]))
 
