@@ -6,6 +6,8 @@ themselves by name; values that are neither list nor range are ``free``.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,14 +138,17 @@ def problems(attributes: DataFrame, chunks: DataFrame) -> DataFrame:
     return rows.select("document_id", "attribute_id", said.alias("problem")).filter("problem is not null")
 
 
-def extract(chunks: DataFrame, blocks: DataFrame, lexicon: Lexicon = Lexicon(), document_titles: DataFrame | None = None) -> DataFrame:
+def extract(chunks: DataFrame, blocks: DataFrame, lexicon: Lexicon = Lexicon(), document_titles: DataFrame | None = None, scoring: dict | None = None) -> DataFrame:
     """All attribute records (kept and discarded) of a corpus: candidates, binding, counting, scoring, building."""
     found = checkpointed(block_mentions(blocks, lexicon))  # used by several steps, as are the next two
     proposed = checkpointed(candidates(chunks, blocks, lexicon, found))
     bound = checkpointed(bindings.bind(proposed, chunks, blocks, document_titles if document_titles is not None else titles(blocks), found, lexicon))
     subjects = bindings.resolved_names(blocks.select("document_id", F.col("tbl.subject_hint").alias("text")), lexicon, document_terms(blocks, lexicon))
     subjects = subjects.select("document_id", norm(F.col("entity")).alias("entity_key")).distinct()
-    scored = signals.score(signals.with_counts(bound, bindings.bind_counts(bound), subjects), lexicon)
+    given = scoring or {}
+    registry = tuple(replace(s, weight=given.get("weights", {}).get(s.name, s.weight)) for s in signals.REGISTRY)
+    counted = signals.with_counts(bound, bindings.bind_counts(bound), subjects)
+    scored = signals.score(counted, lexicon, registry, given.get("accept", signals.ACCEPT), given.get("review", signals.REVIEW))
     return first_of_each_id(build(scored, lexicon))
 
 
