@@ -400,9 +400,11 @@ class Page:
         for (_, text), label in zip(self.segs, self.labels):
             if label in ("header", "number"):
                 continue
-            if label == "break" or text.startswith("|"):
+            goes_on = bool(_CUT.fullmatch(before)) and text[:1].islower()  # a cut word overrules the labels
+            if text.startswith("|") or label == "break" and not goes_on:
                 out += ["\n", text] if out else [text]
-                before = ""
+                last = text.rsplit(None, 1)[-1]
+                before = last if _CUT.fullmatch(last) and not text.startswith("|") else ""
                 continue
             if before:
                 cut, head = _CUT.fullmatch(before), _HEAD.match(text)
