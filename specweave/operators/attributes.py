@@ -16,7 +16,7 @@ from specweave.functions.text import camel_case, head_noun, norm, strip
 from specweave.operators import binding as bindings
 from specweave.operators import signals
 from specweave.operators.candidates import block_mentions, candidates, corpus, document_terms
-from specweave.operators.cleaning import titles
+from specweave.operators.cleaning import delivered_once, titles
 from specweave.operators.signals import cell
 from specweave.session import checkpointed, table
 from specweave.sources.lexicons import Lexicon, lookup
@@ -190,9 +190,26 @@ def q_names(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "attributes").select("record_id", camel_case(F.col("display_name")).alias("camel"), head_noun(F.col("display_name")).alias("head"))
 
 
+def q_ids(spark: SparkSession, root: str) -> DataFrame:
+    """Content ids of the given attributes' place and words."""
+    made = content_id("attr-", F.col("source_document"), F.col("source_chunk"), F.col("attribute_name"), F.col("source_text"))
+    return table(spark, root, "attributes").select("record_id", made.alias("made_id"))
+
+
+def q_dedup_given(spark: SparkSession, root: str) -> DataFrame:
+    """Survivors among the given attributes with a usable confidence, first deliveries only."""
+    a = delivered_once(table(spark, root, "attributes"), ["attribute_id"]).filter("confidence is not null and not isnan(confidence) and score.route is not null")
+    slim = a.select(F.col("source_document").alias("document_id"), "entity", "attribute_name", "attribute_id", "display_name", "aliases", "evidence", "confidence", "score", F.col("record_id").alias("cand"))
+    kept = dedup(slim.withColumn("aliases", F.coalesce("aliases", F.array().cast("array<string>"))).withColumn("evidence", F.coalesce("evidence", F.array().cast(slim.schema["evidence"].dataType))))
+    return kept.select("document_id", "entity", "attribute_name", "attribute_id")
+
+
 _NOUNS = "case head " + " ".join(f"when '{n}' then '{k}'" for n, k in Lexicon().noun_kinds().items() if k in ("measure", "identifier")) + " end"
-QUERIES = {"bindings": q_bindings, "routed_attributes": q_routed, "signal_hits": q_signal_hits, "dedup_attributes": q_dedup, "units_domains_types": q_units_domains, "camel_and_head_names": q_names}
+QUERIES = {"bindings": q_bindings, "routed_attributes": q_routed, "signal_hits": q_signal_hits, "dedup_attributes": q_dedup, "units_domains_types": q_units_domains, "camel_and_head_names": q_names, "attribute_ids": q_ids, "dedup_given_attributes": q_dedup_given}
 ORACLES = {
+    "attribute_ids": "select record_id, 'attr-' || left(sha256(coalesce(source_document, '') || '|' || coalesce(source_chunk, '') || '|' || coalesce(attribute_name, '') || '|' || coalesce(source_text, '')), 16) as made_id from attributes",
+    "dedup_given_attributes": """with a as (select * from attributes where record_id in (select min(record_id) from attributes group by attribute_id) and confidence is not null and not isnan(confidence) and score.route <> 'discard')
+select source_document as document_id, entity, attribute_name, attribute_id from a qualify row_number() over (partition by source_document, entity, attribute_name order by confidence desc, attribute_id desc) = 1""",
     "camel_and_head_names": r"""with t as (select record_id, regexp_extract_all(display_name, '[A-Za-z0-9]+') as x, trim(regexp_replace(display_name, '\([^)]*\)', '', 'g')) as bare from attributes)
 select record_id, array_to_string(list_transform(x, lambda w, i: case when i = 1 then lower(w) when length(w) > 1 and w = upper(w) and regexp_matches(w, '[A-Z]') then upper(w[1]) || lower(w[2:]) else upper(w[1]) || w[2:] end), '') as camel,
   lower(coalesce(regexp_extract_all(bare, '[A-Za-z0-9'']+')[-1], bare)) as head from t""",

@@ -6,13 +6,13 @@ the lowest id counts; everything is within one document.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specweave.functions.keys import content_id
+from specweave.functions.keys import content_id, id_key
 from specweave.functions.text import norm
 from specweave.operators import quality
-from specweave.session import checkpointed
+from specweave.session import checkpointed, table
 from specweave.operators.duplicates import given_entities
 from specweave.sources.lexicons import Lexicon
 
@@ -43,8 +43,7 @@ def judged(attributes: DataFrame, entities: DataFrame, cents: DataFrame, decisio
         F.when(F.col("_name").isNull(), F.lit("dangling")).when(F.col("_entity").isNull(), F.lit("unresolved_entity")).when(F.col("canonical_id").isNull(), F.lit("no_canonical_group"))
         .when(~F.coalesce(eligible, F.lit(False)), F.lit("ineligible_entity")).when(~F.coalesce(score >= MIN_CONFIDENCE, F.lit(False)), F.lit("below_min_confidence")).when(~together, F.lit("no_cooccurrence"))
     )
-    words = F.concat_ws(" ", said, F.col("source_text"))
-    relation = F.when(words.rlike(CONSTRAINT), F.lit("constrains")).when(F.col("binding.scope").isin(*OWNING), F.lit("has_attribute")).otherwise(F.lit("references"))
+    relation = relationship(said, F.col("source_text"), F.col("binding.scope"))
     own = F.transform(F.filter("evidence", lambda e: (e["chunk_id"] == F.col("source_chunk")) & F.contains("_text", e["text"])), lambda e: F.struct(e["chunk_id"].alias("chunk_id"), e["text"].alias("text")))
     bound = F.when((said != "") & F.contains("_text", said), F.array(F.struct(F.col("source_chunk").alias("chunk_id"), said.alias("text")))).otherwise(F.array().cast("array<struct<chunk_id:string,text:string>>"))
     return a.withColumn("rejection", why).withColumn("relationship_type", relation).withColumn("mapping_confidence", F.round(score, 6)).withColumn("supporting", F.array_sort(F.array_distinct(F.concat(F.coalesce(own, bound), bound))))
@@ -79,5 +78,25 @@ def q_unmapped(spark: SparkSession, root: str) -> DataFrame:
     return unmapped(_given(spark, root))
 
 
-QUERIES = {"mappings": q_mappings, "unmapped_attributes": q_unmapped}
-ORACLES: dict[str, str] = {}
+def relationship(evidence: Column, text: Column, scope: Column) -> Column:
+    """Constraint words make a constraint, strong scopes own the attribute, others refer to it."""
+    return F.when(F.concat_ws(" ", evidence, text).rlike(CONSTRAINT), F.lit("constrains")).when(scope.isin(*OWNING), F.lit("has_attribute")).otherwise(F.lit("references"))
+
+
+def q_relationships(spark: SparkSession, root: str) -> DataFrame:
+    a = table(spark, root, "attributes")
+    return a.select("record_id", relationship(F.col("binding.evidence"), F.col("source_text"), F.col("binding.scope")).alias("relationship_type"))
+
+
+def q_unmapped_given(spark: SparkSession, root: str) -> DataFrame:
+    """Ids of the given attributes that no given mapping names."""
+    mapped = table(spark, root, "mappings").select(id_key(F.col("attribute_id")).alias("attribute_id"))
+    return table(spark, root, "attributes").select(id_key(F.col("attribute_id")).alias("attribute_id")).distinct().join(mapped, "attribute_id", "left_anti")
+
+
+QUERIES = {"mappings": q_mappings, "unmapped_attributes": q_unmapped, "relationship_types": q_relationships, "unmapped_given_attributes": q_unmapped_given}
+ORACLES = {
+    "relationship_types": r"""select record_id, case when regexp_matches(concat_ws(' ', binding.evidence, source_text), '\b(SHALL|MUST|SHOULD|REQUIRED)\b') then 'constrains'
+  when binding.scope in ('table_subject', 'nearest_heading', 'syntactic') then 'has_attribute' else 'references' end as relationship_type from attributes""",
+    "unmapped_given_attributes": "select distinct lower(trim(attribute_id)) as attribute_id from attributes where lower(trim(attribute_id)) not in (select lower(trim(attribute_id)) from mappings where attribute_id is not null)",
+}

@@ -80,8 +80,8 @@ _BRACKET = r"[\[(]([^\[\]()|]+)[\])] *$"
 _CELL = r"^ *\|[^|]*[\[(]([^\[\]()|]+)[\])] *\|"
 
 _DIALECTS = {
-    "spark": {"r": "r", "q": "`", "g": "", "join": "array_join", "attributes": "{attributes}"},
-    "duckdb": {"r": "", "q": '"', "g": ", 'g'", "join": "array_to_string", "attributes": "attributes"},
+    "spark": {"r": "r", "q": "`", "g": "", "join": "array_join", "attributes": "{attributes}", "struct": "named_struct('field', {0}, 'common_unit', {1}, 'num', {2}, 'factor', {3}, 'offset_', {4})", "rows": "explode(array({0}))"},
+    "duckdb": {"r": "", "q": '"', "g": ", 'g'", "join": "array_to_string", "attributes": "attributes", "struct": "struct_pack(field := {0}, common_unit := {1}, num := {2}, factor := {3}, offset_ := {4})", "rows": "unnest([{0}])"},
 }
 
 
@@ -130,8 +130,13 @@ def conversion_sql(dialect: str) -> str:
         kind = f"case when {own} is not null then {own}_kind when not raw_silent then raw_kind when base is not null then base_kind else {elsewhere('kind')} end"
         factor = f"case when {own} is not null then {own}_factor when not raw_silent then raw_factor when base is not null then cast(base_factor * base_times as decimal(20,6)) else {elsewhere('factor')} end"
         offset = f"case when {silent} and base is null then {elsewhere('offset')} when {own} is not null then {own}_offset when {silent} then base_offset else raw_offset end"
-        return f"select record_id, {text(name)} as field, {kind} as common_unit, {value} as num, {factor} as factor, {offset} as offset_ from resolved"
+        return d["struct"].format(text(name), kind, value, factor, offset)
 
+    fields = [
+        field("default", number("default_raw"), "own_default"),
+        field("from", f"coalesce(from_num, {number('from_raw')})", "own_from"),
+        field("to", f"coalesce(to_num, {number('to_raw')})", "own_to"),
+    ]
     vd, q = "value_domain", d["q"]
     return f"""
 with aliases as (select * from (values {aliases}) as v(alias, kind, factor, offset_)),
@@ -154,12 +159,9 @@ taken as (
   from worded),
 t as (select *, case when from_num is null then word_from end as own_from, case when to_num is null then word_to end as own_to from taken),
 resolved as (select t.*, {units} from t {joins}),
-amounts as (
-  {field('default', number('default_raw'), 'own_default')}
-  union all {field('from', f"coalesce(from_num, {number('from_raw')})", 'own_from')}
-  union all {field('to', f"coalesce(to_num, {number('to_raw')})", 'own_to')})
-select record_id, field, common_unit, cast(round(num * factor + offset_, 0) as bigint) as amount
-from amounts where num is not null and common_unit is not null
+amounts as (select record_id, {d['rows'].format(', '.join(fields))} as x from resolved)
+select record_id, x.field as field, x.common_unit as common_unit, cast(round(x.num * x.factor + x.offset_, 0) as bigint) as amount
+from amounts where x.num is not null and x.common_unit is not null
 """
 
 
