@@ -9,6 +9,8 @@ Defined results: null names count as empty; two empty sets have overlap 0; every
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,21 +28,23 @@ DUPLICATE, POSSIBLE = 0.90, 0.70
 
 
 def _common_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence."""
-    row = [0] * (len(b) + 1)
-    for x in a:
-        before = 0
-        for j, y in enumerate(b, 1):
-            here = row[j]
-            row[j] = before + 1 if x == y else max(row[j], row[j - 1])
-            before = here
-    return row[-1]
+    """Length of the longest common subsequence, one machine word operation per character and word of bits."""
+    places: dict[str, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for y in b:
+        hit = row & places.get(y, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(a) - row.bit_count()
 
 
 def _likeness(a: str, b: str) -> float:
     return 100.0 * 2 * _common_length(a, b) / (len(a) + len(b)) if a or b else 100.0
 
 
+@lru_cache(maxsize=200_000)
 def token_set_ratio(a: str | None, b: str | None) -> float:
     """Likeness of two names as sets of words, 0 to 100: 100 if one set holds the other."""
     one, two = set((a or "").split()), set((b or "").split())
@@ -77,9 +81,15 @@ def alias_pairs(lexicon: Lexicon) -> list[tuple[str, str]]:
     return sorted({(plain(n), plain(a)) for t in tables for n, more in t.items() for a in more})
 
 
+def compared(entities: DataFrame) -> DataFrame:
+    """What pairs are compared by; trigrams are made once per entity, not once per pair."""
+    names = ["document_id", "entity_id", "entity_name", "normalized_entity_name", "entity_type", "source_chunks", "source_attributes"]
+    return entities.select(*names, shingles(F.col("supporting_evidence")).alias("shingles"))
+
+
 def pairs(entities: DataFrame) -> DataFrame:
     """Blocked pairs a < b of a document, each once; columns of both sides prefixed ``a_`` and ``b_``."""
-    e = entities.withColumn("letter", F.lower(F.substring(F.coalesce("normalized_entity_name", F.lit("")), 1, 1)))
+    e = compared(entities).withColumn("letter", F.lower(F.substring(F.coalesce("normalized_entity_name", F.lit("")), 1, 1)))
     side = lambda p: e.select([F.col(c).alias(f"{p}_{c}") for c in e.columns])
     a, b = side("a"), side("b")
     same = (F.col("a_document_id") == F.col("b_document_id")) & (F.col("a_entity_id") < F.col("b_entity_id"))
@@ -104,7 +114,7 @@ def features(paired: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFrame:
         "type_match": one(F.col("a_entity_type") == F.col("b_entity_type")),
         "chunk_overlap": jaccard(F.col("a_source_chunks"), F.col("b_source_chunks")),
         "attribute_overlap": jaccard(F.col("a_source_attributes"), F.col("b_source_attributes")),
-        "evidence_overlap": jaccard(shingles(F.col("a_supporting_evidence")), shingles(F.col("b_supporting_evidence"))),
+        "evidence_overlap": jaccard(F.col("a_shingles"), F.col("b_shingles")),
         "alias_link": one(F.coalesce("_linked", F.lit(False))),
     })
     f = f.withColumn("composite", precise_sum([F.lit(w) * F.col(c) for c, w in WEIGHTS.items()]))

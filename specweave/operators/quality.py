@@ -24,6 +24,7 @@ WEIGHT, ACCEPT, REVIEW = 0.125, 0.75, 0.50
 def closest(cents: DataFrame, lexicon: Lexicon) -> DataFrame:
     """document_id, canonical_id, nearest: the highest composite of each entity with any other of its document."""
     e = cents.select("document_id", F.col("canonical_id").alias("entity_id"), F.col("canonical_name").alias("entity_name"), F.col("normalized_name").alias("normalized_entity_name"), "entity_type", "source_chunks", "source_attributes", "supporting_evidence")
+    e = duplicates.compared(e)
     side = lambda p: e.select([F.col(c).alias(f"{p}_{c}") for c in e.columns])
     every = side("a").join(side("b"), (F.col("a_document_id") == F.col("b_document_id")) & (F.col("a_entity_id") < F.col("b_entity_id")))
     f = duplicates.features(every, lexicon)
