@@ -1,8 +1,10 @@
 """Evaluation texts leaking into training text: spaced-seed hashing.
 
 A text is a row of words (runs of letters and digits of the ``latin_form``, case aside).  Fixed masks choose some of the
-positions of every window; the hashes of the chosen words join corpus and evaluation windows even where a word at a free
-position was replaced.  Around every hit the two texts are laid over each other and compared word by word.
+positions of every window; the hashes of the chosen words join corpus and evaluation windows.  Around every hit the two
+texts are laid over each other and compared word by word.  Equal runs of 12 words are found by spaced masks.  Tolerant
+overlaps are found by every run of six words: replaced words cut an overlap of n words into at most n // 10 + 1 equal runs,
+the longest of which has six words or more for every n from 12 on.
 
 The evaluation items are the stated query set: they are indexed in blocks of at most ``BLOCK_WORDS`` words, and every
 block's index is broadcast to one pass over the corpus, so what is broadcast has a fixed bound however many items come.
@@ -36,6 +38,8 @@ MAX_REPLACED = 0.1
 BLOCK_WORDS = 500_000
 #: Fixed masks over the positions of a window (1: the word counts), each no longer than the run to be found.
 MASKS = ("111010110111", "110111010111", "101111101101")
+#: The mask of tolerant overlaps: none of at least ``MIN_RUN`` words is without so long an equal run.
+TOLERANT_MASKS = ("1" * 6,)
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -75,11 +79,12 @@ def seeds(h: np.ndarray, mask: str) -> np.ndarray:
 class SeedIndex:
     """The windows of a bounded block of evaluation items, sorted by hash."""
 
-    def __init__(self, ids: list[int], texts: list[str | None]) -> None:
+    def __init__(self, ids: list[int], texts: list[str | None], masks: tuple[str, ...] = MASKS) -> None:
         cache = _Hashes()
+        self.masks = masks
         self.ids, self.items = ids, [hashed(t, cache) for t in texts]
         self.tables = []
-        for mask in MASKS:
+        for mask in masks:
             parts = [seeds(h, mask) for h in self.items]
             value = np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
             item = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
@@ -90,7 +95,7 @@ class SeedIndex:
     def overlaps(self, h: np.ndarray) -> set[tuple[int, int]]:
         """(item, shift) of the hits in a text; ``shift`` is the text's position minus the item's."""
         found: set[tuple[int, int]] = set()
-        for mask, (value, item, at) in zip(MASKS, self.tables):
+        for mask, (value, item, at) in zip(self.masks, self.tables):
             own = seeds(h, mask)
             left = np.searchsorted(value, own, "left")
             right = np.searchsorted(value, own, "right")
@@ -147,7 +152,7 @@ def _last_at_most(level: np.ndarray, start: int, suffix_low: np.ndarray, bound:
     return lo
 
 
-def _blocks(items: DataFrame, block_words: int) -> list[SeedIndex]:
+def _blocks(items: DataFrame, block_words: int, masks: tuple[str, ...] = MASKS) -> list[SeedIndex]:
     """Indexes over the evaluation items, each of at most ``block_words`` words (or a single longer item)."""
     plain = items.select("item_id", "text").filter("text is not null")
     total = plain.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
@@ -155,7 +160,7 @@ def _blocks(items: DataFrame, block_words: int) -> list[SeedIndex]:
     out = []
     for k in range(n):
         rows = plain.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()  # bounded by block_words
-        out.append(SeedIndex([r.item_id for r in rows], [r.text for r in rows]))
+        out.append(SeedIndex([r.item_id for r in rows], [r.text for r in rows], masks))
     return out
 
 
@@ -182,7 +187,7 @@ def leaks(documents: DataFrame, items: DataFrame, tolerant: bool = False, min_ru
 
         return texts.mapInPandas(run, "doc_id bigint, item_id int, overlap int, replaced int")
 
-    found = reduce(DataFrame.unionByName, [scan(spark.sparkContext.broadcast(index)) for index in _blocks(items, block_words)])
+    found = reduce(DataFrame.unionByName, [scan(spark.sparkContext.broadcast(index)) for index in _blocks(items, block_words, TOLERANT_MASKS if tolerant else MASKS)])
     return found if tolerant else found.select("doc_id", "item_id")
 
 

@@ -4,7 +4,7 @@ import random
 import pytest
 import tiktoken
 
-from specweave.llm.leakage import leaks, longest_run, longest_tolerant, words
+from specweave.llm.leakage import MASKS, TOLERANT_MASKS, SeedIndex, hashed, leaks, longest_run, longest_tolerant, words
 from specweave.llm.lookalikes import lookalike_classes, lookalike_pairs, visual_forms
 from specweave.llm.names import mapped, normal_name, spelled_like
 from specweave.llm.splitting import split
@@ -126,6 +126,33 @@ def test_replaced_words(spark):
     assert longest_run(same) == 3 and longest_tolerant(same, 0.2) == (5, 1)[:2] or longest_tolerant(same, 0.2)[0] >= 5
 
 
+def test_no_allowed_replacement_is_missed(spark):
+    """Every choice of replaced words in overlaps of 12 to 29 words gives a seed hit; for longer ones the runs are counted."""
+    from itertools import combinations
+
+    from specweave.llm.leakage import _Hashes
+
+    cache, missed = _Hashes(), {MASKS: 0, TOLERANT_MASKS: 0}
+    for n in range(12, 30):
+        text = " ".join(f"v{i}" for i in range(n))
+        plain = hashed(text, cache)
+        for masks in missed:
+            index = SeedIndex([1], [text], masks)
+            for k in range(n // 10 + 1):
+                for places in combinations(range(1, n - 1), k):
+                    h = plain.copy()
+                    h[list(places)] += 1
+                    missed[masks] += (0, 0) not in index.overlaps(h)
+    assert missed[TOLERANT_MASKS] == 0 and missed[MASKS] > 0
+    assert all(-(-(n - n // 10) // (n // 10 + 1)) >= len(TOLERANT_MASKS[0]) for n in range(12, 5000))
+
+    cases = [(12, (4,)), (12, (9,)), (20, (7, 8)), (33, (8, 16, 25))]
+    items = [" ".join(f"i{i}v{k}" for k in range(n)) for i, (n, _) in enumerate(cases)]
+    docs = [" ".join("other" if k in places else w for k, w in enumerate(item.split())) for item, (_, places) in zip(items, cases)]
+    e = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    assert {(r.item_id, r.overlap, r.replaced) for r in leaks(documents(spark, *docs), e, tolerant=True).collect()} == {(i, n, len(p)) for i, (n, p) in enumerate(cases)}
+
+
 # -- look-alikes
 
 
