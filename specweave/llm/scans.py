@@ -35,10 +35,14 @@ TRAIN_BLOCKS = 6_000
 WORD_SHARE = 200_000
 #: A misread word is at least this much rarer than the word it stands for.
 RARER = 20
+#: A block at a page's edge of fewer characters is an edge as a whole, a longer one by its first and last line.
+SHORT_BLOCK = 160
 #: Distinct words that one task holds before it passes its counts on.
 FLUSH_WORDS = 200_000
 
 STATES = ("header", "number", "body", "break")
+#: Where a line recurs on other pages of its document: nowhere, inside of blocks only, at page edges.
+RECURS = ("", "inner", "edge")
 
 #: What scanning makes of characters (read -> meant); single characters and pairs.
 MISREAD_SYMBOLS = {"†": "t", "@": "a", "!": "i", "£": "f", "5": "sS", "0": "oO", "1": "lIi", "9": "gq", "8": "B", "6": "bG", "ü": ("ti",), "|": "lI", "$": "sS", "3": "E", "2": "Z"}
@@ -218,8 +222,8 @@ def skeleton(text: str) -> str:
     return re.sub(r"\d+", "#", " ".join(text.lower().split()))
 
 
-def features(segs: list[tuple[int, str]], edge: bool, recurs: set[str], reader: Reader) -> list[tuple]:
-    """Per segment: place, shape, recurrence and words."""
+def features(segs: list[tuple[int, str]], edge: bool, recurs: dict[str, str], reader: Reader) -> list[tuple]:
+    """Per segment: place, shape, recurrence ('edge', 'inner' or '') and words."""
     out = []
     last = segs[-1][0] if segs else 0
     first = segs[0][0] if segs else 0
@@ -244,7 +248,7 @@ def features(segs: list[tuple[int, str]], edge: bool, recurs: set[str], reader:
         else:
             shape = "short"
         ws = tuple(reader.corrected(w).lower() for w in words_of(text)[:14])
-        out.append((place, shape, skeleton(text) in recurs, ws))
+        out.append((place, shape, recurs.get(skeleton(text), ""), ws))
     return out
 
 
@@ -282,7 +286,7 @@ class LineModel:
         self.step = [[spread((step[a, b] + 1) / (sum(step[a, c] for c in STATES) + len(STATES)), 4 * len(STATES)) for b in STATES] for a in STATES]
         self.place = {p: [spread((place[s, p] + 0.5) / (total[s] + 4), places) for s in STATES] for p in {k[1] for k in place}}
         self.shape = {p: [log((shape[s, p] + 0.05) / (total[s] + 0.5)) for s in STATES] for p in {k[1] for k in shape}}
-        self.recur = {r: [spread((recur[s, r] + 0.5) / (total[s] + 1), 4) for s in STATES] for r in (False, True)}
+        self.recur = {r: [spread((recur[s, r] + 0.5) / (total[s] + 1), 4) for s in STATES] for r in RECURS}
         # how much a word speaks for a state, against its rate over all states
         self.word = {}
         for w in seen:
@@ -322,7 +326,8 @@ class LineModel:
 def self_labels(feats: list[tuple], kind: str | None) -> list[str]:
     """Labels of the segments that label themselves; '' for the others."""
     out = []
-    for place, shape, recurs, _ in feats:
+    for place, shape, where, _ in feats:
+        recurs = where == "edge"
         edge_alone = place == "edge-alone"
         if shape in ("number", "number-gap") and (edge_alone or shape == "number-gap"):
             out.append("number")
@@ -342,19 +347,49 @@ def self_labels(feats: list[tuple], kind: str | None) -> list[str]:
 # -- the operator ----------------------------------------------------------------------------------------------------
 
 
+def recurring_lines(blocks: DataFrame) -> DataFrame:
+    """record_id, recurring: the block's segments, as skeletons, that stand on two or more pages of the document, each with
+    whether they do so at page edges.
+
+    The lines of all blocks count, whatever the block's length and place, and every block that holds such a line is marked.
+    A line is at a page's edge if it belongs to a short block there, or is the first or last line of a longer one.  Only
+    hashes and places of the lines are shuffled.
+    """
+    plain = lambda c: F.regexp_replace(F.lower(F.trim(F.regexp_replace(c, r"\s+", " "))), r"\d+", "#")
+    rows = blocks.filter("document_id is not null").select(
+        "record_id", "document_id", "page", "edge", (F.char_length("text") < SHORT_BLOCK).alias("short"), F.filter(F.split("text", "\n"), lambda x: x.rlike(r"\S")).alias("lines")
+    )
+    rows = rows.withColumn("n", F.size("lines"))  # columns of their own, so that no line computes them again
+    cut = F.transform("lines", lambda x, i: F.struct((F.col("edge") & (F.col("short") | (i == 0) | (i == F.col("n") - 1))).alias("at_edge"), F.when(x.rlike(r"^\s*\|"), F.array(x)).otherwise(F.split(x, r"[ \t]{3,}")).alias("parts")))
+    segs = F.flatten(F.transform(cut, lambda x: F.transform(x["parts"], lambda part: F.struct(plain(part).alias("line"), x["at_edge"].alias("at_edge")))))
+    held = rows.select("record_id", "document_id", "page", F.filter(segs, lambda x: x["line"] != "").alias("segs"))
+    parts = held.select("record_id", "document_id", "page", F.posexplode("segs").alias("pos", "seg")).select(
+        "record_id", "document_id", "page", "pos", F.xxhash64("seg.line").alias("h"), "seg.at_edge"
+    )
+    outer = F.when(F.col("at_edge"), F.col("page"))
+    again = (
+        parts.groupBy("document_id", "h")
+        .agg(F.min("page").alias("p"), F.max("page").alias("q"), F.coalesce(F.min(outer) != F.max(outer), F.lit(False)).alias("outer"))
+        .filter("p <> q")
+        .select("document_id", "h", "outer")
+    )
+    marks = parts.select("record_id", "document_id", "pos", "h").join(again, ["document_id", "h"]).groupBy("record_id").agg(F.collect_list(F.struct("pos", "outer")).alias("marks"))
+    line = lambda m: F.struct(F.col("segs")[m["pos"]]["line"].alias("line"), m["outer"].alias("outer"))
+    return held.select("record_id", "segs").join(marks, "record_id").select("record_id", F.array_distinct(F.transform("marks", line)).alias("recurring"))
+
+
 def placed(blocks: DataFrame) -> DataFrame:
     """record_id, document_id, page, ord, kind, text, edge (first or last block of its page), recurring (skeletons of its
-    segments that stand at the edge of two or more pages of the document)."""
+    segments that stand on two or more pages of the document, by whether they do so at page edges)."""
     b = blocks.select("record_id", "document_id", "page", "ord", "kind", "text").filter("text is not null")
     ends = b.filter("document_id is not null and page is not null").groupBy("document_id", "page").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi"))
     b = b.join(ends, ["document_id", "page"], "left").withColumn("edge", F.coalesce((F.col("ord") == F.col("lo")) | (F.col("ord") == F.col("hi")), F.lit(True))).drop("lo", "hi")
-    plain = lambda c: F.regexp_replace(F.lower(F.trim(F.regexp_replace(c, r"\s+", " "))), r"\d+", "#")
-    parts = b.filter((F.col("edge") & (F.char_length("text") < 160)) & F.col("document_id").isNotNull()).select(
-        "record_id", "document_id", "page", F.explode(F.filter(F.transform(F.split("text", r"\n|[ \t]{3,}"), plain), lambda x: x != "")).alias("line")
-    )
-    again = parts.groupBy("document_id", "line").agg(F.min("page").alias("p"), F.max("page").alias("q")).filter("p <> q").select("document_id", "line")
-    marked = parts.join(again, ["document_id", "line"]).groupBy("record_id").agg(F.collect_set("line").alias("recurring"))
-    return b.join(marked, "record_id", "left")
+    return b.join(recurring_lines(b), "record_id", "left")
+
+
+def recurrences(recurring) -> dict[str, str]:
+    """Skeleton -> where it recurs, of the marks of a block."""
+    return {m["line"]: "edge" if m["outer"] else "inner" for m in recurring} if recurring is not None else {}
 
 
 def trained(rows: DataFrame, reader: Reader, train_blocks: int = TRAIN_BLOCKS) -> LineModel:
@@ -362,7 +397,7 @@ def trained(rows: DataFrame, reader: Reader, train_blocks: int = TRAIN_BLOCKS) -
     sample = rows.select("kind", "text", "edge", "recurring", F.xxhash64("record_id").alias("h")).orderBy("h").limit(train_blocks).collect()  # bounded
     sequences = []
     for r in sample:
-        feats = features(segments(r.text)[:200], r.edge, set(r.recurring or ()), reader)
+        feats = features(segments(r.text)[:200], r.edge, recurrences(r.recurring), reader)
         sequences.append((feats, self_labels(feats, r.kind)))
     return LineModel(sequences)
 
@@ -370,7 +405,7 @@ def trained(rows: DataFrame, reader: Reader, train_blocks: int = TRAIN_BLOCKS) -
 class Page:
     """Labels, defects and repaired text of one block."""
 
-    def __init__(self, text: str, edge: bool, recurring: set[str], reader: Reader, model: LineModel) -> None:
+    def __init__(self, text: str, edge: bool, recurring: dict[str, str], reader: Reader, model: LineModel) -> None:
         self.segs = segments(text)
         self.labels = model.path(features(self.segs, edge, recurring, reader))
         self.reader = reader
@@ -441,7 +476,7 @@ def _page(shared, held: list, text: str, edge: bool, recurring) -> Page:
     if not held:
         counts, model = shared.value
         held += [Reader(counts), model]
-    return Page(text, edge, set(recurring) if recurring is not None else set(), *held)
+    return Page(text, edge, recurrences(recurring), *held)
 
 
 def scan_defects(blocks: DataFrame) -> DataFrame:

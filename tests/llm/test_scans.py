@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from specweave.llm.scans import Reader, number_shape, readable_paragraphs, scan_defects, segments
+from specweave.llm.scans import Reader, number_shape, placed, readable_paragraphs, scan_defects, segments, skeleton
 
 DDL = "record_id bigint, document_id string, ord int, page int, kind string, text string, edge boolean, recurring string, lo int"
 SUBJECTS = "operator engineer planner technician customer dispatcher auditor coordinator".split()
@@ -59,3 +59,25 @@ def test_shapes():
     assert all(number_shape(t, reader) for t in ("Page 2 of 3", "- 4 -", "[ 7 ]", "xiv", "12/14", "p. 3", "Sheet 9", "— 2 —"))
     assert not any(number_shape(t, reader) for t in ("of units", "802.3ad", "35. If", "12 units"))
     assert segments("a    b\n\n| x     | y |") == [(0, "a"), (0, "b"), (2, "| x     | y |")]
+
+
+def test_recurrence_counts_lines_of_all_blocks(spark):
+    """A header merged into long or inner blocks recurs as well as one that stands alone at a page's edge."""
+    head = "Trunk handbook, revision 7"
+    rng, rows = random.Random(4), []
+    for page in range(1, 5):
+        long = "\n".join(sentence(rng) for _ in range(4))
+        rows += [
+            (page * 10, "doc-long", page * 10, page, None, f"{head}\n{long}", None, None, None),  # the first block of its page, over 160 characters
+            (page * 10 + 1, "doc-long", page * 10 + 1, page, None, "Body.", None, None, None),
+            (page * 10 + 2, "doc-inner", page * 10 + 1, page, None, f"{long}\n{head}\n{long}", None, None, None),
+            (page * 10 + 3, "doc-inner", page * 10, page, None, f"First {'abcd'[page - 1]}.", None, None, None),
+            (page * 10 + 4, "doc-inner", page * 10 + 2, page, None, f"Last {'abcd'[page - 1]}.", None, None, None),
+        ]
+    rows += [(90, "doc-mixed", 1, 1, None, head, None, None, None), (91, "doc-mixed", 2, 2, None, head, None, None, None), (92, "doc-mixed", 4, 3, None, f"{sentence(rng)}\n{head}\n{sentence(rng)}", None, None, None)]
+    rows += [(93, "doc-mixed", 3, 3, None, "First.", None, None, None), (94, "doc-mixed", 5, 3, None, "Last.", None, None, None), (95, "doc-once", 1, 1, None, head, None, None, None)]
+    marks = {r.record_id: {m.line: m.outer for m in r.recurring or ()} for r in placed(spark.createDataFrame(rows, "record_id bigint, document_id string, ord int, page int, kind string, text string, x string, y string, z string")).collect()}
+    line = skeleton(head)
+    assert all(marks[page * 10].get(line) is True and marks[page * 10 + 2].get(line) is False for page in range(1, 5))
+    assert marks[90] == marks[91] == {line: True} and marks[92] == {line: True}
+    assert marks[93] == marks[94] == marks[95] == {}
