@@ -25,10 +25,20 @@ def _compatible(names: pd.Series) -> pd.Series:
     return names.map(lambda n: unicodedata.normalize("NFKC", n) if isinstance(n, str) else n)
 
 
-def unwrap(text: Column, times: int = 4) -> Column:
-    for _ in range(times):
-        text = strip(F.regexp_replace(text, "(?s)" + _UNWRAP, "".join(f"${i}" for i in range(1, len(WRAPS) + 1))))
-    return text
+def unwrap(text: Column) -> Column:
+    """Without the quotes and brackets around it, until none is left.
+
+    Layers are taken off four at a time; what more there are, in steps over at most as many layers as the name is long.
+    """
+
+    def layer(c: Column) -> Column:
+        return strip(F.regexp_replace(c, "(?s)" + _UNWRAP, "".join(f"${i}" for i in range(1, len(WRAPS) + 1))))
+
+    few = text
+    for _ in range(4):
+        few = layer(few)
+    more = F.aggregate(F.sequence(F.lit(0), F.length(few)), few, lambda c, _: F.when(c.rlike("(?s)" + _UNWRAP), layer(c)).otherwise(c))
+    return F.when(few.rlike("(?s)" + _UNWRAP), more).otherwise(few)
 
 
 def plain_dashes(text: Column) -> Column:
@@ -94,6 +104,11 @@ def normalized(entities: DataFrame, name: str = "entity_name", aliases: dict[str
 
 
 def q_normalized_names(spark: SparkSession, root: str) -> DataFrame:
+    return normalized(table(spark, root, "entities").select("record_id", "entity_name")).select("record_id", F.col("normalized_entity_name").alias("normal"))
+
+
+def q_normalized_ascii_names(spark: SparkSession, root: str) -> DataFrame:
+    """The names that the SQL twin can follow: without any character beyond ASCII."""
     e = table(spark, root, "entities").filter(r"entity_name rlike '^[\\x00-\\x7F]*$'")
     return normalized(e.select("record_id", "entity_name")).select("record_id", F.col("normalized_entity_name").alias("normal"))
 
@@ -102,9 +117,9 @@ _WRAP_SQL = "trim(regexp_replace({0}, '^\"(.*)\"$|^''(.*)''$|^\\((.*)\\)$|^\\[(.
 _W4 = "s1"
 for _ in range(4):
     _W4 = _WRAP_SQL.format(_W4)
-QUERIES = {"normalized_names": q_normalized_names}
+QUERIES = {"normalized_names": q_normalized_names, "normalized_ascii_names": q_normalized_ascii_names}
 ORACLES = {
-    "normalized_names": rf"""with t as (select record_id, regexp_replace(regexp_replace(entity_name, '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g') as s1 from entities where regexp_matches(entity_name, '^[\x00-\x7F]*$')),
+    "normalized_ascii_names": rf"""with t as (select record_id, regexp_replace(regexp_replace(entity_name, '^\s+|\s+$', '', 'g'), '\s+', ' ', 'g') as s1 from entities where regexp_matches(entity_name, '^[\x00-\x7F]*$')),
 u as (select record_id, trim(regexp_replace(regexp_replace(trim(regexp_replace({_W4}, '[.,;:!?]+$', '')), '[-/]+', ' ', 'g'), '\s+', ' ', 'g')) as b from t),
 v as (select record_id, array_to_string(list_transform(string_split(b, ' '), lambda w: case when (w = upper(w) and regexp_matches(w, '[A-Za-z]') and length(w) > 1) or length(w) <= 3 or lower(w) in ({", ".join(repr(x) for x in NOT_PLURAL)}) or contains(w, '''') then lower(w)
   when lower(w) like '%ies' and length(w) > 4 then lower(w)[:-4] || 'y' when lower(w) like '%s' and lower(w) not like '%ss' then lower(w)[:-2] else lower(w) end), ' ') as s from u)

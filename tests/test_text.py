@@ -1,12 +1,15 @@
 import itertools
 import math
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
 from specweave.functions import numbers, text
-from specweave.operators.naming import normalized
+from specweave.operators.naming import NOT_PLURAL, QUERIES, WRAPS, alias_table, normalized
 from specweave.operators.duplicates import token_set_ratio
+from specweave.sources.lexicons import ALIASES
 from specweave.sources.markdown import blocks_of_text
 
 
@@ -44,6 +47,36 @@ def test_normal_names(spark, name, normal):
     assert (row.reasoning == "no change") == (row.normalized_entity_name == name)
 
 
+def plainly_normal(name):
+    """The steps of a normal name one by one in plain Python."""
+    if name is None:
+        return None
+    s = re.sub(r"\s+", " ", unicodedata.normalize("NFKC", name).strip())
+    while len(s) >= 2 and s[0] + s[-1] in WRAPS:
+        s = s[1:-1].strip()
+    s = re.sub(r"[.,;:!?]+$", "", s).strip()
+    s = re.sub(r"\s+", " ", re.sub("[-‐-―/]+", " ", s)).strip()
+    out = []
+    for b, f in zip(s.split(" "), s.lower().split(" ")):
+        if b.isupper() and len(b) > 1 or len(f) <= 3 or f in NOT_PLURAL or "'" in f:
+            out.append(f)
+        elif f.endswith("ies") and len(f) > 4:
+            out.append(f[:-3] + "y")
+        else:
+            out.append(f[:-1] if f.endswith("s") and not f.endswith("ss") else f)
+    single = " ".join(out)
+    return alias_table(ALIASES).get(single, single)
+
+
+def test_normal_names_of_all_scripts(spark, tmp_path):
+    """The registered query keeps every row: null, non-ASCII, and wrapped more than four times."""
+    names = [None, "", "Ｓｅｒｖｉｃｅ　Ｔｙｐｅｓ", "“Access Points”", "Café Orders", "Сервис Types", "User–Network Interface", "‘(Trunk—Lines)’", "ﬁber Links", "№ Policies", "\u00a0Port\u2003Speeds ", "１０ＧＥ Ports", "éTUDES", "Plain Names"]
+    names += ["(" * n + "Unit Ports" + ")" * n for n in (1, 4, 5, 9, 40)] + ["[({<“‘\"Deep  Names\"’”>})]!", "((((((", "(((((())))))", "((((( a ) ) ) ) ) )"]
+    spark.createDataFrame(list(enumerate(names)), "record_id bigint, entity_name string").write.parquet(f"{tmp_path}/entities.parquet")
+    got = {r.record_id: r.normal for r in QUERIES["normalized_names"](spark, str(tmp_path)).collect()}
+    assert got == {i: plainly_normal(n) for i, n in enumerate(names)}
+
+
 def test_token_sets():
     assert token_set_ratio("Service Order", "Service Order Item") == 100.0
     assert token_set_ratio("", "x") == 0.0
