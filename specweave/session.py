@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -50,19 +51,55 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint.
+def _shared_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables.
 
-    The files go to the shared folder named by ``spark.checkpoint.dir``.  Only where that is unset (tests, benches on one
-    machine) a temporary folder is chosen; a session of a real cluster must name a shared one.
+    It is the one named by ``spark.checkpoint.dir``.  Only where that is unset (tests, benches on one machine) a temporary
+    folder is chosen; a session of a real cluster must name a shared one.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get(CHECKPOINT_CONF, None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="specweave-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="specweave-checkpoint-")
+    context.setCheckpointDir(folder)
+    return context.getCheckpointDir() or folder
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+class Shelf:
+    """Intermediate tables of one computation, written to the shared folder so that a lost executor costs nothing.
+
+    ``keep`` writes a table and reads it again; ``drop`` deletes one that nothing reads any more.  What is left goes when
+    the session ends.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: dict[int, str] = {}
+        self.home = f"{_shared_folder(spark)}/kept-{uuid.uuid4().hex}"
+        files, place = _file_system(spark, self.home)
+        files.deleteOnExit(place)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = f"{self.home}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = path
+        return out
+
+    def drop(self, df: DataFrame) -> None:
+        path = self.paths.pop(id(df), None)
+        if path is not None:
+            files, place = _file_system(self.spark, path)
+            files.delete(place, True)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df``: written to the shared folder and read again."""
+    return Shelf(df.sparkSession).keep(df)
