@@ -1,5 +1,7 @@
 """Consolidating pairwise matches into groups: large-star / small-star edge rewrites until nothing changes.
 
+The rewrites are those of ``operators.components``; here are the links between entities, and the groups of entity ids.
+
 Defined results
     * ids are compared in lower case and without outer blanks; null and blank ids link nothing;
     * self-links, repeated and reversed links change nothing; an empty table gives no groups;
@@ -12,46 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specweave.functions.keys import id_key
-from specweave.session import checkpointed, table
-
-
-def large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is linked to the smallest of the node's neighbourhood."""
-    both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    least = both.groupBy("src").agg(F.min("dst").alias("m")).select("src", F.least("src", "m").alias("m"))
-    return both.filter("dst > src").join(least, "src").select(F.col("dst").alias("src"), F.col("m").alias("dst")).filter("src <> dst").distinct()
-
-
-def small_star(edges: DataFrame) -> DataFrame:
-    """A node and its smaller neighbours are linked to the smallest of them."""
-    down = edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-    least = down.groupBy("src").agg(F.min("dst").alias("m"))
-    moved = down.join(least, "src").filter("dst <> m").select(F.col("dst").alias("src"), F.col("m").alias("dst"))
-    return moved.union(least.select("src", F.col("m").alias("dst"))).distinct()
-
-
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """node, component (the smallest id of the component), for every node of ``edges`` (src, dst).
-
-    Each round's edges are checkpointed in the shared folder, so a lost executor costs one round at most.  The join of a
-    hub's edges has one row per node on the other side, so adaptive execution can split it.
-    """
-    now = checkpointed(edges.select("src", "dst").filter("src is not null and dst is not null and src <> dst").distinct())
-
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first())
-
-    seen = mark(now)
-    for _ in range(max_rounds):
-        now = checkpointed(small_star(large_star(now)))
-        found = mark(now)
-        if found == seen:
-            break
-        seen = found
-    else:
-        raise RuntimeError(f"no fixed point after {max_rounds} rounds")
-    roots = now.select(F.col("dst").alias("node")).distinct()
-    return now.select(F.col("src").alias("node"), F.col("dst").alias("component")).union(roots.select("node", F.col("node").alias("component")))
+from specweave.operators.components import numbered, numbered_components
+from specweave.session import Shelf, table
 
 
 def entity_links(canonicals: DataFrame, edges: DataFrame) -> DataFrame:
@@ -65,9 +29,14 @@ def entity_links(canonicals: DataFrame, edges: DataFrame) -> DataFrame:
 
 def entity_groups(canonicals: DataFrame, edges: DataFrame) -> DataFrame:
     """entity_id, group_id (the smallest entity_id of the group) of every entity in a group of two or more."""
-    nodes = connected_components(entity_links(canonicals, edges)).filter("node like 'ent-%'")
-    named = nodes.groupBy("component").agg(F.min("node").alias("group_id"), F.count(F.lit(1)).alias("n")).filter("n >= 2")
-    return nodes.join(named, "component").select(F.col("node").alias("entity_id"), "group_id")
+    shelf = Shelf(canonicals.sparkSession)
+    links, names = numbered(entity_links(canonicals, edges), shelf)
+    found = numbered_components(links, shelf)
+    own = names.filter("id like 'ent-%'")
+    entities = shelf.keep(found.join(own, found.node == own.number).select("id", "number", "component"))
+    groups = entities.groupBy("component").agg(F.min("number").alias("least"), F.count(F.lit(1)).alias("n")).filter("n >= 2")
+    named = shelf.keep(groups.join(own, F.col("least") == own.number).select("component", F.col("id").alias("group_id")))
+    return entities.join(named, "component").select(F.col("id").alias("entity_id"), "group_id")
 
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
