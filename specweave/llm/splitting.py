@@ -23,6 +23,8 @@ from specweave.session import table
 #: Characters an item may have; and characters repeated from the piece before.
 LIMIT = 4000
 OVERLAP = 200
+#: Pieces whose lengths are summed up in one step.
+BLOCK = 256
 
 #: Item kinds, their table and text column.
 ITEMS = (("block", "blocks", "text"), ("page", "pages", "text"), ("chunk", "chunks", "source_text"))
@@ -44,28 +46,42 @@ def items(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def oversized(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
-    return rows.filter(F.char_length("text") > limit)
+def item_pattern(limit: int, overlap: int) -> str:
+    """An item within the limit as a whole, or else its pieces without their overlaps."""
+    return r"(?s)\A.{1,%d}\z|" % limit + piece_pattern(limit - overlap).removeprefix("(?s)")
 
 
-def pieces_of(text: Column, limit: int, overlap: int) -> Column:
-    """Array of struct(seq, start, text) of one text; ``start`` is the 0-based offset of the piece with its overlap."""
-    cores = F.regexp_extract_all(text, F.lit(piece_pattern(limit - overlap)), F.lit(0))
-    ends = F.aggregate(cores, F.array(F.lit(0)), lambda acc, c: F.concat(acc, F.array(F.element_at(acc, -1) + F.char_length(c))))
-
-    def piece(core: Column, i: Column) -> Column:
-        begin = F.greatest(F.element_at(ends, i + 1) - F.when(i > 0, F.lit(overlap)).otherwise(F.lit(0)), F.lit(0))
-        return F.struct((i + 1).alias("seq"), begin.alias("start"), F.substring(text, begin + 1, F.element_at(ends, i + 2) - begin).alias("text"))
-
-    return F.transform(cores, piece)
+def cut(rows: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
+    """item_kind, record_id, cores: the pieces, still without overlap, of the items that don't fit into the limit."""
+    if not 0 <= overlap < limit:
+        raise ValueError("the overlap must be less than the limit")
+    cores = F.regexp_extract_all("text", F.lit(item_pattern(limit, overlap)), F.lit(0))
+    return rows.select("item_kind", "record_id", cores.alias("cores")).filter(F.size("cores") > 1)
 
 
 def split(rows: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
-    """item_kind, record_id, chunk_id, seq, start, text of the pieces of every oversized item of ``rows``."""
-    if not 0 <= overlap < limit:
-        raise ValueError("the overlap must be less than the limit")
-    cut = oversized(rows, limit).select("item_kind", "record_id", F.explode(pieces_of(F.col("text"), limit, overlap)).alias("p"))
-    return cut.select(
+    """item_kind, record_id, chunk_id, seq, start, text of the pieces of every oversized item of ``rows``; ``start`` is the
+    0-based offset of the piece with its overlap.
+
+    Offsets are sums over blocks of pieces and an overlap is taken from the few pieces before, so a huge text costs in
+    proportion to its length.
+    """
+    least = max(1, (limit - overlap) // 2)
+    back = -(-overlap // least)  # so many pieces hold the overlap
+    lengths = cut(rows, limit, overlap).withColumn("lengths", F.transform("cores", lambda c: F.char_length(c)))
+    total = lambda part: F.aggregate(part, F.lit(0), lambda a, x: a + x)
+    n_blocks = F.floor((F.size("lengths") - 1) / F.lit(BLOCK)).cast("int")
+    sums = lengths.withColumn("sums", F.transform(F.sequence(F.lit(0), n_blocks), lambda b: total(F.slice("lengths", b * BLOCK + 1, F.lit(BLOCK)))))
+
+    def piece(core: Column, i: Column) -> Column:
+        block = F.floor(i / F.lit(BLOCK)).cast("int")
+        at = total(F.slice("sums", F.lit(1), block)) + total(F.slice("lengths", block * BLOCK + 1, i % F.lit(BLOCK)))
+        first = F.greatest(i - back, F.lit(0))
+        before = F.right(F.array_join(F.slice("cores", first + 1, i - first), ""), F.lit(overlap)) if overlap else F.lit("")
+        return F.struct((i + 1).alias("seq"), (at - F.char_length(before)).alias("start"), F.concat(before, core).alias("text"))
+
+    pieces = sums.select("item_kind", "record_id", F.explode(F.transform("cores", piece)).alias("p"))
+    return pieces.select(
         "item_kind", "record_id", content_id("chunk-", F.col("item_kind"), F.col("record_id"), F.col("p.seq")).alias("chunk_id"), F.col("p.seq").alias("seq"), F.col("p.start").alias("start"), F.col("p.text").alias("text")
     )
 
@@ -75,8 +91,8 @@ def _tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
-    """The list of the oversized items, the first step of the splitter."""
-    return oversized(items(_tables(spark, root))).select("item_kind", "record_id")
+    """The oversized items: those that the splitter cuts."""
+    return cut(items(_tables(spark, root))).select("item_kind", "record_id")
 
 
 def p6_pieces(spark: SparkSession, root: str) -> DataFrame:

@@ -7,7 +7,7 @@ import tiktoken
 from specweave.llm.leakage import MASKS, TOLERANT_MASKS, SeedIndex, hashed, leaks, longest_run, longest_tolerant, words
 from specweave.llm.lookalikes import lookalike_classes, lookalike_pairs, visual_forms
 from specweave.llm.names import mapped, normal_name, spelled_like
-from specweave.llm.splitting import split
+from specweave.llm.splitting import BLOCK, cut, split
 from specweave.llm.tokens import PIECES, TOKENIZERS, VOCABULARY, GrowingText, PrefixEncoder, encoded
 from specweave.llm.visual import base_form, latin_form
 
@@ -50,6 +50,16 @@ def test_boundaries_are_preferred(spark):
         split(rows, 10, 10)
 
 
+def test_a_huge_text_in_blocks_of_pieces(spark):
+    text = "".join(f"word{i} " for i in range(9000))
+    rows = spark.createDataFrame([("page", 1, text), ("page", 2, "x" * 120)], "item_kind string, record_id bigint, text string")
+    got = split(rows, 120, 70).orderBy("seq").collect()  # the overlap is longer than the shortest piece
+    assert len(got) > 3 * BLOCK and all(len(r.text) <= 120 and text[r.start : r.start + len(r.text)] == r.text for r in got)
+    ends = [0] + [r.start + len(r.text) for r in got]
+    assert all(r.start == max(0, end - 70) for r, end in zip(got, ends)) and ends[-1] == len(text)
+    assert [r.record_id for r in cut(rows, 120, 70).collect()] == [1] and cut(rows, 119, 70).count() == 2
+
+
 # -- tokens
 
 
