@@ -1,8 +1,13 @@
 """References to records that do not exist.
 
-Every change of the referenced tables is a signed delta: ``+1`` when a row of an id arrives, ``-1`` when it is withdrawn.
-Every reference is a delta on the reference count of its id.  Running over the deltas of one id in time order gives, at
-each reference, the number of live rows: a reference at which that number is zero is an orphan.
+Every change is a signed delta of one key (target table, id): ``+1`` on its existence count when a row of the id arrives, ``-1``
+when that row is withdrawn; ``+1`` on its reference count when a row that refers to it arrives, ``-1`` when that one is
+withdrawn.  Keys with positive references and no existence are the current orphan report; a reference is an orphan at its
+arrival if the existence count is zero at that moment.
+
+Counts over time are running sums over the distinct moments of a key, in two levels (minutes, then within a minute), so
+however many deltas a key has, what a task sums has a bound given by time.  A key's count stays positive from the first
+arrival of a row that is never withdrawn on; only references before that moment, and withdrawn rows, need the running sums.
 
 Defined results
     * a null or blank reference, and one whose id begins like no known table, is none;
@@ -21,10 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from specweave.functions.keys import id_key
-from specweave.session import table
-
-#: Ids with more deltas than this are summed in blocks of one day each, so that no task gets all deltas of a hot id.
-HOT_DELTAS = 500_000
+from specweave.session import Shelf, table
 
 #: The tables that can be referred to, their id column and how their ids begin.
 TARGETS = {
@@ -64,64 +66,71 @@ def _target_of(key: Column) -> Column:
     return chain
 
 
-def existence_deltas(rows: DataFrame, name: str) -> DataFrame:
-    """The ``+1`` and ``-1`` of the rows of one referenced table."""
-    id_column, _ = TARGETS[name]
-    gone = F.col("deleted_at") if "deleted_at" in rows.columns else F.lit(None).cast("timestamp_ntz")
-    lived = rows.select(id_key(F.col(id_column)).alias("key"), F.col("loaded_at").alias("born"), gone.alias("gone")).filter(
-        "key is not null and born is not null and (gone is null or gone > born)"
-    )
-    both = F.array(F.struct(F.col("born").alias("at"), F.lit(1).alias("delta")), F.struct(F.col("gone").alias("at"), F.lit(-1).alias("delta")))
-    return (
-        lived.select("key", F.explode(both).alias("d"))
-        .filter("d.at is not null")
-        .select(F.lit(_CODE[name]).cast("tinyint").alias("target"), "key", F.col("d.at").alias("at"), F.col("d.delta").cast("int").alias("delta"),
-                F.lit(-1).cast("tinyint").alias("ref"), F.lit(None).cast("bigint").alias("record_id"))
-    )
+_KEY = ["target", "key"]
+
+
+def _gone(rows: DataFrame) -> Column:
+    return F.col("deleted_at") if "deleted_at" in rows.columns else F.lit(None).cast("timestamp_ntz")
 
 
-def reference_deltas(rows: DataFrame, code: int, ref: Reference) -> DataFrame:
-    """The references of one field, as deltas that leave the existence count alone."""
+def lifetimes(rows: DataFrame, name: str) -> DataFrame:
+    """target, key, born, gone of the rows of one referenced table that ever lived."""
+    lived = rows.select(F.lit(_CODE[name]).cast("tinyint").alias("target"), id_key(F.col(TARGETS[name][0])).alias("key"), F.col("loaded_at").alias("born"), _gone(rows).alias("gone"))
+    return lived.filter("key is not null and born is not null and (gone is null or gone > born)")
+
+
+def references_of(rows: DataFrame, code: int, ref: Reference) -> DataFrame:
+    """target, key, at, gone, ref, record_id: the references of one field; ``gone`` is when the referring row is withdrawn."""
     if ref.repeated:
         keys = F.explode(F.array_distinct(F.transform(F.col(ref.field), id_key)))
     else:
         keys = id_key(F.col(ref.field))
-    found = rows.select("record_id", F.col("loaded_at").alias("at"), keys.alias("key")).filter("key is not null")
+    found = rows.select("record_id", F.col("loaded_at").alias("at"), _gone(rows).alias("gone"), keys.alias("key")).filter("key is not null")
     target = F.lit(_CODE[ref.target]).cast("tinyint") if ref.target else _target_of(F.col("key"))
-    return found.select(
-        target.alias("target"), "key", F.coalesce("at", F.lit(_BEFORE_ALL).cast("timestamp_ntz")).alias("at"), F.lit(0).alias("delta"), F.lit(code).cast("tinyint").alias("ref"), "record_id"
-    ).filter("target is not null")
+    at = F.coalesce("at", F.lit(_BEFORE_ALL).cast("timestamp_ntz"))
+    return found.select(target.alias("target"), "key", at.alias("at"), "gone", F.lit(code).cast("tinyint").alias("ref"), "record_id").filter("target is not null")
+
 
+def deltas_of(rows: DataFrame, name: str, references: tuple[Reference, ...] = REFERENCES, sign: int = 1) -> DataFrame:
+    """target, key, at, refs, exists: all signed deltas that rows of one table bring (``sign`` -1: rows taken back)."""
+    parts = []
+    if name in TARGETS:
+        parts.append(lifetimes(rows, name).select(*_KEY, "born", "gone", F.lit(0).alias("refs"), F.lit(sign).alias("exists")))
+    for code, ref in enumerate(references):
+        if ref.table == name:
+            parts.append(references_of(rows, code, ref).filter("gone is null or gone > at").select(*_KEY, F.col("at").alias("born"), "gone", F.lit(sign).alias("refs"), F.lit(0).alias("exists")))
+    both = F.array(F.struct(F.col("born").alias("at"), "refs", "exists"), F.struct(F.col("gone").alias("at"), (-F.col("refs")).alias("refs"), (-F.col("exists")).alias("exists")))
+    return reduce(DataFrame.unionByName, parts).select(*_KEY, F.explode(both).alias("d")).filter("d.at is not null").select(*_KEY, "d.at", "d.refs", "d.exists")
 
-def orphans_of(deltas: DataFrame, hot_deltas: int = HOT_DELTAS) -> DataFrame:
-    """The reference deltas at which no row of their id is live.
 
-    Ids of up to ``hot_deltas`` deltas are run over in one window.  The few beyond it (at most all deltas / hot_deltas, so
-    their list is small enough to broadcast) are first summed by day; a day's opening balance is then added to the
-    running sum within that day, which splits a hot id into as many tasks as it has days.
+def current_orphans(deltas: DataFrame) -> DataFrame:
+    """table, ref_id, refs: the keys that are referred to and of which no row lives, with their references."""
+    counts = deltas.groupBy(*_KEY).agg(F.sum("refs").alias("refs"), F.sum("exists").alias("exists")).filter("refs > 0 and exists <= 0")
+    return counts.select(F.element_at(F.array(*[F.lit(n) for n in TARGETS]), F.col("target").cast("int") + 1).alias("target_table"), F.col("key").alias("ref_id"), "refs")
+
+
+def moments_without(deltas: DataFrame) -> DataFrame:
+    """target, key, at: the moments of ``deltas`` (target, key, at, exists) at which the running existence count is zero."""
+    moments = deltas.groupBy(*_KEY, "at").agg(F.sum("exists").alias("net")).withColumn("minute", F.date_trunc("minute", "at"))
+    running = lambda by, order, last: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, last)
+    opening = moments.groupBy(*_KEY, "minute").agg(F.sum("net").alias("sum")).withColumn("opening", F.coalesce(F.sum("sum").over(running(_KEY, "minute", -1)), F.lit(0)))
+    live = F.sum("net").over(running([*_KEY, "minute"], "at", 0)) + F.col("opening")
+    return moments.join(opening.drop("sum"), [*_KEY, "minute"]).withColumn("live", live).filter("live <= 0").select(*_KEY, "at")
+
+
+def missing_references(tables: dict[str, DataFrame], references: tuple[Reference, ...] = REFERENCES) -> DataFrame:
+    """Orphan references: table_name, record_id, ref_field, ref_id, period (``yyyy-MM`` of the reference's arrival).
+
+    What is joined is written before, so that adaptive execution can split the references of a hot id.
     """
-    key = ["target", "key"]
-    hot = F.broadcast(deltas.groupBy(*key).count().filter(F.col("count") > hot_deltas).select(*key))
-
-    def running(by: list[str]) -> Column:
-        return F.sum("delta").over(Window.partitionBy(*by).orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow))
-
-    cold = deltas.join(hot, key, "left_anti").withColumn("live", running(key))
-    daily = deltas.join(hot, key, "left_semi").withColumn("day", F.to_date("at"))
-    opening = (
-        daily.groupBy(*key, "day").agg(F.sum("delta").alias("net"))
-        .withColumn("opening", F.coalesce(F.sum("net").over(Window.partitionBy(*key).orderBy("day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .drop("net")
-    )
-    warm = daily.join(F.broadcast(opening), [*key, "day"]).withColumn("live", F.col("opening") + running([*key, "day"])).drop("day", "opening")
-    return cold.unionByName(warm).filter("ref >= 0 and live <= 0")
-
-
-def missing_references(tables: dict[str, DataFrame], references: tuple[Reference, ...] = REFERENCES, hot_deltas: int = HOT_DELTAS) -> DataFrame:
-    """Orphan references: table_name, record_id, ref_field, ref_id, period (``yyyy-MM`` of the reference's arrival)."""
-    parts = [existence_deltas(tables[name], name) for name in TARGETS]
-    parts += [reference_deltas(tables[ref.table], code, ref) for code, ref in enumerate(references)]
-    found = orphans_of(reduce(DataFrame.unionByName, parts), hot_deltas)
+    shelf = Shelf(next(iter(tables.values())).sparkSession)
+    lives = reduce(DataFrame.unionByName, [lifetimes(tables[name], name) for name in TARGETS])
+    lasting = shelf.keep(lives.filter("gone is null").groupBy(*_KEY).agg(F.min("born").alias("lasts_from")))
+    refs = reduce(DataFrame.unionByName, [references_of(tables[ref.table], code, ref) for code, ref in enumerate(references)]).drop("gone")
+    doubtful = shelf.keep(refs.join(lasting, _KEY, "left").filter("lasts_from is null or at < lasts_from").drop("lasts_from"))
+    withdrawn = lives.filter("gone is not null").select(*_KEY, F.explode(F.array(F.struct(F.col("born").alias("at"), F.lit(1).alias("exists")), F.struct(F.col("gone").alias("at"), F.lit(-1).alias("exists")))).alias("d"))
+    deltas = withdrawn.select(*_KEY, "d.at", "d.exists").unionByName(doubtful.select(*_KEY, "at", F.lit(0).alias("exists")))
+    found = doubtful.join(shelf.keep(moments_without(deltas)), [*_KEY, "at"])
     pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("ref").cast("int") + 1)
     return found.select(
         pick([r.table for r in references]).alias("table_name"),
@@ -149,6 +158,12 @@ def p2_report(spark: SparkSession, root: str) -> DataFrame:
     return orphan_report(p2_found(spark, root))
 
 
+def p2_current(spark: SparkSession, root: str) -> DataFrame:
+    """The current orphan report: what is referred to now, all changes taken together, and doesn't exist now."""
+    tables = _tables(spark, root)
+    return current_orphans(reduce(DataFrame.unionByName, [deltas_of(rows, name) for name, rows in tables.items()]))
+
+
 _SQL_FOUND = """
 with rows_of as (
   select 'chunks' as t, lower(trim(chunk_id)) as k, loaded_at as born, deleted_at as gone from chunks
@@ -170,8 +185,21 @@ orphans as (
     select 1 from rows_of e where e.t = r.t and e.k = r.ref_id and e.born <= r.loaded_at and (e.gone is null or e.gone > r.loaded_at)))
 """
 
-QUERIES = {"p2_found": p2_found, "p2_report": p2_report}
+_SQL_CURRENT = """
+, live_refs as (
+  select t, lower(trim(k)) as k from (
+    select 'chunks' as t, source_chunk as k from attributes where deleted_at is null
+    union all select 'canonical_entities', entity_id from mappings where deleted_at is null
+    union all select 'attributes', x from (select distinct record_id, lower(trim(x)) as x from (select record_id, unnest(source_attributes) as x from entities where deleted_at is null))
+    union all select case split_part(lower(trim(to_id)), '-', 1) when 'chunk' then 'chunks' when 'attr' then 'attributes' when 'ent' then 'entities'
+      when 'map' then 'mappings' when 'cent' then 'canonical_entities' end, to_id from trace_edges))
+select t as target_table, k as ref_id, count(*) as refs from live_refs where t is not null and k <> ''
+  and not exists (select 1 from rows_of e where e.t = live_refs.t and e.k = live_refs.k and e.born is not null and e.gone is null) group by all
+"""
+
+QUERIES = {"p2_found": p2_found, "p2_report": p2_report, "p2_current": p2_current}
 ORACLES = {
+    "p2_current": _SQL_FOUND + _SQL_CURRENT,
     "p2_found": _SQL_FOUND + "select * from orphans",
     "p2_report": _SQL_FOUND + "select table_name, ref_field, period, count(*) as orphan_refs, count(distinct ref_id) as missing_ids from orphans group by all",
 }
