@@ -2,35 +2,37 @@
 
 The distinct names are normalised (look-alike letters, case, camelCase, inverted order, articles, brackets, plural), those
 that equal an entry's name or alias are settled, all others meet the entries through an inverted index of character
-n-grams and are scored by the cosine of idf weights.  A name is mapped if its best entry passes the threshold and leads
-the second best by the margin; a check of the spelling (how many keystrokes apart, word by word) then follows.
+n-grams and are scored by the cosine of idf weights.  Of the entries that pass the threshold, those whose spelling is too
+many keystrokes away, word by word, are struck out; a name is mapped to the one with the highest cosine if it leads the next
+one by the margin.
 
 Defined results
     * null, blank and stand-in names are in no row of ``p7_found``; every other row has one, 0 where no entry is meant;
     * entries with null or empty aliases have their name only; of entries with equal spellings the smallest id wins;
+    * a name whose two best entries are within the margin means neither (0);
     * names are scored once however often they occur, so repeated rows cost nothing.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from specweave.llm.fusion import usable_name
 from specweave.llm.visual import latin_form
-from specweave.session import checkpointed, table
+from specweave.session import Shelf, checkpointed, table
 
-#: Least cosine, and least lead over the next entry.
-THRESHOLD = 0.3
+#: Least cosine, of names and of names of fewer than ``SHORT`` letters (of whose n-grams few survive a keystroke), and
+#: least lead over the next entry.
+THRESHOLD, SHORT_THRESHOLD, SHORT = 0.3, 0.05, 8
 MARGIN = 0.02
 #: Longest n-gram; shorter ones down to 2 are used too.
 GRAM = 3
-#: Candidates whose spelling is checked, per name, in order of cosine.
-CHECKED = 5
 #: Keystrokes that a name may be apart from its entry, all in all.
 MAX_EDITS = 3
 
@@ -67,8 +69,13 @@ def singular(name: str) -> str:
 
 
 def grams(name: str) -> list[str]:
+    """The n-grams of a name's words; of short names also what is left without each letter, as a keystroke spoils most of
+    their n-grams."""
     padded = " ".join(f"^{w}$" for w in name.split())
-    return sorted({padded[i : i + n] for n in range(2, GRAM + 1) for i in range(len(padded) - n + 1) if " " not in padded[i : i + n]})
+    out = {padded[i : i + n] for n in range(2, GRAM + 1) for i in range(len(padded) - n + 1) if " " not in padded[i : i + n]}
+    if len(name) <= SHORT:
+        out.update(f"-{name[:i]}{name[i + 1 :]}" for i in range(len(name)))
+    return sorted(out)
 
 
 def edits(a: str, b: str, most: int) -> int:
@@ -112,13 +119,11 @@ def _grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"normal": pdf["normal"], "grams": [grams(n) for n in pdf["normal"]]})
 
 
-def _spelling(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _spelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The candidates whose spelling is near enough."""
     for pdf in batches:
-        apart = []
-        for normal, form in zip(pdf["normal"], pdf["form"]):
-            both = [x for x in (spelled_like(normal, form), spelled_like(singular(normal), form)) if x is not None]
-            apart.append(min(both) if both else None)
-        yield pd.DataFrame({"normal": pdf["normal"], "known_id": pdf["known_id"], "cosine": pdf["cosine"], "apart": pd.array(apart, dtype="Int32")})
+        near = [spelled_like(n, f) is not None or spelled_like(singular(n), f) is not None for n, f in zip(pdf["normal"], pdf["form"])]
+        yield pdf.loc[near, ["normal", "known_id", "cosine"]]
 
 
 def entry_forms(known: DataFrame) -> DataFrame:
@@ -133,40 +138,56 @@ def entry_forms(known: DataFrame) -> DataFrame:
     return normal.mapInPandas(run, "known_id int, form string").filter("form <> ''").groupBy("form").agg(F.min("known_id").alias("known_id"))
 
 
-def matched_names(names: DataFrame, known: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN) -> DataFrame:
-    """normal, known_id of the normalised names that mean an entry; ``names`` has one row per distinct ``normal``."""
-    forms = checkpointed(entry_forms(known))
+def _floor(name: Column, threshold: float, short_threshold: float) -> Column:
+    return F.when(F.char_length(name) < SHORT, F.lit(min(short_threshold, threshold))).otherwise(F.lit(threshold))
+
+
+def vectors(names: DataFrame, idf: DataFrame, unseen: float) -> DataFrame:
+    """normal, gram, w: the weighted n-grams of names; grams that no entry has weigh ``unseen``."""
+    grammed = names.select("normal").mapInPandas(_grams, "normal string, grams array<string>").select("normal", F.explode("grams").alias("gram"))
+    return grammed.join(idf, "gram", "left").select("normal", "gram", F.coalesce("w", F.lit(unseen)).alias("w"))
+
+
+def matched_names(names: DataFrame, known: DataFrame, threshold: float = THRESHOLD, short_threshold: float = SHORT_THRESHOLD, margin: float = MARGIN) -> DataFrame:
+    """normal, known_id of the normalised names that mean an entry; ``names`` has one row per distinct ``normal``.
+
+    Only the rare n-grams of a name are looked up: the common ones that together can't reach the threshold are left out
+    (their part of the name's norm bounds the cosine of an entry that shares no other), so no pair above it is lost.
+    """
+    shelf = Shelf(names.sparkSession)
+    forms = shelf.keep(entry_forms(known))
     plural = F.when(F.col("normal").endswith("ies"), F.regexp_replace("normal", "ies$", "y")).otherwise(F.regexp_replace("normal", "(?<=[^s])s$", ""))
     lookup = forms.select(F.col("form").alias("lookup"), F.col("known_id").alias("found"))
     exact = names.join(lookup, F.col("normal") == F.col("lookup"), "left").drop("lookup")
     exact = exact.join(lookup.withColumnRenamed("found", "found_plural"), plural == F.col("lookup"), "left")
-    exact = checkpointed(exact.select("normal", F.coalesce("found", "found_plural").alias("known_id")))
+    exact = shelf.keep(exact.select("normal", F.coalesce("found", "found_plural").alias("known_id")))
     open_names = exact.filter("known_id is null").select("normal")
 
     n_forms = forms.count()
-    index = forms.select("known_id", F.col("form").alias("normal")).transform(
-        lambda d: d.select("normal").mapInPandas(_grams, "normal string, grams array<string>").join(d, "normal").select("known_id", F.col("normal").alias("form"), F.explode("grams").alias("gram"))
-    )
-    idf = index.groupBy("gram").agg(F.log(F.lit(float(n_forms)) / F.count(F.lit(1)) + 1.0).alias("w"))
-    weighted = index.join(idf, "gram")
-    norms = weighted.groupBy("form").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("form_norm"))
-    postings = checkpointed(weighted.join(norms, "form").select("gram", "form", "known_id", (F.col("w") * F.col("w") / F.col("form_norm")).alias("part")))
-    unseen = float(__import__("math").log(n_forms + 1.0))
-
-    asked = open_names.mapInPandas(_grams, "normal string, grams array<string>").select("normal", F.explode("grams").alias("gram"))
-    asked = asked.join(idf, "gram", "left").select("normal", "gram", F.coalesce("w", F.lit(unseen)).alias("w"))
-    asked_norm = asked.groupBy("normal").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("name_norm"))
-    scored = asked.select("normal", "gram").join(postings, "gram").groupBy("normal", "form", "known_id").agg(F.sum("part").alias("dot"))
-    cosines = scored.join(asked_norm, "normal").select("normal", "form", "known_id", (F.col("dot") / F.col("name_norm")).alias("cosine")).filter(F.col("cosine") >= threshold)
-    # the few best of each name, by a bounded aggregate rather than a sort of all candidates
-    best = cosines.groupBy("normal").agg(F.expr(f"slice(array_sort(collect_list(named_struct('back', -cosine, 'form', form, 'known_id', known_id))), 1, {CHECKED})").alias("top"))
-    checked = best.select("normal", F.explode("top").alias("t")).select("normal", "t.form", "t.known_id", (-F.col("t.back")).alias("cosine"))
-    spelling = checked.mapInPandas(_spelling, "normal string, known_id int, cosine double, apart int").filter("apart is not null")
-    per_entry = spelling.groupBy("normal", "known_id").agg(F.min("apart").alias("apart"), F.max("cosine").alias("cosine"))
-    ranked = per_entry.groupBy("normal").agg(F.array_sort(F.collect_list(F.struct("apart", (-F.col("cosine")).alias("back"), "known_id"))).alias("r"))
-    lead = F.size("r") == 1
-    lead = lead | (F.col("r")[1]["apart"] > F.col("r")[0]["apart"]) | (F.col("r")[1]["back"] - F.col("r")[0]["back"] >= margin)
-    close = ranked.filter(lead).select("normal", F.col("r")[0]["known_id"].alias("known_id"))
+    index = forms.select(F.col("form").alias("normal")).mapInPandas(_grams, "normal string, grams array<string>").select(F.col("normal").alias("form"), F.explode("grams").alias("gram"))
+    idf = shelf.keep(index.groupBy("gram").agg(F.log(F.lit(float(n_forms)) / F.count(F.lit(1)) + 1.0).alias("w")))
+    entry = index.join(idf, "gram")
+    postings = shelf.keep(entry.select("gram", "form"))
+    square = F.col("w") * F.col("w")
+    entries = shelf.keep(entry.groupBy("form").agg(F.sum(square).alias("form_square"), F.collect_list(F.struct("gram", square.alias("square"))).alias("parts")).join(forms, "form"))
+
+    asked = shelf.keep(vectors(open_names, idf, math.log(n_forms + 1.0)))
+    rising = Window.partitionBy("normal").orderBy("w", "gram").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("normal")
+    ranked = asked.withColumn("so_far", F.sum(square).over(rising)).withColumn("name_square", F.sum(square).over(whole))
+    floor = _floor(F.col("normal"), threshold, short_threshold)
+    rare = shelf.keep(ranked.filter(F.col("so_far") >= floor * floor * F.col("name_square") * (1 - 1e-9)).select("normal", "gram"))
+    pairs = rare.join(postings, "gram").select("normal", "form").distinct()
+    profiles = asked.groupBy("normal").agg(F.sum(square).alias("name_square"), F.collect_list("gram").alias("grams"))
+    met = pairs.join(profiles, "normal").join(entries, "form")
+    dot = F.aggregate(F.filter("parts", lambda p: F.array_contains("grams", p["gram"])), F.lit(0.0), lambda a, p: a + p["square"])
+    cosines = met.select("normal", "form", "known_id", (dot / F.sqrt(F.col("name_square") * F.col("form_square"))).alias("cosine")).filter(F.col("cosine") >= floor)
+    alike = cosines.mapInPandas(_spelled, "normal string, known_id int, cosine double")
+    per_entry = alike.groupBy("normal", "known_id").agg(F.max("cosine").alias("cosine"))
+    best_first = Window.partitionBy("normal").orderBy(F.desc("cosine"), "known_id")
+    two = per_entry.withColumn("place", F.row_number().over(best_first)).filter("place <= 2")  # limited before the shuffle
+    best = two.groupBy("normal").agg(F.min_by("known_id", "place").alias("known_id"), (F.max("cosine") - F.min("cosine")).alias("lead"), F.max("place").alias("n"))
+    close = best.filter((F.col("n") == 1) | (F.col("lead") >= margin)).select("normal", "known_id")
     return exact.filter("known_id is not null").unionByName(close)
 
 
