@@ -2,12 +2,15 @@
 
 A text is a row of words (runs of letters and digits of the ``latin_form``, case aside).  Fixed masks choose some of the
 positions of every window; the hashes of the chosen words join corpus and evaluation windows.  Around every hit the two
-texts are laid over each other and compared word by word.  Equal runs of 12 words are found by spaced masks.  Tolerant
-overlaps are found by every run of six words: replaced words cut an overlap of n words into at most n // 10 + 1 equal runs,
-the longest of which has six words or more for every n from 12 on.
+texts are laid over each other and compared word by word.
 
-The evaluation items are the stated query set: they are indexed in blocks of at most ``BLOCK_WORDS`` words, and every
-block's index is broadcast to one pass over the corpus, so what is broadcast has a fixed bound however many items come.
+Equal runs of 12 words hold a window of every mask of up to that length, so one mask finds them all.  Tolerant overlaps need
+the two masks below: whichever words are replaced, one of the masks falls on equal words (a test goes through all choices in
+overlaps of 12 to 19 words and in windows of 20; longer overlaps hold such a window, or ten equal words in a row).
+
+The evaluation items are the stated query set: they are indexed in blocks of at most ``BLOCK_WORDS`` words, one block at a
+time, and its index is broadcast to one pass over the corpus, so what the driver and the broadcast hold has a fixed bound
+however many items come.
 
 Defined results
     * null and empty texts, and items of fewer words than the threshold, are in no row;
@@ -29,23 +32,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specweave.llm.visual import latin_form
-from specweave.session import table
+from specweave.session import Shelf, table
 
 #: Equal words in a row that make a leak, and the share of replaced words that a tolerant overlap may have.
 MIN_RUN = 12
 MAX_REPLACED = 0.1
 #: Words of evaluation items in one broadcast index (about 40 bytes each).
 BLOCK_WORDS = 500_000
-#: Fixed masks over the positions of a window (1: the word counts), each no longer than the run to be found.
-MASKS = ("111010110111", "110111010111", "101111101101")
-#: The mask of tolerant overlaps: none of at least ``MIN_RUN`` words is without so long an equal run.
-TOLERANT_MASKS = ("1" * 6,)
+#: Fixed masks over the positions of a window (1: the word counts): of equal runs, and of tolerant overlaps.
+MASKS = ("111010110111",)
+TOLERANT_MASKS = ("11110111", "11101111")
 
 _WORD = re.compile(r"[^\W_]+")
+#: ASCII bytes: letters in lower case, digits as they are, everything else a blank.
+_PLAIN = bytes(ord(chr(i).lower()) if chr(i).isalnum() and i < 128 else 32 for i in range(256))
 
 
-def words(text: str) -> list[str]:
-    return _WORD.findall(latin_form(text).casefold())
+def words(text: str) -> list[bytes]:
+    if text.isascii():
+        return text.encode().translate(_PLAIN).split()
+    return [w.encode("utf-8", "surrogatepass") for w in _WORD.findall(latin_form(text).casefold())]
 
 
 class _Hashes(dict):
@@ -53,15 +59,18 @@ class _Hashes(dict):
 
     bound = 500_000
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= self.bound:
             self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
 
 def hashed(text: str | None, cache: _Hashes) -> np.ndarray:
-    return np.array([cache[w] for w in words(text)], dtype=np.uint64) if text else np.empty(0, dtype=np.uint64)
+    if not text:
+        return np.empty(0, dtype=np.uint64)
+    own = words(text)
+    return np.fromiter(map(cache.__getitem__, own), dtype=np.uint64, count=len(own))
 
 
 def seeds(h: np.ndarray, mask: str) -> np.ndarray:
@@ -97,11 +106,16 @@ class SeedIndex:
         found: set[tuple[int, int]] = set()
         for mask, (value, item, at) in zip(self.masks, self.tables):
             own = seeds(h, mask)
+            if not len(own) or not len(value):
+                continue
             left = np.searchsorted(value, own, "left")
-            right = np.searchsorted(value, own, "right")
-            for pos in np.flatnonzero(right > left):
-                for k in range(left[pos], right[pos]):
-                    found.add((int(item[k]), int(pos - at[k])))
+            hits = np.flatnonzero(value[np.minimum(left, len(value) - 1)] == own)
+            if not len(hits):
+                continue
+            first = left[hits]
+            times = np.searchsorted(value, own[hits], "right") - first
+            which = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)
+            found.update(zip(item[which].tolist(), (np.repeat(hits, times) - at[which]).tolist()))
         return found
 
     def compared(self, h: np.ndarray, item: int, shift: int) -> np.ndarray:
@@ -152,16 +166,15 @@ def _last_at_most(level: np.ndarray, start: int, suffix_low: np.ndarray, bound:
     return lo
 
 
-def _blocks(items: DataFrame, block_words: int, masks: tuple[str, ...] = MASKS) -> list[SeedIndex]:
-    """Indexes over the evaluation items, each of at most ``block_words`` words (or a single longer item)."""
+def _blocks(items: DataFrame, block_words: int, masks: tuple[str, ...]) -> Iterator[tuple[SeedIndex, bool]]:
+    """Indexes over the evaluation items, each of at most ``block_words`` words (or a single longer item), one at a time;
+    and whether it is the only one."""
     plain = items.select("item_id", "text").filter("text is not null")
     total = plain.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     n = max(1, -(-int(total) * 2 // block_words))
-    out = []
     for k in range(n):
         rows = plain.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()  # bounded by block_words
-        out.append(SeedIndex([r.item_id for r in rows], [r.text for r in rows], masks))
-    return out
+        yield SeedIndex([r.item_id for r in rows], [r.text for r in rows], masks), n == 1
 
 
 def leaks(documents: DataFrame, items: DataFrame, tolerant: bool = False, min_run: int = MIN_RUN, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -187,8 +200,16 @@ def leaks(documents: DataFrame, items: DataFrame, tolerant: bool = False, min_ru
 
         return texts.mapInPandas(run, "doc_id bigint, item_id int, overlap int, replaced int")
 
-    found = reduce(DataFrame.unionByName, [scan(spark.sparkContext.broadcast(index)) for index in _blocks(items, block_words, TOLERANT_MASKS if tolerant else MASKS)])
-    return found if tolerant else found.select("doc_id", "item_id")
+    shelf, found = Shelf(spark), []
+    for index, alone in _blocks(items, block_words, TOLERANT_MASKS if tolerant else MASKS):
+        shared = spark.sparkContext.broadcast(index)
+        if alone:
+            found.append(scan(shared))
+        else:  # written before the next index is made
+            found.append(shelf.keep(scan(shared)))
+            shared.destroy()
+    pairs = reduce(DataFrame.unionByName, found)
+    return pairs if tolerant else pairs.select("doc_id", "item_id")
 
 
 def p9_found(spark: SparkSession, root: str) -> DataFrame:

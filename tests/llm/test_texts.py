@@ -137,24 +137,23 @@ def test_replaced_words(spark):
 
 
 def test_no_allowed_replacement_is_missed(spark):
-    """Every choice of replaced words in overlaps of 12 to 29 words gives a seed hit; for longer ones the runs are counted."""
+    """Every choice of replaced words in overlaps of 12 to 29 words, and of up to two in windows of 20, gives a seed hit, so
+    recall is 1 at every length; the one mask of equal runs would lose some."""
     from itertools import combinations
 
     from specweave.llm.leakage import _Hashes
 
     cache, missed = _Hashes(), {MASKS: 0, TOLERANT_MASKS: 0}
-    for n in range(12, 30):
-        text = " ".join(f"v{i}" for i in range(n))
-        plain = hashed(text, cache)
-        for masks in missed:
-            index = SeedIndex([1], [text], masks)
-            for k in range(n // 10 + 1):
-                for places in combinations(range(1, n - 1), k):
-                    h = plain.copy()
-                    h[list(places)] += 1
-                    missed[masks] += (0, 0) not in index.overlaps(h)
-    assert missed[TOLERANT_MASKS] == 0 and missed[MASKS] > 0
-    assert all(-(-(n - n // 10) // (n // 10 + 1)) >= len(TOLERANT_MASKS[0]) for n in range(12, 5000))
+    cases = [(n, places) for n in range(12, 30) for k in range(n // 10 + 1) for places in combinations(range(1, n - 1), k)]
+    cases += [(20, places) for k in range(3) for places in combinations(range(20), k)]
+    texts = {n: " ".join(f"v{i}" for i in range(n)) for n in range(12, 30)}
+    for masks in missed:
+        indexes = {n: SeedIndex([1], [t], masks) for n, t in texts.items()}
+        for n, places in cases:
+            h = hashed(texts[n], cache).copy()
+            h[list(places)] += 1
+            missed[masks] += (0, 0) not in indexes[n].overlaps(h)
+    assert missed[TOLERANT_MASKS] == 0 and missed[MASKS] > 0 and all("0" in m and len(m) <= 10 for m in TOLERANT_MASKS)
 
     cases = [(12, (4,)), (12, (9,)), (20, (7, 8)), (33, (8, 16, 25))]
     items = [" ".join(f"i{i}v{k}" for k in range(n)) for i, (n, _) in enumerate(cases)]
@@ -196,7 +195,7 @@ def test_spelling():
 
 def test_names_against_the_list(spark):
     known = spark.createDataFrame([(1, "Trunk Pylon", ["Trunk Mast", "TRPY"], 0), (2, "Metro Tray", None, 0), (3, "Standby Nexus", [], 0)], "known_id int, name string, aliases array<string>, record_id int")
-    names = {"Trunk Pyoln": 1, "trunkMasts": 1, "(TRPY)": 1, "Тrunk Рylon": 1, "Tray, Metro": 2, "the Metro Trays": 2, "Standby Nexus [ref 12]": 3, "Stanbdy Nexs": 3, "Relay Bakery": 0, "Metro Museum": 0, "x" * 20_000: 0}
+    names = {"TPRY": 1, "TRQY": 1, "Trunk Pyoln": 1, "trunkMasts": 1, "(TRPY)": 1, "Тrunk Рylon": 1, "Tray, Metro": 2, "the Metro Trays": 2, "Standby Nexus [ref 12]": 3, "Stanbdy Nexs": 3, "Relay Bakery": 0, "Metro Museum": 0, "x" * 20_000: 0}
     rows = [(i, n, "clash") for i, n in enumerate([*names, None, " ", "TBD", "N/A", "Trunk Pyoln"])]
     got = {r.record_id: r.known_id for r in mapped(spark.createDataFrame(rows, "record_id bigint, entity_name string, normal string"), known).collect()}
     assert got == {**dict(enumerate(names.values())), len(names) + 4: 1}
