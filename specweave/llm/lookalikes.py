@@ -1,9 +1,12 @@
 """Visually identical text with different characters: script-aware repair of look-alike letters.
 
 Each text is first brought to its base form (``visual``).  Per token the dominant script is the one most of its letters
-without a double belong to, or else that of the document.  A token that mixes scripts, or consists of doubles only, is
-substituted into the dominant script if the result exists in the corpus vocabulary; the few whose result stands nowhere
-in the corpus get the Latin spelling of their look-alikes in the comparison form, and stay as they are in the repaired text.
+without a double belong to, or else that of the document.  A token that mixes scripts is substituted into its dominant script
+if the result exists in the corpus vocabulary.
+
+Texts are compared by their repaired tokens.  The vocabulary can't decide tokens that consist of doubles of another script
+only (they mix nothing) and codes that stand nowhere else; yet they look the same, so in the comparison form, not in the
+repaired text, they are read in the document's script if the vocabulary has that, or else in Latin.
 
 Whether a result exists depends only on how the token looks and on scripts that substitution can't change, so texts that
 read the same get the same comparison form.
@@ -18,6 +21,7 @@ Defined results
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specweave.llm.visual import CYRILLIC, GREEK, base_form
-from specweave.session import checkpointed, table
+from specweave.session import Shelf, table
 
 #: Distinct tokens that one task holds before it passes them on.
 FLUSH_TOKENS = 200_000
@@ -83,34 +87,46 @@ def _digest(text: str) -> bytes:
     return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
 
 
+def is_mixed(token: str) -> bool:
+    return len({_script(c) for c in token} - {""}) > 1
+
+
+_ROWS = "doc_id bigint, raw binary, key binary, base string, tokens array<string>, forms array<string>, word string"
+
+
 def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row per text with visible characters, and in between, whenever ``FLUSH_TOKENS`` are held, the partition's tokens."""
+    names = [c.split()[0] for c in _ROWS.split(", ")]
+    held: set[str] = set()
+
+    def words() -> pd.DataFrame:
+        return pd.DataFrame([(None,) * (len(names) - 1) + (w,) for w in held], columns=names, dtype="object")
+
     for pdf in batches:
         rows = []
         for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
             base = base_form(text)
             if base.strip():
+                held.update(_TOKEN.findall(base))
                 swaps = substitutions(base)
-                rows.append((doc_id, _digest(text), None if swaps else _digest(base), base if swaps else None, list(swaps), list(swaps.values())))
-        yield pd.DataFrame(rows, columns=["doc_id", "raw", "key", "base", "tokens", "forms"])
+                rows.append((doc_id, _digest(text), None if swaps else _digest(base), base if swaps else None, list(swaps), list(swaps.values()), None))
+        yield pd.DataFrame(rows, columns=names)
+        if len(held) >= FLUSH_TOKENS:
+            yield words()
+            held.clear()
+    yield words()
 
 
-def _vocabulary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Distinct tokens of a partition, passed on whenever ``FLUSH_TOKENS`` are held."""
-    held: set[str] = set()
-    for pdf in batches:
-        for text in pdf["text"]:
-            held.update(_TOKEN.findall(base_form(text)))
-            if len(held) >= FLUSH_TOKENS:
-                yield pd.DataFrame({"form": list(held)})
-                held.clear()
-    yield pd.DataFrame({"form": list(held)}, dtype="object")
+def _repaired(base: str, swaps: dict[str, str], known: set[str]) -> tuple[str, str]:
+    """The repaired text (mixed-script tokens only) and the comparison form."""
 
+    def read_as(token: str) -> str:
+        form = swaps.get(token, token)
+        return form if form == token or form in known else token.translate(_TO_LATIN)
 
-def _repaired(base: str, swaps: dict[str, str], known: set[str]) -> tuple[str, str]:
-    """The repaired text and the comparison form."""
-    text = _TOKEN.sub(lambda m: swaps[m.group()] if swaps.get(m.group()) in known else m.group(), base)
-    form = _TOKEN.sub(lambda m: m.group() if m.group() not in swaps else swaps[m.group()] if swaps[m.group()] in known else m.group().translate(_TO_LATIN), base)
-    return text, form
+    text = _TOKEN.sub(lambda m: swaps[m.group()] if swaps.get(m.group()) in known and is_mixed(m.group()) else m.group(), base)
+    form = _TOKEN.sub(lambda m: read_as(m.group()), base)
+    return unicodedata.normalize("NFC", text), unicodedata.normalize("NFC", form)  # an accent may now have a letter to join
 
 
 def _repair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,26 +134,26 @@ def _repair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for doc_id, raw, base, tokens, forms, known in zip(pdf["doc_id"], pdf["raw"], pdf["base"], pdf["tokens"], pdf["forms"], pdf["known"]):
             text, form = _repaired(base, dict(zip(tokens, forms)), set(known) if known is not None else set())
-            rows.append((doc_id, raw, _digest(form), text))
-        yield pd.DataFrame(rows, columns=["doc_id", "raw", "key", "text"])
+            rows.append((doc_id, raw, _digest(form), text, text != base))
+        yield pd.DataFrame(rows, columns=["doc_id", "raw", "key", "text", "changed"])
 
 
-def visual_forms(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+def visual_forms(documents: DataFrame, shelf: Shelf | None = None) -> tuple[DataFrame, DataFrame]:
     """(doc_id, raw, key) of every document with visible text, and (doc_id, text) of the repaired ones.
 
-    ``raw`` and ``key`` are 128-bit digests of the text and of its comparison form.
+    ``raw`` and ``key`` are 128-bit digests of the text and of its comparison form.  Texts are gone through once, for their
+    forms and for the vocabulary.
     """
+    shelf = shelf or Shelf(documents.sparkSession)
     texts = documents.select("doc_id", "text").filter("text is not null")
-    forms = checkpointed(texts.mapInPandas(_forms, "doc_id bigint, raw binary, key binary, base string, tokens array<string>, forms array<string>"))
-    mixed = forms.filter("key is null")
+    rows = shelf.keep(texts.mapInPandas(_forms, _ROWS))
+    mixed = rows.filter("word is null and key is null").drop("word")
     wanted = mixed.select(F.explode("forms").alias("form")).distinct()
-    vocabulary = texts.select("text").mapInPandas(_vocabulary, "form string")
-    known = wanted.join(vocabulary, "form", "left_semi")
+    known = wanted.join(rows.filter("word is not null").select(F.col("word").alias("form")), "form", "left_semi")
     per_document = mixed.select("doc_id", F.explode("forms").alias("form")).join(known, "form").groupBy("doc_id").agg(F.collect_set("form").alias("known"))
-    repaired = mixed.drop("key").join(per_document, "doc_id", "left").mapInPandas(_repair, "doc_id bigint, raw binary, key binary, text string")
-    repaired = checkpointed(repaired)
-    keyed = forms.filter("key is not null").select("doc_id", "raw", "key").unionByName(repaired.select("doc_id", "raw", "key"))
-    return keyed, repaired.select("doc_id", "text")
+    repaired = shelf.keep(mixed.drop("key").join(per_document, "doc_id", "left").mapInPandas(_repair, "doc_id bigint, raw binary, key binary, text string, changed boolean"))
+    keyed = rows.filter("key is not null").select("doc_id", "raw", "key").unionByName(repaired.select("doc_id", "raw", "key"))
+    return keyed, repaired.filter("changed").select("doc_id", "text")
 
 
 def _mixed_classes(keyed: DataFrame) -> DataFrame:
@@ -146,9 +162,14 @@ def _mixed_classes(keyed: DataFrame) -> DataFrame:
 
 
 def lookalike_pairs(documents: DataFrame) -> DataFrame:
-    """doc_id_a < doc_id_b of documents that read the same and are made of different characters."""
-    keyed, _ = visual_forms(documents)
-    shared = keyed.join(_mixed_classes(keyed), "key")
+    """doc_id_a < doc_id_b of documents that read the same and are made of different characters.
+
+    As many rows as there are pairs; ``lookalike_classes`` says the same in one row per document.  The members are written
+    before they are joined, so that adaptive execution splits a large class.
+    """
+    shelf = Shelf(documents.sparkSession)
+    keyed, _ = visual_forms(documents, shelf)
+    shared = shelf.keep(keyed.join(_mixed_classes(keyed), "key").drop("class_id"))
     a = shared.select("key", F.col("doc_id").alias("doc_id_a"), F.col("raw").alias("raw_a"))
     b = shared.select("key", F.col("doc_id").alias("doc_id_b"), F.col("raw").alias("raw_b"))
     return a.join(b, "key").filter("doc_id_a < doc_id_b and raw_a <> raw_b").select("doc_id_a", "doc_id_b")

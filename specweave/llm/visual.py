@@ -56,4 +56,6 @@ def base_form(text: str) -> str:
 
 def latin_form(text: str) -> str:
     """The base form with look-alike letters in Latin: equal for texts that read the same."""
-    return text if text.isascii() and "\r" not in text else base_form(text).translate(_TO_LATIN)
+    if text.isascii() and "\r" not in text:
+        return text
+    return unicodedata.normalize("NFC", base_form(text).translate(_TO_LATIN))

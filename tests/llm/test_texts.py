@@ -175,12 +175,13 @@ def test_pairs_and_classes(spark):
     texts = [
         "The Pylon carries a load", "The Рylоn carries a load", "The Pylon carries а load", "The Pylon carries a load", "the pylon carries a load", "The Pylon  carries a load", "", None, "​", " ", "Pylоn only", "Рylon only",
         "Оператор передаёт канал", "Oператоp передаёт канал", "Rated 10² cycles", "Rated 102 cycles", "x" * 50_000, "x" * 49_999 + "х",
+        "caf\u00e9 Pylon", "cаf\u0435\u0301 Pylon", "сусӏеѕ Pylon", "cycles Pylon",
     ]
     got = {(r.doc_id_a, r.doc_id_b) for r in lookalike_pairs(documents(spark, *texts)).collect()}
-    assert got == {(0, 1), (0, 2), (1, 2), (1, 3), (2, 3), (10, 11), (12, 13), (16, 17)}
+    assert got == {(0, 1), (0, 2), (1, 2), (1, 3), (2, 3), (10, 11), (12, 13), (16, 17), (18, 19), (20, 21)}
     assert {(r.doc_id, r.class_id) for r in lookalike_classes(documents(spark, *texts)).collect() if r.class_id == 0} == {(0, 0), (1, 0), (2, 0), (3, 0)}
     repaired = {r.doc_id: r.text for r in visual_forms(documents(spark, *texts))[1].collect()}
-    assert repaired[1] == texts[0] and repaired[13] == texts[12]
+    assert repaired[1] == texts[0] and repaired[13] == texts[12] and 20 not in repaired  # it mixes no scripts within a word
     assert lookalike_pairs(documents(spark).limit(0)).count() == 0
 
 
