@@ -101,23 +101,37 @@ class SeedIndex:
             order = np.argsort(value, kind="stable")
             self.tables.append((value[order], item[order], at[order]))
 
-    def overlaps(self, h: np.ndarray) -> set[tuple[int, int]]:
-        """(item, shift) of the hits in a text; ``shift`` is the text's position minus the item's."""
-        found: set[tuple[int, int]] = set()
+    def hits(self, texts: list[np.ndarray]) -> dict[int, set[tuple[int, int]]]:
+        """Per text with hits: (item, shift); ``shift`` is the text's position minus the item's.
+
+        All texts are gone through in one array; windows across two texts are left out.
+        """
+        found: dict[int, set[tuple[int, int]]] = {}
+        ends = np.cumsum([len(h) for h in texts]) if texts else np.empty(0, dtype=np.int64)
+        whole = np.concatenate(texts) if texts else np.empty(0, dtype=np.uint64)
         for mask, (value, item, at) in zip(self.masks, self.tables):
-            own = seeds(h, mask)
+            own = seeds(whole, mask)
             if not len(own) or not len(value):
                 continue
             left = np.searchsorted(value, own, "left")
-            hits = np.flatnonzero(value[np.minimum(left, len(value) - 1)] == own)
-            if not len(hits):
+            pos = np.flatnonzero(value[np.minimum(left, len(value) - 1)] == own)
+            text = np.searchsorted(ends, pos, "right")
+            inside = pos + len(mask) <= ends[text]
+            pos, text = pos[inside], text[inside]
+            if not len(pos):
                 continue
-            first = left[hits]
-            times = np.searchsorted(value, own[hits], "right") - first
+            first = left[pos]
+            times = np.searchsorted(value, own[pos], "right") - first
             which = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)
-            found.update(zip(item[which].tolist(), (np.repeat(hits, times) - at[which]).tolist()))
+            start = ends[text] - np.array([len(texts[t]) for t in text])
+            shift = np.repeat(pos - start, times) - at[which]
+            for t, i, s in zip(np.repeat(text, times).tolist(), item[which].tolist(), shift.tolist()):
+                found.setdefault(t, set()).add((i, s))
         return found
 
+    def overlaps(self, h: np.ndarray) -> set[tuple[int, int]]:
+        return self.hits([h]).get(0, set())
+
     def compared(self, h: np.ndarray, item: int, shift: int) -> np.ndarray:
         """Word by word: whether text and item agree where they lie over each other."""
         own = self.items[item]
@@ -187,15 +201,15 @@ def leaks(documents: DataFrame, items: DataFrame, tolerant: bool = False, min_ru
             index, cache = shared.value, _Hashes()
             for pdf in batches:
                 rows = []
-                for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
-                    h = hashed(text, cache)
+                texts = [hashed(t, cache) for t in pdf["text"]]
+                for k, pairs in index.hits(texts).items():
                     best: dict[int, tuple[int, int]] = {}
-                    for item, shift in index.overlaps(h):
-                        same = index.compared(h, item, shift)
+                    for item, shift in pairs:
+                        same = index.compared(texts[k], item, shift)
                         got = longest_tolerant(same, MAX_REPLACED) if tolerant else (longest_run(same), 0)
                         if got[0] >= min_run and got > best.get(item, (0, 0)):
                             best[item] = got
-                    rows += [(doc_id, index.ids[item], *got) for item, got in best.items()]
+                    rows += [(pdf["doc_id"].iloc[k], index.ids[item], *got) for item, got in best.items()]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "overlap", "replaced"])
 
         return texts.mapInPandas(run, "doc_id bigint, item_id int, overlap int, replaced int")

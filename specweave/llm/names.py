@@ -169,7 +169,7 @@ def matched_names(names: DataFrame, known: DataFrame, threshold: float = THRESHO
     entry = index.join(idf, "gram")
     postings = shelf.keep(entry.select("gram", "form"))
     square = F.col("w") * F.col("w")
-    entries = shelf.keep(entry.groupBy("form").agg(F.sum(square).alias("form_square"), F.collect_list(F.struct("gram", square.alias("square"))).alias("parts")).join(forms, "form"))
+    entries = shelf.keep(entry.groupBy("form").agg(F.sum(square).alias("form_square"), F.map_from_entries(F.collect_list(F.struct("gram", square.alias("square")))).alias("squares")).join(forms, "form"))
 
     asked = shelf.keep(vectors(open_names, idf, math.log(n_forms + 1.0)))
     rising = Window.partitionBy("normal").orderBy("w", "gram").rowsBetween(Window.unboundedPreceding, 0)
@@ -177,10 +177,12 @@ def matched_names(names: DataFrame, known: DataFrame, threshold: float = THRESHO
     ranked = asked.withColumn("so_far", F.sum(square).over(rising)).withColumn("name_square", F.sum(square).over(whole))
     floor = _floor(F.col("normal"), threshold, short_threshold)
     rare = shelf.keep(ranked.filter(F.col("so_far") >= floor * floor * F.col("name_square") * (1 - 1e-9)).select("normal", "gram"))
-    pairs = rare.join(postings, "gram").select("normal", "form").distinct()
+    # a form of another length is struck out anyway: MAX_EDITS apart, and up to two letters less in the singular
+    apart = F.char_length("normal") - F.char_length("form")
+    pairs = rare.join(postings, "gram").filter(apart.between(-MAX_EDITS, MAX_EDITS + 2)).select("normal", "form").distinct()
     profiles = asked.groupBy("normal").agg(F.sum(square).alias("name_square"), F.collect_list("gram").alias("grams"))
     met = pairs.join(profiles, "normal").join(entries, "form")
-    dot = F.aggregate(F.filter("parts", lambda p: F.array_contains("grams", p["gram"])), F.lit(0.0), lambda a, p: a + p["square"])
+    dot = F.aggregate(F.array_intersect("grams", F.map_keys("squares")), F.lit(0.0), lambda a, g: a + F.col("squares")[g])
     cosines = met.select("normal", "form", "known_id", (dot / F.sqrt(F.col("name_square") * F.col("form_square"))).alias("cosine")).filter(F.col("cosine") >= floor)
     alike = cosines.mapInPandas(_spelled, "normal string, known_id int, cosine double")
     per_entry = alike.groupBy("normal", "known_id").agg(F.max("cosine").alias("cosine"))

@@ -26,7 +26,10 @@ _TABLE |= {p: chr(p - 0xFEE0) for p in range(0xFF01, 0xFF5F)}
 _TABLE |= {p: unicodedata.normalize("NFKC", chr(p)) for p in range(0xFF61, 0xFFA0)}
 _TABLE[0xB5] = "μ"
 _JOINERS = re.compile("[‌‍]")
-_TO_LATIN = {ord(k): v for k, v in (CYRILLIC | GREEK).items()}
+_TO_LATIN = CYRILLIC | GREEK
+#: Most texts hold few of these characters; a search for them is much faster than a translation of every character.
+_PLAIN = {chr(p): s or "" for p, s in _TABLE.items()}
+_CHANGED, _DOUBLED = re.compile("[" + re.escape("".join(_PLAIN)) + "]"), re.compile("[" + "".join(_TO_LATIN) + "]")
 
 
 def _joins(a: str, b: str) -> bool:
@@ -47,7 +50,7 @@ def base_form(text: str) -> str:
         text = text.replace("\r\n", "\n").replace("\r", "\n")
     if text.isascii():
         return text
-    text = text.translate(_TABLE)
+    text = _CHANGED.sub(lambda m: _PLAIN[m.group()], text)
     if "‌" in text or "‍" in text:
         whole = text
         text = _JOINERS.sub(lambda m: m.group() if _joins(whole[m.start() - 1 : m.start()], whole[m.end() : m.end() + 1]) else "", whole)
@@ -58,4 +61,4 @@ def latin_form(text: str) -> str:
     """The base form with look-alike letters in Latin: equal for texts that read the same."""
     if text.isascii() and "\r" not in text:
         return text
-    return unicodedata.normalize("NFC", base_form(text).translate(_TO_LATIN))
+    return unicodedata.normalize("NFC", _DOUBLED.sub(lambda m: _TO_LATIN[m.group()], base_form(text)))
