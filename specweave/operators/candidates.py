@@ -211,9 +211,12 @@ def q_nominalisations(spark: SparkSession, root: str) -> DataFrame:
     return q_sentences(spark, root).select("doc_id", "n", word.alias("word")).filter(F.col("word").rlike(NOMINAL))
 
 
-_ONCE = """b as (select * from blocks where record_id in (select min(record_id) from blocks group by document_id, block_id)),
+ONCE_SQL = """b as (select * from blocks where record_id in (select min(record_id) from blocks group by document_id, block_id)),
 c as (select * from chunks where record_id in (select min(record_id) from chunks group by document_id, chunk_id)),
 p as (select x.document_id, x.chunk_id, b.* exclude (document_id) from (select document_id, chunk_id, unnest(block_ids) as bid from c) x join b on b.document_id = x.document_id and b.block_id = x.bid where b.kind is null or b.kind <> 'furniture')"""
+#: Every spelling of the given known entities; of equal ones the last entity's counts.
+LEXICON_SQL = r"""lex as (select key, arg_max(name, known_id) as name, arg_max(layer, known_id) as layer, arg_max(entity_type, known_id) as ty
+  from (select known_id, name, layer, entity_type, lower(trim(regexp_replace(unnest(list_concat([name], coalesce(aliases, []))), '\s+', ' ', 'g'))) as key from known_entities where trim(name) <> '') group by key)"""
 _S = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 _CAT = "case lower(trim(h)) " + " ".join(f"when '{a}' then '{c}'" for c, names in HEADERS.items() for a in names) + " end"
 _CATS = f"list_transform(tbl.header, lambda h: {_CAT})"
@@ -223,13 +226,13 @@ QUERIES = {
     "sentences": q_sentences, "nominalisations": q_nominalisations,
 }
 ORACLES = {
-    "spec_rows": f"""with {_ONCE}, t as (select *, {_CATS} as cats from p where kind = 'table' and len(tbl.rows) > 0),
+    "spec_rows": f"""with {ONCE_SQL}, t as (select *, {_CATS} as cats from p where kind = 'table' and len(tbl.rows) > 0),
 r as (select document_id, chunk_id, block_id, cats, unnest(tbl.rows) as vals, unnest(range(len(tbl.rows))) as n from t where list_contains(cats, 'name')),
 z as (select *, {_S.format("vals[list_position(cats, 'name')]")} as raw_name, list_filter(list_transform(range(1, len(cats) + 1), lambda i: struct_pack(c := cats[i], v := {_S.format("vals[i]")}, i := i)), lambda e: e.c is not null and e.v <> '') as cl from r)
 select document_id, chunk_id, block_id, raw_name, array_to_string(list_sort(list_transform(list_filter(cl, lambda e: len(list_filter(cl, lambda f: f.c = e.c and f.i > e.i)) = 0), lambda e: e.c || '=' || e.v)), ';') as cells from z where raw_name <> ''""",
-    "kv_rows": f"""with {_ONCE}, r as (select document_id, chunk_id, block_id, unnest(tbl.rows) as vals from p where kind = 'table' and len(tbl.header) = 2 and len(tbl.rows) > 0 and len(list_filter({_CATS}, lambda c: c is not null)) = 0)
+    "kv_rows": f"""with {ONCE_SQL}, r as (select document_id, chunk_id, block_id, unnest(tbl.rows) as vals from p where kind = 'table' and len(tbl.header) = 2 and len(tbl.rows) > 0 and len(list_filter({_CATS}, lambda c: c is not null)) = 0)
 select document_id, chunk_id, block_id, trim(vals[1]) as raw_name, case when trim(vals[2]) <> '' then 'description=' || trim(vals[2]) else '' end as cells from r where len(vals) >= 2 and trim(vals[1]) <> ''""",
-    "form_fields": f"""with {_ONCE}, f as (select document_id, chunk_id, block_id, trim(regexp_extract({_S.format("text")}, '^([^:]{{1,80}}):\\s*(.*)$', 1)) as raw_name, trim(regexp_extract({_S.format("text")}, '^([^:]{{1,80}}):\\s*(.*)$', 2)) as v from p where kind = 'form_field')
+    "form_fields": f"""with {ONCE_SQL}, f as (select document_id, chunk_id, block_id, trim(regexp_extract({_S.format("text")}, '^([^:]{{1,80}}):\\s*(.*)$', 1)) as raw_name, trim(regexp_extract({_S.format("text")}, '^([^:]{{1,80}}):\\s*(.*)$', 2)) as v from p where kind = 'form_field')
 select document_id, chunk_id, block_id, raw_name, case when v <> '' then 'description=' || v else '' end as cells from f where raw_name <> ''""",
     "entity_mentions": r"""with b as (select document_id, block_id, lower(text) as t, ' ' || regexp_replace(lower(text), '[^\pL\pN_]+', ' ', 'g') || ' ' as w from blocks where record_id in (select min(record_id) from blocks group by document_id, block_id)),
 k as (select name, lower(name) as n from known_entities where trim(name) <> '')

@@ -3,12 +3,14 @@
 Packing is sequential, so it runs as a stream over blocks sorted within their section (a few blocks in memory, however long
 the section); sections, heading paths and chunk numbers are found with running values and windows.
 
-Defined results: documents without blocks give no chunks; null texts count as empty; a block over the budget is never cut.
+Defined results: documents without blocks give no chunks; null texts count as empty; a block over the budget is never cut;
+blocks without page make a page of their own, which counts as page 0 in ids.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate, groupby, takewhile
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -21,42 +23,48 @@ from specweave.session import table
 
 #: Token budget of a chunk, tokens carried into the next one, and the deepest heading level that starts a section.
 MAX_TOKENS, OVERLAP_TOKENS, SPLIT_LEVEL = 800, 100, 3
-LEVELS = range(0, 10)
 
 _PACKED = "document_id string, section bigint, emitted int, heading_path array<string>, id_page int, page_number int, page_end int, block_ids array<string>, source_text string"
 
 
-def _packed(rows: Iterator[tuple], most: int, overlap: int) -> Iterator[tuple]:
-    """Chunks of one section; a row is (block_id, page, kind, text, tokens)."""
-    held: list[tuple] = []
-    size = fresh = 0  # tokens held; position of the first block that wasn't carried over
-
-    def close() -> tuple | None:
-        nonlocal held, size, fresh
-        done = (held, fresh) if fresh < len(held) else None
-        carried: list[tuple] = []
-        size = 0
-        if done:
-            for row in reversed(held[fresh:]):
-                if row[2] == "table" or size + row[4] > overlap:
-                    break
-                carried.insert(0, row)
-                size += row[4]
-        held, fresh = carried, len(carried)
-        return done
-
-    for row in rows:
-        if row[2] == "table":
-            if done := close():
-                yield done
-            yield [row], 0
-            continue
-        if held and size + row[4] > most and (done := close()):
-            yield done
-        held.append(row)
-        size += row[4]
-    if done := close():
-        yield done
+def _tail(rows: list[tuple], most: int) -> list[tuple]:
+    """The longest end of ``rows`` of at most ``most`` tokens."""
+    sums = accumulate(row[4] for row in reversed(rows))
+    n = sum(1 for _ in takewhile(lambda s: s <= most, sums))
+    return rows[len(rows) - n :]
+
+
+def _fill(run: Iterator[tuple], lead: list[tuple], most: int, overlap: int) -> Iterator[tuple[list[tuple], list[tuple]]]:
+    """The packs of a run of blocks without tables, as (carried rows, new rows); the first one begins with ``lead``."""
+    new: list[tuple] = []
+    room = most - sum(row[4] for row in lead)
+    for row in run:
+        if row[4] > room and (lead or new):
+            if new:
+                yield lead, new
+            lead, new = _tail(new, overlap), []
+            room = most - sum(r[4] for r in lead)
+        new.append(row)
+        room -= row[4]
+    yield lead, new
+
+
+def _packed(rows: Iterator[tuple], most: int, overlap: int) -> Iterator[tuple[list[tuple], int]]:
+    """Chunks of one section, with the position of their first new block; a row is (block_id, page, kind, text, tokens).
+
+    A table stands alone.  What the pack before it carries on goes to the pack behind it, unless another table follows.
+    """
+    lead: list[tuple] = []
+    for is_table, run in groupby(rows, key=lambda row: row[2] == "table"):
+        if is_table:
+            for n, row in enumerate(run):
+                lead = lead if n == 0 else []
+                yield [row], 0
+        else:
+            new: list[tuple] = []
+            for lead, new in _fill(run, lead, most, overlap):
+                yield [*lead, *new], len(lead)
+            lead = _tail(new, overlap)
 
 
 def pack(blocks: DataFrame, max_tokens: int = MAX_TOKENS, overlap_tokens: int = OVERLAP_TOKENS) -> DataFrame:
@@ -92,11 +100,11 @@ def pack(blocks: DataFrame, max_tokens: int = MAX_TOKENS, overlap_tokens: int =
 
 def numbered(packed: DataFrame, strategy: str) -> DataFrame:
     """Chunks with ids: numbered per document and page of their first new block, in the order they were made."""
-    order = Window.partitionBy("document_id", "id_page").orderBy("section", "emitted")
+    order = Window.partitionBy("document_id", F.coalesce("id_page", F.lit(0))).orderBy("section", "emitted")
     n = F.row_number().over(order) - 1
     return packed.withColumn("n", n).select(
         "document_id",
-        F.format_string("chunk-%s-p%04d-%04d", "document_id", "id_page", "n").alias("chunk_id"),
+        F.format_string("chunk-%s-p%04d-%04d", "document_id", F.coalesce("id_page", F.lit(0)), "n").alias("chunk_id"),
         F.col("section").alias("section"), F.col("emitted").alias("emitted"), "page_number", "page_end", "source_text", "block_ids", "heading_path",
         token_count(F.col("source_text")).alias("token_count"), F.lit(strategy).alias("strategy"),
     )
@@ -112,32 +120,73 @@ def by_page(blocks: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     whole = blocks.groupBy("document_id", "page").agg(F.sum(F.size(F.filter(F.split(text, r"(?U)\s+"), lambda w: w != ""))).alias("words"))
     fits = whole.select("document_id", "page", (F.ceil(F.col("words") * F.lit(1.3)) <= max_tokens).alias("fits"))
-    paged = blocks.join(fits, ["document_id", "page"]).withColumn("section", F.col("page")).withColumn("heading_path", F.array().cast("array<string>"))
+    paged = blocks.join(fits.withColumnRenamed("page", "_page"), (blocks.document_id == fits.document_id) & blocks.page.eqNullSafe(F.col("_page"))).drop(fits.document_id).drop("_page")
+    paged = paged.withColumn("section", F.coalesce("page", F.lit(-1))).withColumn("heading_path", F.array().cast("array<string>"))
     small = paged.filter("fits").groupBy("document_id", "page").agg(F.array_sort(F.collect_list(F.struct("ord", "block_id", text.alias("text")))).alias("b"))
     one = small.select(
-        "document_id", F.col("page").cast("bigint").alias("section"), F.lit(0).alias("emitted"), F.array().cast("array<string>").alias("heading_path"), F.col("page").alias("id_page"), F.col("page").alias("page_number"),
+        "document_id", F.coalesce("page", F.lit(-1)).cast("bigint").alias("section"), F.lit(0).alias("emitted"), F.array().cast("array<string>").alias("heading_path"), F.col("page").alias("id_page"), F.col("page").alias("page_number"),
         F.col("page").alias("page_end"), F.col("b.block_id").alias("block_ids"), F.array_join(F.col("b.text"), "\n").alias("source_text"),
     )
     return numbered(one.unionByName(pack(paged.filter("not fits"), max_tokens, 0)), "by_page")
 
 
-def heading_state(blocks: DataFrame, split_level: int = SPLIT_LEVEL) -> DataFrame:
-    """Blocks with ``section`` (number of splitting headings so far) and ``heading_path`` (the headings that hold there).
+_STACK = "array<struct<level:int,text:string>>"
+
 
-    For each level the last heading is carried along; it holds as long as no higher one came after it.
+def _above(stack: list, headings: list) -> list:
+    """The headings that hold after ``headings`` (a stack itself) came upon ``stack``."""
+    return [h for h in stack if h[0] < headings[0][0]] + headings if headings else stack
+
+
+def _stacks(rows: DataFrame, group: list[str], order: str, before: bool) -> DataFrame:
+    """Adds ``held``: the headings that hold after each row's own ``stack`` came (``before``: those that held ahead of it),
+    going through each group in order with one stack in memory."""
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name in [*group, order])
+    names = [f.name for f in rows.schema if f.name in [*group, order]]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, held = None, []
+        for pdf in batches:
+            out = []
+            for own, stack in zip(zip(*[pdf[g] for g in group]), pdf["stack"]):
+                if own != key:
+                    key, held = own, []
+                after = _above(held, [(h["level"], h["text"]) for h in stack])
+                out.append([{"level": n, "text": t} for n, t in (held if before else after)])
+                held = after
+            yield pdf[names].assign(held=out)
+
+    ordered = rows.select(*names, "stack").repartition(*group).sortWithinPartitions(*group, order)
+    return ordered.mapInPandas(run, f"{types}, held {_STACK}")
+
+
+def heading_paths(blocks: DataFrame, split_level: int = SPLIT_LEVEL, bucket: int = 4096) -> DataFrame:
+    """document_id, head_ord, section, heading_path of every heading: the headings of any depth that hold from it on.
+
+    In two levels, so that no task goes through all headings of a huge document: the stack within buckets of positions, then
+    the stacks of whole buckets carried on.
     """
-    heading = (F.col("kind") == "heading") & F.col("heading_level").isNotNull()
-    level = F.least("heading_level", F.lit(LEVELS[-1]))
-    marks = {f"_h{n}": F.when(heading & (level == n), F.struct("ord", "text")) for n in LEVELS}
-    split = F.when(heading & (F.col("heading_level") <= split_level), 1).otherwise(0)
-    cut = running_sum(blocks.withColumns(marks).withColumn("_split", F.coalesce(split, F.lit(0))), ["document_id"], "ord", "_split", "section")
-    held = running_last(cut, ["document_id"], "ord", {f"_s{n}": f"_h{n}" for n in LEVELS})
-    entries = []
-    for n in LEVELS:
-        later = [F.coalesce(F.col(f"_s{m}")["ord"], F.lit(-1)) for m in LEVELS if m < n]
-        alive = F.col(f"_s{n}").isNotNull() & (F.col(f"_s{n}")["ord"] > (F.greatest(*later) if len(later) > 1 else later[0] if later else F.lit(-1)))
-        entries.append(F.when(alive, F.col(f"_s{n}")["text"]))
-    return held.withColumn("heading_path", F.array_compact(F.array(*entries))).drop("_split", *marks, *[f"_s{n}" for n in LEVELS])
+    heads = blocks.filter("kind = 'heading' and heading_level is not null").select(
+        "document_id", F.col("ord").alias("head_ord"), F.floor(F.col("ord") / bucket).alias("bucket"), F.array(F.struct(F.col("heading_level").alias("level"), "text")).cast(_STACK).alias("stack"),
+        (F.col("heading_level") <= split_level).cast("int").alias("splits"),
+    )
+    key = ["document_id", "bucket"]
+    inside = _stacks(heads, key, "head_ord", before=False)
+    ends = inside.groupBy(*key).agg(F.max_by("held", "head_ord").alias("stack"))
+    carried = _stacks(ends, ["document_id"], "bucket", before=True).withColumnRenamed("held", "carried")
+    outer = F.filter("carried", lambda h: h["level"] < F.col("held")[0]["level"])
+    path = F.transform(F.concat(outer, "held"), lambda h: h["text"])
+    paths = inside.join(carried, key).select("document_id", "head_ord", path.alias("heading_path"))
+    numbers = running_sum(heads.select("document_id", "head_ord", "splits"), ["document_id"], "head_ord", "splits", "section").drop("splits")
+    return paths.join(numbers, ["document_id", "head_ord"])
+
+
+def heading_state(blocks: DataFrame, split_level: int = SPLIT_LEVEL, bucket: int = 4096) -> DataFrame:
+    """Blocks with ``section`` (number of splitting headings so far) and ``heading_path`` (the headings that hold there)."""
+    here = F.when((F.col("kind") == "heading") & F.col("heading_level").isNotNull(), F.col("ord"))
+    last = running_last(blocks.withColumn("_here", here), ["document_id"], "ord", {"head_ord": "_here"}, bucket=bucket).drop("_here")
+    joined = last.join(heading_paths(blocks, split_level, bucket), ["document_id", "head_ord"], "left").drop("head_ord")
+    return joined.withColumns({"section": F.coalesce("section", F.lit(0)), "heading_path": F.coalesce("heading_path", F.array().cast("array<string>"))})
 
 
 def heading_aware(blocks: DataFrame, max_tokens: int = MAX_TOKENS, overlap_tokens: int = OVERLAP_TOKENS, split_level: int = SPLIT_LEVEL) -> DataFrame:
@@ -195,20 +244,81 @@ def q_heading_paths(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_chunk_problems(spark: SparkSession, root: str) -> DataFrame:
-    blocks = _blocks(spark, root)
-    return chunk_problems(heading_aware(blocks), blocks)
+    """Of the given chunks, all deliveries, against the blocks."""
+    return chunk_problems(table(spark, root, "chunks"), _blocks(spark, root))
 
 
 _ONCE = "b as (select * from blocks where record_id in (select min(record_id) from blocks group by document_id, block_id))"
-_LEVEL = "last_value(case when kind = 'heading' and heading_level = {n} then struct_pack(o := ord, t := text) end ignore nulls) over w as s{n}"
-_ALIVE = "case when s{n} is not null and s{n}.o > greatest(-1{before}) then s{n}.t end"
+_HEADS = f"""h as (select document_id, ord, text, heading_level as lvl from b where kind = 'heading' and heading_level is not null),
+lives as (select h.*, (select min(g.ord) from h g where g.document_id = h.document_id and g.ord > h.ord and g.lvl <= h.lvl) as dies from h),
+s as (select b.*, (select count(*) from h where h.document_id = b.document_id and h.ord <= b.ord and lvl <= {SPLIT_LEVEL}) as section,
+  coalesce((select list(l.text order by l.ord) from lives l where l.document_id = b.document_id and l.ord <= b.ord and (dies is null or b.ord < dies)), []) as path from b)"""
+
+
+def _tokens(text: str) -> str:
+    return rf"ceil(len(list_filter(regexp_split_to_array({text}, '[\s\x1c-\x1f\x85\p{{Z}}]+'), lambda x: x <> '')) * 1.3::double)::int"
+
+
+
+#: The greedy packing of the rows of ``r`` (d, sec, i, bid, pg, tbl, t, txt; i from 1 within d and sec), block by block.
+_PACKING = f"""
+walk as (
+  select d, sec, i, case when tbl then 0 else t end as size, not tbl as fresh, case when tbl then [] else [i] end as held, 0 as lead, case when tbl then [[i]] else [] end as made, case when tbl then [0] else [] end as leads from r where i = 1
+  union all
+  select r.d, r.sec, r.i,
+    case when r.tbl then w.c_size else case when w.cut then w.c_size else w.size end + r.t end,
+    not r.tbl,
+    case when r.tbl then w.c_held else list_append(case when w.cut then w.c_held else w.held end, r.i) end,
+    case when r.tbl then len(w.c_held) when w.cut then len(w.c_held) else w.lead end,
+    list_concat(case when w.cut and w.fresh then [w.held] else [] end, case when r.tbl then [[r.i]] else [] end),
+    list_concat(case when w.cut and w.fresh then [w.lead] else [] end, case when r.tbl then [0] else [] end)
+  from (
+    select w.*, n.tbl or (len(w.held) > 0 and w.size + n.t > @MOST@) as cut,
+      case when w.fresh then (select coalesce(list(x.i order by x.i), []) from r x where x.d = w.d and x.sec = w.sec and x.i in (select unnest(w.held[w.lead + 1:]))
+        and (select sum(y.t) from r y where y.d = w.d and y.sec = w.sec and y.i between x.i and w.i) <= @OVERLAP@) else [] end as c_held,
+      case when w.fresh then (select coalesce(sum(x.t), 0) from r x where x.d = w.d and x.sec = w.sec and x.i in (select unnest(w.held[w.lead + 1:]))
+        and (select sum(y.t) from r y where y.d = w.d and y.sec = w.sec and y.i between x.i and w.i) <= @OVERLAP@) else 0 end as c_size
+    from walk w join r n on n.d = w.d and n.sec = w.sec and n.i = w.i + 1) w
+  join r on r.d = w.d and r.sec = w.sec and r.i = w.i + 1),
+made as (
+  select d, sec, i, made, leads from walk
+  union all select d, sec, i + 1, [held], [lead] from walk w where fresh and i = (select max(i) from r where r.d = w.d and r.sec = w.sec)),
+packs as (select d, sec, i, unnest(made) as ids, unnest(leads) as lead, unnest(range(len(made))) as n from made),
+full_packs as (
+  select p.d, p.sec, p.i, p.n, list(r.bid order by r.i) as block_ids, min_by(r.pg, r.i) as page_number, max_by(r.pg, r.i) as page_end, string_agg(r.txt, chr(10) order by r.i) as txt,
+    min_by(r.pg, case when list_position(p.ids, r.i) > p.lead then r.i end) as id_page
+  from (select *, unnest(ids) as e from packs) p join r on r.d = p.d and r.sec = p.sec and r.i = p.e group by p.d, p.sec, p.i, p.n)"""
+
+
+def _packing(most: int, overlap: int) -> str:
+    return _PACKING.replace("@MOST@", str(most)).replace("@OVERLAP@", str(overlap))
+
+
+def _rows(section: str, of: str) -> str:
+    return f"""select document_id as d, {section} as sec, row_number() over (partition by document_id, {section} order by ord) as i, block_id as bid, page as pg, coalesce(kind = 'table', false) as tbl,
+  {_tokens("coalesce(text, '')")} as t, coalesce(text, '') as txt from {of}"""
+
+
+def _chunk_sql(path: str, of: str) -> str:
+    number = "'chunk-' || d || '-p' || printf('%04d', id_page) || '-' || printf('%04d', row_number() over (partition by d, id_page order by sec, i, n) - 1)"
+    return f"select d as document_id, {number} as chunk_id, page_number, page_end, {_tokens('txt')} as token_count, block_ids, {path} as heading_path from {of}"
+
+
 QUERIES = {"token_counts": q_token_counts, "chunks_by_page": q_by_page, "chunks_fixed_tokens": q_fixed, "chunks_heading_aware": q_heading_aware, "heading_paths": q_heading_paths, "chunk_problems": q_chunk_problems}
 ORACLES = {
     "token_counts": r"select doc_id, ceil(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\s\x1c-\x1f\x85\p{Z}]+'), lambda x: x <> '')) * 1.3::double)::int as tokens from documents",
-    "heading_paths": f"""
-with {_ONCE}, s as (select *, {", ".join(_LEVEL.format(n=n) for n in LEVELS)},
-  sum(case when kind = 'heading' and heading_level <= {SPLIT_LEVEL} then 1 else 0 end) over w as section from b window w as (partition by document_id order by ord rows unbounded preceding))
-select document_id, block_id, section::bigint as section,
-  array_to_string(list_filter([{", ".join(_ALIVE.format(n=n, before="".join(f", coalesce(s{m}.o, -1)" for m in LEVELS if m < n)) for n in LEVELS)}], lambda x: x is not null), ' > ') as path from s""",
-    "chunk_problems": "select null::varchar as document_id, null::varchar as problem where false",
+    "heading_paths": f"with {_ONCE}, {_HEADS} select document_id, block_id, section, array_to_string(path, ' > ') as path from s",
+    "chunks_fixed_tokens": f"with recursive {_ONCE}, r as ({_rows('0', 'b')}), {_packing(MAX_TOKENS, OVERLAP_TOKENS)} {_chunk_sql('[]::varchar[]', 'full_packs')}",
+    "chunks_heading_aware": f"""with recursive {_ONCE}, {_HEADS}, r as ({_rows("section", "s")}), {_packing(MAX_TOKENS, OVERLAP_TOKENS)},
+ends as (select document_id, section, max_by(path, ord) as path from s group by all)
+{_chunk_sql("path", "full_packs join ends on ends.document_id = d and ends.section = sec")}""",
+    "chunks_by_page": f"""with recursive {_ONCE}, w as (select *, {_tokens("string_agg(coalesce(text, ''), ' ') over (partition by document_id, page)")} <= {MAX_TOKENS} as fits from b),
+r as ({_rows("page", "w where not fits")}), {_packing(MAX_TOKENS, 0)},
+small as (select document_id as d, page as sec, 0 as i, 0 as n, list(block_id order by ord) as block_ids, page as page_number, page as page_end, string_agg(coalesce(text, ''), chr(10) order by ord) as txt, page as id_page from w where fits group by document_id, page),
+every as (select * from full_packs union all by name select * from small)
+{_chunk_sql("[]::varchar[]", "every")}""",
+    "chunk_problems": f"""with {_ONCE}, u as (select distinct document_id, unnest(block_ids) as block_id from chunks)
+select document_id, 'twice: ' || chunk_id as problem from chunks group by document_id, chunk_id having count(*) > 1
+union all select document_id, 'in no chunk: ' || block_id from b where not exists (select 1 from u where u.document_id = b.document_id and u.block_id = b.block_id)
+union all select document_id, 'unknown: ' || block_id from u where not exists (select 1 from b where u.document_id = b.document_id and u.block_id = b.block_id)""",
 }

@@ -1,8 +1,7 @@
 """Duplicate entities of a document: candidate pairs, seven features, classification, groups, canonical entities.
 
-Pairs are made within a document for entities that share the first letter of their normal name or their type, as two
-equi-joins whose union is free of repetitions.  A document's entities are compared pair by pair because the result is
-defined on pairs; documents are independent.
+Pairs are blocked within a document: entities that share the first letter of their normal name or their type.  Of these
+only pairs with one normal name or an alias link can pass the thresholds, so only they are made (``candidate_pairs``).
 
 Defined results: null names count as empty; two empty sets have overlap 0; every entity is in exactly one group.
 """
@@ -17,8 +16,9 @@ from pyspark.sql import functions as F
 
 from specweave.functions.keys import content_id
 from specweave.functions.numbers import jaccard, precise_sum
+from specweave.functions.text import strip
 from specweave.operators.cleaning import delivered_once
-from specweave.operators.naming import normalized
+from specweave.operators.components import connected_components
 from specweave.session import checkpointed, table
 from specweave.sources.lexicons import Lexicon, plain
 
@@ -87,26 +87,60 @@ def compared(entities: DataFrame) -> DataFrame:
     return entities.select(*names, shingles(F.col("supporting_evidence")).alias("shingles"))
 
 
+def _sides(e: DataFrame) -> tuple[DataFrame, DataFrame]:
+    side = lambda p: e.select([F.col(c).alias(f"{p}_{c}") for c in e.columns])
+    return side("a"), side("b")
+
+
 def pairs(entities: DataFrame) -> DataFrame:
     """Blocked pairs a < b of a document, each once; columns of both sides prefixed ``a_`` and ``b_``."""
     e = compared(entities).withColumn("letter", F.lower(F.substring(F.coalesce("normalized_entity_name", F.lit("")), 1, 1)))
-    side = lambda p: e.select([F.col(c).alias(f"{p}_{c}") for c in e.columns])
-    a, b = side("a"), side("b")
+    a, b = _sides(e)
     same = (F.col("a_document_id") == F.col("b_document_id")) & (F.col("a_entity_id") < F.col("b_entity_id"))
     by_type = a.join(b, same & (F.col("a_entity_type") == F.col("b_entity_type")))
     by_letter = a.join(b, same & (F.col("a_letter") == F.col("b_letter")) & ~F.coalesce(F.col("a_entity_type") == F.col("b_entity_type"), F.lit(False)))
     return by_type.unionByName(by_letter)
 
 
+def _keys(side: str = "") -> Column:
+    key = lambda c: F.lower(strip(F.coalesce(c, F.lit(""))))
+    return F.array_distinct(F.array(key(F.col(f"{side}entity_name")), key(F.col(f"{side}normalized_entity_name"))))
+
+
+def _links(entities: DataFrame, lexicon: Lexicon) -> DataFrame:
+    links = entities.sparkSession.createDataFrame(alias_pairs(lexicon), "x string, y string")
+    return F.broadcast(links.union(links.select("y", "x")).distinct())  # the lexicon is bounded
+
+
+def candidate_pairs(entities: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFrame:
+    """The blocked pairs that can be duplicates at all, as two equi-joins.
+
+    A pair with different normal names and no alias link reaches the sum of the other weights at most.  As long as that is
+    below the threshold of possible duplicates, all pairs beyond it have one normal name or an alias link.
+    """
+    if sum(w for f, w in WEIGHTS.items() if f not in ("normalized_exact", "alias_link")) >= POSSIBLE:
+        return pairs(entities)
+    e = compared(entities).withColumn("keys", _keys())
+    a, b = _sides(e.drop("keys"))
+    same = (F.col("a_document_id") == F.col("b_document_id")) & (F.col("a_entity_id") < F.col("b_entity_id"))
+    named = a.join(b, same & (F.col("a_normalized_entity_name") == F.col("b_normalized_entity_name")))
+    spoken = e.select("document_id", "entity_id", F.explode("keys").alias("x"))
+    heard = spoken.join(_links(entities, lexicon), "x").select("document_id", "entity_id", F.col("y").alias("x"))
+    met = heard.withColumnRenamed("entity_id", "p").join(spoken.withColumnRenamed("entity_id", "q"), ["document_id", "x"]).filter("p <> q")
+    ids = met.select(F.col("document_id").alias("a_document_id"), F.least("p", "q").alias("a_entity_id"), F.greatest("p", "q").alias("b_entity_id")).distinct()
+    letter = lambda p: F.lower(F.substring(F.coalesce(f"{p}_normalized_entity_name", F.lit("")), 1, 1))
+    blocked = F.coalesce(F.col("a_entity_type") == F.col("b_entity_type"), F.lit(False)) | (letter("a") == letter("b"))
+    aliased = ids.join(a, ["a_document_id", "a_entity_id"]).join(b.withColumn("a_document_id", F.col("b_document_id")), ["a_document_id", "b_entity_id"])
+    other = ~F.coalesce(F.col("a_normalized_entity_name") == F.col("b_normalized_entity_name"), F.lit(False))
+    return named.unionByName(aliased.filter(blocked & other))
+
+
 def features(paired: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFrame:
     """The seven features, composite, classification and reason of pairs."""
-    links = paired.sparkSession.createDataFrame(alias_pairs(lexicon), "canonical string, alias string")
-    key = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
-    rows = paired.withColumn("_ka", F.array_distinct(F.array(key(F.col("a_entity_name")), key(F.col("a_normalized_entity_name"))))).withColumn("_kb", F.array_distinct(F.array(key(F.col("b_entity_name")), key(F.col("b_normalized_entity_name")))))
+    rows = paired.withColumn("_ka", _keys("a_")).withColumn("_kb", _keys("b_"))
     ids = ["a_document_id", "a_entity_id", "b_entity_id"]
     tied = rows.select(*ids, F.explode("_ka").alias("x"), "_kb").select(*ids, "x", F.explode("_kb").alias("y"))
-    both = links.select(F.col("canonical").alias("x"), F.col("alias").alias("y")).union(links.select("alias", "canonical"))
-    linked = tied.join(F.broadcast(both), ["x", "y"]).select(*ids).distinct().withColumn("_linked", F.lit(True))
+    linked = tied.join(_links(paired, lexicon), ["x", "y"]).select(*ids).distinct().withColumn("_linked", F.lit(True))
     one = lambda c: F.when(c, F.lit(1.0)).otherwise(F.lit(0.0))
     f = rows.join(linked, ids, "left").withColumns({
         "name_sim": F.pandas_udf(_name_likeness, "double")("a_entity_name", "b_entity_name"),
@@ -126,21 +160,15 @@ def features(paired: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFrame:
 
 
 def duplicate_pairs(entities: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFrame:
-    return features(pairs(entities), lexicon).filter("classification <> 'DISTINCT'")
+    return features(candidate_pairs(entities, lexicon), lexicon).filter("classification <> 'DISTINCT'")
 
 
-def groups(entities: DataFrame, found: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """document_id, entity_id, root: the smallest id reached over DUPLICATE pairs, handed on until nothing changes."""
-    links = found.filter("classification = 'DUPLICATE'").select("document_id", F.col("a").alias("entity_id"), F.col("b").alias("other"))
-    both = checkpointed(links.unionByName(links.select("document_id", F.col("other").alias("entity_id"), F.col("entity_id").alias("other"))))
-    now = checkpointed(entities.select("document_id", "entity_id", F.col("entity_id").alias("root")))
-    for _ in range(max_rounds):
-        heard = both.join(now.select("document_id", F.col("entity_id").alias("other"), "root"), ["document_id", "other"]).groupBy("document_id", "entity_id").agg(F.min("root").alias("heard"))
-        after = checkpointed(now.join(heard, ["document_id", "entity_id"], "left").select("document_id", "entity_id", F.least("root", "heard").alias("root"), (F.col("heard") < F.col("root")).alias("changed")))
-        now = after.drop("changed")
-        if after.filter("changed").isEmpty():
-            return now
-    raise RuntimeError("groups didn't settle")
+def groups(entities: DataFrame, found: DataFrame) -> DataFrame:
+    """document_id, entity_id, root: the smallest id reached over DUPLICATE pairs, however long the chain."""
+    node = lambda c: F.struct("document_id", F.col(c).alias("entity_id"))
+    links = found.filter("classification = 'DUPLICATE'").select(node("a").alias("src"), node("b").alias("dst"))
+    roots = connected_components(links).select("node.document_id", "node.entity_id", F.col("component.entity_id").alias("found"))
+    return entities.select("document_id", "entity_id").join(roots, ["document_id", "entity_id"], "left").select("document_id", "entity_id", F.coalesce("found", "entity_id").alias("root"))
 
 
 def canonical_entities(entities: DataFrame, grouped: DataFrame) -> DataFrame:
@@ -167,32 +195,90 @@ def review_items(found: DataFrame) -> DataFrame:
 
 
 def given_entities(spark: SparkSession, root: str) -> DataFrame:
-    """Entities of the given table (first deliveries) with a usable name."""
-    e = delivered_once(table(spark, root, "entities"), ["document_id", "entity_id"]).filter("trim(entity_name) <> ''").drop("normalized_entity_name")
-    return normalized(e).drop("steps", "reasoning")
+    """Entities of the given table (first deliveries) that have a name; without a normal name the name in lower case."""
+    e = delivered_once(table(spark, root, "entities"), ["document_id", "entity_id"]).filter(strip(F.col("entity_name")) != "")
+    normal = strip(F.col("normalized_entity_name"))
+    return e.withColumn("normalized_entity_name", F.coalesce(F.when(normal != "", normal), F.lower(strip(F.col("entity_name")))))
 
 
 def q_pairs(spark: SparkSession, root: str) -> DataFrame:
-    e = given_entities(spark, root).drop("normalized_entity_name").withColumn("normalized_entity_name", F.lower(F.trim("entity_name")))
-    f = features(pairs(e), Lexicon())
-    return f.select("document_id", "a", "b", "normalized_exact", "type_match", F.round("chunk_overlap", 6).alias("chunk_overlap"), F.round("attribute_overlap", 6).alias("attribute_overlap"), F.round("evidence_overlap", 6).alias("evidence_overlap"))
+    lexicon = Lexicon.from_table(table(spark, root, "known_entities"))
+    f = features(candidate_pairs(given_entities(spark, root), lexicon), lexicon)
+    return f.select("document_id", "a", "b", *[F.round(c, 6).alias(c) for c in WEIGHTS], F.round("composite", 6).alias("composite"))
+
+
+def _given_pairs(spark: SparkSession, root: str) -> DataFrame:
+    return duplicate_pairs(given_entities(spark, root), Lexicon.from_table(table(spark, root, "known_entities")))
 
 
 def q_duplicates(spark: SparkSession, root: str) -> DataFrame:
-    return duplicate_pairs(given_entities(spark, root)).select("document_id", "a", "b", F.round("composite", 6).alias("composite"), "classification", "reason")
+    return _given_pairs(spark, root).select("document_id", "a", "b", F.round("composite", 6).alias("composite"), "classification")
 
 
 def q_groups(spark: SparkSession, root: str) -> DataFrame:
     e = checkpointed(given_entities(spark, root))
-    return canonical_entities(e, groups(e, duplicate_pairs(e))).select("document_id", "canonical_id", "canonical_name", "normalized_name", F.array_join("member_ids", ",").alias("members"), "confidence")
-
-
-_E = "e as (select document_id, entity_id, entity_type, lower(trim(entity_name, ' ')) as n, coalesce(source_chunks, []) as ch, coalesce(source_attributes, []) as at, supporting_evidence as ev from entities where record_id in (select min(record_id) from entities group by document_id, entity_id) and trim(entity_name, ' ') <> '')"
-_J = "case when len(list_distinct(list_concat({0}, {1}))) + (case when len(list_filter(list_concat({0}, {1}), lambda x: x is null)) > 0 then 1 else 0 end) > 0 then round(len(list_distinct(list_intersect({0}, {1})))::double / len(list_distinct(list_concat({0}, {1}))), 6) else 0 end"
-QUERIES = {"pair_features": q_pairs, "duplicate_pairs": q_duplicates, "duplicate_groups": q_groups}
+    return canonical_entities(e, groups(e, _given_pairs(spark, root))).select("document_id", "canonical_id", "canonical_name", "normalized_name", "entity_type", F.array_join("member_ids", ",").alias("members"), F.size("source_chunks").alias("n_chunks"), "confidence")
+
+
+def q_reviews(spark: SparkSession, root: str) -> DataFrame:
+    return review_items(_given_pairs(spark, root)).select("document_id", "item_id", "kind", F.array_join("ref_ids", "|").alias("refs"), F.round("score", 6).alias("score"))
+
+
+def common_length_sql(a: str, b: str) -> str:
+    """Length of the longest common subsequence of two texts, row by row of the usual table."""
+    cell = f"case when ({b})[j] = ch then prev[j] + 1 else greatest(prev[j + 1], acc[j]) end"
+    row = f"list_reduce(range(1, length({b}) + 1), lambda acc, j: list_append(acc, {cell}), [0::bigint])"
+    return f"list_reduce(string_split({a}, ''), lambda prev, ch: {row}, list_transform(range(length({b}) + 1), lambda i: 0::bigint))[length({b}) + 1]"
+
+
+def _likeness_sql(a: str, b: str) -> str:
+    return f"case when length({a}) = 0 or length({b}) = 0 then 0.0 else 2.0::double * ({common_length_sql(a, b)}) / (length({a}) + length({b})) end"
+
+
+def overlap_sql(a: str, b: str) -> str:
+    size = lambda x: f"(len(list_distinct({x})) + (case when len(list_filter({x}, lambda x: x is null)) > 0 then 1 else 0 end))"
+    both = f"list_concat({a}, {b})"
+    shared = f"(len(list_distinct(list_intersect({a}, {b}))) + (case when len(list_filter({a}, lambda x: x is null)) > 0 and len(list_filter({b}, lambda x: x is null)) > 0 then 1 else 0 end))"
+    return f"case when {size(both)} > 0 then {shared}::double / {size(both)} else 0.0 end"
+
+
+def features_sql(of: str, pairs_where: str, tag: str = "") -> str:
+    """CTEs ``lk`` (links), ``sh`` (entities as compared), ``cp`` (pairs), ``ft`` (features) over a CTE ``of`` with document_id, id,
+    name, n (normal name), ty, ch, att, ev; ``pairs_where`` selects pairs of ``a`` and ``b``; ``tag`` is put behind the CTEs' names."""
+    values = ", ".join("('{}', '{}')".format(x.replace("'", "''"), y.replace("'", "''")) for x, y in alias_pairs(Lexicon(known={})))
+    known = "select lower(trim(name)) as x, lower(trim(unnest(aliases))) as y from known_entities where trim(name) <> ''"
+    grams = "case when length(lower(coalesce(x.text, ''))) >= 3 then list_transform(range(1, length(lower(x.text)) - 1), lambda i: lower(x.text)[i:i + 2]) when coalesce(x.text, '') <> '' then [lower(x.text)] else [] end"
+    ratio = f"""case when len(wa) = 0 or len(wb) = 0 then 0.0 when sh <> '' and (le = '' or ri = '') then 1.0
+      else greatest({_likeness_sql("fl", "fr")}, case when sh <> '' then {_likeness_sql("sh", "fl")} else 0.0 end, case when sh <> '' then {_likeness_sql("sh", "fr")} else 0.0 end) end"""
+    return f"""l0{tag} as (select x, y from (values {values}) v(x, y) union {known}), lk{tag} as (select x, y from l0{tag} union select y, x from l0{tag}),
+sh{tag} as (select *, list_distinct([lower(trim(coalesce(name, ''))), lower(trim(coalesce(n, '')))]) as ks, coalesce(list_distinct(flatten(list_transform(ev, lambda x: {grams}))), []) as tri,
+  list_sort(list_distinct(list_filter(regexp_split_to_array(name, '[\\s\\x1c-\\x1f\\x85\\p{{Z}}]+'), lambda w: w <> ''))) as ws from {of}),
+al{tag} as (select distinct a.document_id, a.id as a, b.id as b from (select document_id, id, unnest(ks) as k from sh{tag}) a join lk{tag} lk on lk.x = a.k join (select document_id, id, unnest(ks) as k from sh{tag}) b on b.k = lk.y and b.document_id = a.document_id and a.id < b.id),
+cp{tag} as (select a.document_id, a.id as a, b.id as b, a.ws as wa, b.ws as wb, a.n = b.n as ex, coalesce(a.ty = b.ty, false) as tm, al.a is not null as alias,
+  {overlap_sql("a.ch", "b.ch")} as chunk_overlap, {overlap_sql("a.att", "b.att")} as attribute_overlap, {overlap_sql("a.tri", "b.tri")} as evidence_overlap
+  from sh{tag} a join sh{tag} b on a.document_id = b.document_id and a.id < b.id left join al{tag} al on al.document_id = a.document_id and al.a = a.id and al.b = b.id where {pairs_where}),
+w1{tag} as (select *, array_to_string(list_sort(list_intersect(wa, wb)), ' ') as sh, array_to_string(list_filter(wa, lambda w: not list_contains(wb, w)), ' ') as le, array_to_string(list_filter(wb, lambda w: not list_contains(wa, w)), ' ') as ri from cp{tag}),
+w2{tag} as (select *, trim(sh || ' ' || le) as fl, trim(sh || ' ' || ri) as fr from w1{tag}),
+ft{tag} as (select document_id, a, b, {ratio} as name_sim, coalesce(ex, false)::int::double as normalized_exact, tm::int::double as type_match, chunk_overlap, attribute_overlap, evidence_overlap, alias::int::double as alias_link from w2{tag}),
+cm{tag} as (select *, round({" + ".join(f"{w} * {f}" for f, w in WEIGHTS.items())}, 9) as composite from ft{tag}),
+cl{tag} as (select *, case when composite >= {DUPLICATE} and type_match = 1 and (normalized_exact = 1 or alias_link = 1 or attribute_overlap >= 0.5) then 'DUPLICATE' when composite >= {POSSIBLE} then 'POSSIBLE_DUPLICATE' else 'DISTINCT' end as classification from cm{tag})"""
+
+
+GIVEN_SQL = "e as (select *, entity_id as id, entity_name as name, coalesce(nullif(trim(normalized_entity_name), ''), lower(trim(entity_name))) as n, entity_type as ty, coalesce(source_chunks, []) as ch, coalesce(source_attributes, []) as att, supporting_evidence as ev from entities where record_id in (select min(record_id) from entities group by document_id, entity_id) and trim(entity_name) <> '')"
+_BLOCKED = "(a.n = b.n or al.a is not null and (coalesce(a.ty = b.ty, false) or lower(a.n[1]) = lower(b.n[1])))"
+PAIRS_SQL = f"{GIVEN_SQL}, {features_sql('e', _BLOCKED)}"
+#: Groups by the smallest id reached over duplicates, and the canonical entity of each.
+GROUPS_SQL = f"""{PAIRS_SQL}, du as (select document_id, a, b from cl where classification = 'DUPLICATE' union select document_id, b, a from cl where classification = 'DUPLICATE'),
+reach(document_id, id, seen) as (select document_id, id, id from e union select r.document_id, r.id, du.b from reach r join du on du.document_id = r.document_id and du.a = r.seen),
+rt as (select document_id, id, min(seen) as root from reach group by all),
+gr as (select e.*, rt.root from e join rt on rt.document_id = e.document_id and rt.id = e.id),
+ce as (select document_id, root, min_by(struct_pack(name := name, n := n, ty := ty, layer := layer), (-len(ch), length(name), name, id)) as m, list_sort(list(id)) as member_ids,
+  list_sort(list_distinct(flatten(list(ch)))) as ch, list_sort(list_distinct(flatten(list(att)))) as att, list_sort(list_distinct(flatten(list(coalesce(ev, []))))) as ev, max(confidence) as confidence, list_sort(list_distinct(list(origin))) as origins from gr group by document_id, root),
+cn as (select *, 'cent-' || left(sha256(array_to_string(member_ids, '|')), 16) as canonical_id from ce)"""
+QUERIES = {"pair_features": q_pairs, "duplicate_pairs": q_duplicates, "duplicate_groups": q_groups, "duplicate_reviews": q_reviews}
 ORACLES = {
-    "pair_features": f"""with {_E}, s as (select * exclude (ev), coalesce(list_distinct(flatten(list_transform(ev, lambda x: case when length(lower(coalesce(x.text, ''))) >= 3 then list_transform(range(1, length(lower(x.text)) - 1), lambda i: lower(x.text)[i:i + 2]) when coalesce(x.text, '') <> '' then [lower(x.text)] else [] end))), []) as sh from e)
-select a.document_id, a.entity_id as a, b.entity_id as b, (a.n = b.n)::int::double as normalized_exact, (coalesce(a.entity_type = b.entity_type, false))::int::double as type_match,
-  {_J.format("a.ch", "b.ch")} as chunk_overlap, {_J.format("a.at", "b.at")} as attribute_overlap, {_J.format("a.sh", "b.sh")} as evidence_overlap
-from s a join s b on a.document_id = b.document_id and a.entity_id < b.entity_id and (a.n[1] = b.n[1] or a.entity_type = b.entity_type)""",
+    "pair_features": f"with {PAIRS_SQL} select document_id, a, b, {', '.join(f'round({c}, 6) as {c}' for c in (*WEIGHTS, 'composite'))} from cm",
+    "duplicate_pairs": f"with {PAIRS_SQL} select document_id, a, b, round(composite, 6) as composite, classification from cl where classification <> 'DISTINCT'",
+    "duplicate_groups": f"with recursive {GROUPS_SQL} select document_id, canonical_id, m.name as canonical_name, m.n as normalized_name, m.ty as entity_type, array_to_string(member_ids, ',') as members, len(ch)::int as n_chunks, round(confidence, 6) as confidence from cn",
+    "duplicate_reviews": f"with {PAIRS_SQL} select document_id, 'hri-' || left(sha256('possible_duplicate|' || a || '|' || b), 16) as item_id, 'possible_duplicate' as kind, a || '|' || b as refs, round(composite, 6) as score from cl where classification = 'POSSIBLE_DUPLICATE'",
 }

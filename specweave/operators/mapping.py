@@ -44,15 +44,19 @@ def judged(attributes: DataFrame, entities: DataFrame, cents: DataFrame, decisio
         .when(~F.coalesce(eligible, F.lit(False)), F.lit("ineligible_entity")).when(~F.coalesce(score >= MIN_CONFIDENCE, F.lit(False)), F.lit("below_min_confidence")).when(~together, F.lit("no_cooccurrence"))
     )
     relation = relationship(said, F.col("source_text"), F.col("binding.scope"))
-    own = F.transform(F.filter("evidence", lambda e: (e["chunk_id"] == F.col("source_chunk")) & F.contains("_text", e["text"])), lambda e: F.struct(e["chunk_id"].alias("chunk_id"), e["text"].alias("text")))
+    # each item of evidence counts if it stands in its own chunk, which needn't be the attribute's
+    items = attributes.select("document_id", "attribute_id", F.explode("evidence").alias("e")).select("document_id", "attribute_id", F.col("e.chunk_id").alias("chunk_id"), F.col("e.text").alias("text"))
+    held = items.join(chunks.select("document_id", "chunk_id", "source_text"), ["document_id", "chunk_id"]).filter(F.contains("source_text", F.col("text")))
+    a = a.join(held.groupBy("document_id", "attribute_id").agg(F.collect_set(F.struct("chunk_id", "text")).alias("_own")), ["document_id", "attribute_id"], "left")
+    own = F.col("_own")
     bound = F.when((said != "") & F.contains("_text", said), F.array(F.struct(F.col("source_chunk").alias("chunk_id"), said.alias("text")))).otherwise(F.array().cast("array<struct<chunk_id:string,text:string>>"))
-    return a.withColumn("rejection", why).withColumn("relationship_type", relation).withColumn("mapping_confidence", F.round(score, 6)).withColumn("supporting", F.array_sort(F.array_distinct(F.concat(F.coalesce(own, bound), bound))))
+    return a.withColumn("rejection", why).withColumn("relationship_type", relation).withColumn("mapping_score", score).withColumn("supporting", F.array_sort(F.array_distinct(F.concat(F.coalesce(own, bound), bound)))).drop("_own")
 
 
-def mappings(rows: DataFrame) -> DataFrame:
+def mappings(rows: DataFrame, digits: int = 6) -> DataFrame:
     return rows.filter("rejection is null").select(
         "document_id", content_id("map-", F.col("attribute_id"), F.col("canonical_id"), F.col("relationship_type")).alias("mapping_id"), "attribute_id", F.col("canonical_id").alias("entity_id"), "relationship_type", "source_chunk",
-        F.col("supporting").alias("supporting_evidence"), F.col("mapping_confidence").alias("confidence"),
+        F.col("supporting").alias("supporting_evidence"), F.round("mapping_score", digits).alias("confidence"),
     )
 
 
@@ -71,13 +75,18 @@ def _given(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_mappings(spark: SparkSession, root: str) -> DataFrame:
-    return mappings(_given(spark, root)).select("document_id", "mapping_id", "attribute_id", "entity_id", "relationship_type", "confidence")
+    said = F.array_join(F.transform("supporting_evidence", lambda e: F.concat_ws(":", e["chunk_id"], F.md5(e["text"]))), ",")
+    return mappings(_given(spark, root), 8).select("document_id", "mapping_id", "attribute_id", "entity_id", "relationship_type", "source_chunk", "confidence", said.alias("evidence"))
 
 
 def q_unmapped(spark: SparkSession, root: str) -> DataFrame:
     return unmapped(_given(spark, root))
 
 
+def q_rejections(spark: SparkSession, root: str) -> DataFrame:
+    return rejections(_given(spark, root))
+
+
 def relationship(evidence: Column, text: Column, scope: Column) -> Column:
     """Constraint words make a constraint, strong scopes own the attribute, others refer to it."""
     return F.when(F.concat_ws(" ", evidence, text).rlike(CONSTRAINT), F.lit("constrains")).when(scope.isin(*OWNING), F.lit("has_attribute")).otherwise(F.lit("references"))
@@ -94,8 +103,24 @@ def q_unmapped_given(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "attributes").select(id_key(F.col("attribute_id")).alias("attribute_id")).distinct().join(mapped, "attribute_id", "left_anti")
 
 
-QUERIES = {"mappings": q_mappings, "unmapped_attributes": q_unmapped, "relationship_types": q_relationships, "unmapped_given_attributes": q_unmapped_given}
+_JUDGED = f"""{quality.DECISIONS_SQL},
+nm as (select document_id, lower(entity_name) as nk, min(entity_id) as ent, min_by(entity_name, entity_id) as ename from e group by all),
+mm as (select document_id, unnest(member_ids) as m, id as canonical_id, ch, status, greatest(0.0, least(1.0, overall)) as overall_score from qd),
+j0 as (select ka.*, lower(ka.binding.entity_name) as nk, ka.binding.evidence as said, coalesce(n1.ent, n2.ent) as ent, coalesce(n1.ename, n2.ename) as ename from ka
+  left join lex on lex.key = {quality._NORM.format("ka.binding.entity_name")} left join nm n1 on n1.document_id = ka.document_id and n1.nk = lower(ka.binding.entity_name) left join nm n2 on n2.document_id = ka.document_id and n2.nk = lower(lex.name)),
+j1 as (select j0.*, mm.canonical_id, mm.status, mm.ch, j0.binding.confidence * j0.confidence * mm.overall_score as sc, c.source_text as ctext,
+  case when regexp_matches(concat_ws(' ', said, j0.source_text), '\\b(SHALL|MUST|SHOULD|REQUIRED)\\b') then 'constrains' when j0.binding.scope in ('table_subject', 'nearest_heading', 'syntactic') then 'has_attribute' else 'references' end as rel
+  from j0 left join mm on mm.document_id = j0.document_id and mm.m = j0.ent left join c on c.document_id = j0.document_id and c.chunk_id = j0.source_chunk),
+ju as (select *, case when nk is null then 'dangling' when ent is null then 'unresolved_entity' when canonical_id is null then 'no_canonical_group' when coalesce(status, '') <> 'ACCEPT' then 'ineligible_entity'
+  when not coalesce(sc >= {MIN_CONFIDENCE}, false) then 'below_min_confidence' when not (coalesce(list_contains(ch, source_chunk), false) or coalesce(said <> '' and contains(lower(said), lower(ename)), false)) then 'no_cooccurrence' end as rejection from j1),
+evs as (select x.document_id, x.attribute_id, x.ev.chunk_id as chunk_id, x.ev.text as text from (select document_id, attribute_id, unnest(evidence) as ev from ka) x join c on c.document_id = x.document_id and c.chunk_id = x.ev.chunk_id where contains(c.source_text, x.ev.text)
+  union select document_id, attribute_id, source_chunk, said from ju where said <> '' and contains(ctext, said)),
+eva as (select document_id, attribute_id, string_agg(chunk_id || ':' || md5(text), ',' order by chunk_id, text) as evidence from evs group by all)"""
+QUERIES = {"mapping_rejections": q_rejections, "mappings": q_mappings, "unmapped_attributes": q_unmapped, "relationship_types": q_relationships, "unmapped_given_attributes": q_unmapped_given}
 ORACLES = {
+    "mappings": f"with recursive {_JUDGED} select ju.document_id, 'map-' || left(sha256(ju.attribute_id || '|' || canonical_id || '|' || rel), 16) as mapping_id, ju.attribute_id, canonical_id as entity_id, rel as relationship_type, source_chunk, round(sc, 8) as confidence, coalesce(eva.evidence, '') as evidence from ju left join eva on eva.document_id = ju.document_id and eva.attribute_id = ju.attribute_id where rejection is null",
+    "unmapped_attributes": f"with recursive {_JUDGED} select document_id, attribute_id, rejection from ju where rejection is not null",
+    "mapping_rejections": f"with recursive {_JUDGED} select rejection, count(*) as n from ju where rejection is not null group by all",
     "relationship_types": r"""select record_id, case when regexp_matches(concat_ws(' ', binding.evidence, source_text), '\b(SHALL|MUST|SHOULD|REQUIRED)\b') then 'constrains'
   when binding.scope in ('table_subject', 'nearest_heading', 'syntactic') then 'has_attribute' else 'references' end as relationship_type from attributes""",
     "unmapped_given_attributes": "select distinct lower(trim(attribute_id)) as attribute_id from attributes where lower(trim(attribute_id)) not in (select lower(trim(attribute_id)) from mappings where attribute_id is not null)",

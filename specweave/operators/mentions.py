@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from specweave.functions.text import UI, U, extract, quoted
+from specweave.functions.text import UI, U, extract, quoted, word_pattern
 
 #: Columns of a term that are passed on.
 TERM_COLUMNS = ["source", "canonical", "canonical_ord", "term", "term_ord"]
 _WORDS = U + r"(\w+)"
-#: Words of the longest term that is found.
-MOST_WORDS = 8
+#: Words of a term that are compared before its spelling is; longer terms are found by their first ones.
+AHEAD = 8
 
 
 def term_words(terms: DataFrame, plural: bool) -> DataFrame:
@@ -26,17 +26,17 @@ def mentions(texts: DataFrame, keys: list[str], terms: DataFrame, plural: bool =
     """``keys`` and the term columns for every term that stands in a text as whole words, case aside.
 
     ``texts``: keys and ``text``; ``by``: keys that must also be equal in ``terms`` (terms of one document).  Every word of a
-    text meets the terms that begin with it, so cost grows with the text, not with text times terms; whether the term's own
-    separators agree is checked on the few that meet.
+    text meets the terms that begin with it, so cost grows with the text, not with text times terms; the few that meet are
+    then looked for in the text as they are written, between word boundaries.
     """
     by = by or []
-    prepared = term_words(terms, plural).select(*by, *TERM_COLUMNS, "words", "first", "n_words")
+    prepared = term_words(terms, plural).select(*by, *TERM_COLUMNS, F.slice("words", F.lit(1), F.lit(AHEAD)).alias("words"), "first", F.least("n_words", F.lit(AHEAD)).alias("n_words"))
     words = F.regexp_extract_all(F.lower("text"), F.lit(_WORDS), F.lit(1))
-    ahead = F.transform("all_words", lambda w, i: F.struct(w.alias("first"), F.slice("all_words", i + 1, F.lit(MOST_WORDS)).alias("ahead")))
+    ahead = F.transform("all_words", lambda w, i: F.struct(w.alias("first"), F.slice("all_words", i + 1, F.lit(AHEAD)).alias("ahead")))
     placed = texts.filter("text is not null").select(*keys, words.alias("all_words")).select(*keys, F.explode(ahead).alias("w")).select(*keys, "w.first", "w.ahead")
     met = placed.join(prepared, [*by, "first"]).filter(F.slice("ahead", F.lit(1), F.col("n_words")) == F.col("words"))
     found = met.select(*keys, *TERM_COLUMNS).distinct()
-    spelled = found.join(texts.select(*keys, "text"), keys).filter(F.lower("text").contains(F.lower("term")))
+    spelled = found.join(texts.select(*keys, "text"), keys).filter(F.regexp_like("text", word_pattern(F.col("term"), plural)))
     return spelled.select(*keys, *TERM_COLUMNS)
 
 

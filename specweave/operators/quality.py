@@ -12,7 +12,7 @@ from specweave.functions.keys import content_id
 from specweave.functions.numbers import clamp, precise_sum
 from specweave.functions.text import norm
 from specweave.operators import duplicates, entities
-from specweave.operators.candidates import corpus
+from specweave.operators.candidates import LEXICON_SQL, ONCE_SQL, corpus
 from specweave.session import checkpointed
 from specweave.sources.lexicons import Lexicon
 
@@ -110,8 +110,45 @@ def given_canonicals(spark: SparkSession, root: str) -> tuple[DataFrame, DataFra
 def q_quality(spark: SparkSession, root: str) -> DataFrame:
     cents, chunks, attributes, lexicon = given_canonicals(spark, root)
     d = decide(cents, chunks, attributes, lexicon)
-    return d.select("document_id", "canonical_id", *[F.round(c, 6).alias(c) for c in CRITERIA], F.round("overall_score", 6).alias("overall_score"), "validation_status", F.array_join("issues", ",").alias("issues"))
+    return d.select("document_id", "canonical_id", *[F.round(c, 9).alias(c) for c in CRITERIA], F.round("overall_score", 9).alias("overall_score"), "validation_status", F.array_join("issues", ",").alias("issues"))
+
+
+_NORM = "lower(trim(regexp_replace({0}, '[\\s\\x1c-\\x1f\\x85\\p{{Z}}]+', ' ', 'g')))"
+_LIST = lambda names: "[" + ", ".join(f"'{n}'" for n in names) + "]"
+#: ``ka``: the kept given attributes; ``qe``: canonical entities as they are compared; ``qd``: their scores and decisions.
+DECISIONS_SQL = f"""{duplicates.GROUPS_SQL}, {ONCE_SQL.split("p as (")[0].rstrip(", \n").removeprefix("b as (select * from blocks where record_id in (select min(record_id) from blocks group by document_id, block_id)),")}, {LEXICON_SQL},
+ka as (select *, source_document as document_id from attributes where record_id in (select min(record_id) from attributes group by attribute_id) and coalesce(score.route, '') <> 'discard'),
+qe as (select document_id, canonical_id as id, m.name as name, m.n as n, m.ty as ty, m.layer as layer, ch, att, ev, confidence, origins, member_ids from cn),
+{duplicates.features_sql("qe", "true", "q")},
+near as (select document_id, id, max(composite) as nearest from (select document_id, a as id, composite from cmq union all select document_id, b, composite from cmq) group by all),
+own as (select q.document_id, q.id, list(lower(ka.display_name)) || list(lower(ka.attribute_name)) as more from (select document_id, id, unnest(att) as x from qe) q join ka on ka.document_id = q.document_id and ka.attribute_id = q.x group by all),
+rel as (select q.document_id, q.id, avg(case when len(list_filter([lower(q.name), lower(q.n)] || coalesce(own.more, []), lambda t: t is not null and t <> '' and contains(coalesce(lower(array_to_string(c.heading_path, ' ')), ''), t))) > 0 then 1.0 else 0.0 end) as relevance
+  from (select document_id, id, name, n, unnest(ch) as x from qe) q left join c on c.document_id = q.document_id and c.chunk_id = q.x left join own on own.document_id = q.document_id and own.id = q.id group by all),
+grd as (select q.document_id, q.id, avg(case when contains(c.source_text, q.e.text) then 1.0 else 0.0 end) as grounding from (select document_id, id, unnest(ev) as e from qe) q left join c on c.document_id = q.document_id and c.chunk_id = q.e.chunk_id group by all),
+qx as (select qe.*, coalesce(nearest, 0) as nearest, coalesce(relevance, 0) as relevance, coalesce(grounding, 0) as grounding, lex.layer as known_layer, lex.key is not null as known, len(att) as n_attrs,
+    list_filter(regexp_split_to_array(qe.name, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') as ws, replace(qe.name, ' ', '') as solid, count(*) over (partition by qe.document_id, lower(qe.name)) - 1 as same
+  from qe left join near using (document_id, id) left join rel using (document_id, id) left join grd using (document_id, id) left join lex on lex.key = {_NORM.format("qe.name")}),
+qb as (select *, 1.0 - least(1.0, 0.5 * len(list_filter(ws, lambda w: list_contains({_LIST(Lexicon().generic)}, lower(w))))) as b0 from qx),
+qs as (select *, round(greatest(0.0, least(1.0, least(1.0, b0 + case when len(ws) >= 2 then 0.1 else 0.0 end) + case when upper(solid) = solid and regexp_matches(solid, '\\p{{L}}') and length(name) <= 6 then 0.1 else 0.0 end)), 9)::double as specificity,
+    greatest(0.0, 1.0 - nearest)::double as uniqueness,
+    (case when known_layer is not null or list_contains({_LIST(b.lower() for b in Lexicon().business)}, lower(name)) then 1.0 when n_attrs >= 2 then 0.7 when len(origins) = 1 and list_contains(origins, 'llm') then 0.4 else 0.5 end)::double as real_world_correspondence,
+    relevance::double as contextual_relevance,
+    ((coalesce(ty <> '' and ty <> 'Object', false)::int + coalesce(layer <> 'Other', false)::int + (n_attrs >= 1)::int + (len(ev) >= 1)::int) / 4.0)::double as completeness,
+    grounding::double as source_grounding, (case when known_layer is null then 0.5 when known_layer = layer then 1.0 else 0.0 end)::double as entity_type_correctness,
+    (case when same = 0 then case when n_attrs >= 1 then 1.0 else 0.6 end else greatest(0.0, 1.0 - same * 0.3) end)::double as disambiguation_potential from qb),
+qo as (select *, {" + ".join(f"{WEIGHT} * {c}" for c in CRITERIA)} as overall from qs),
+qd as (select *, case when source_grounding = 0 then 'REJECT' when round(overall, 9) >= {ACCEPT} then 'ACCEPT' when round(overall, 9) >= {REVIEW} then 'REVIEW' else 'REJECT' end as status from qo)"""
+
+
+def q_quality_reviews(spark: SparkSession, root: str) -> DataFrame:
+    cents, chunks, attributes, lexicon = given_canonicals(spark, root)
+    r = review_items(decide(cents, chunks, attributes, lexicon))
+    return r.select("document_id", "item_id", "kind", F.array_join("ref_ids", "|").alias("refs"), F.round("score", 9).alias("score"))
 
 
-QUERIES = {"quality_scores": q_quality}
-ORACLES: dict[str, str] = {}
+QUERIES = {"quality_scores": q_quality, "quality_reviews": q_quality_reviews}
+ORACLES = {
+    "quality_scores": f"""with recursive {DECISIONS_SQL} select document_id, id as canonical_id, {", ".join(f"round({c}, 9) as {c}" for c in CRITERIA)}, round(least(1.0, greatest(0.0, overall)), 9) as overall_score, status as validation_status,
+  array_to_string(list_sort(list_filter([{", ".join(f"case when {c} < 0.5 then '{c}_low' end" for c in CRITERIA)}, case when source_grounding = 0 then 'no_verified_evidence' end], lambda x: x is not null)), ',') as issues from qd""",
+    "quality_reviews": f"with recursive {DECISIONS_SQL} select document_id, 'hri-' || left(sha256('entity_review|' || id), 16) as item_id, 'entity_review' as kind, id as refs, round(overall, 9) as score from qd where status = 'REVIEW'",
+}
