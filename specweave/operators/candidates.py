@@ -217,15 +217,41 @@ p as (select x.document_id, x.chunk_id, b.* exclude (document_id) from (select d
 #: Every spelling of the given known entities; of equal ones the last entity's counts.
 LEXICON_SQL = r"""lex as (select key, arg_max(name, known_id) as name, arg_max(layer, known_id) as layer, arg_max(entity_type, known_id) as ty
   from (select known_id, name, layer, entity_type, lower(trim(regexp_replace(unnest(list_concat([name], coalesce(aliases, []))), '\s+', ' ', 'g'))) as key from known_entities where trim(name) <> '') group by key)"""
+def word_sql(text: str, term: str, plural: bool = True) -> str:
+    """Whether ``term`` stands in ``text`` as a word."""
+    found = rf"regexp_matches(replace(lower({text}), lower({term}), chr(1)), '(?:^|[^\pL\pN_])\x01{'s?' if plural else ''}(?:[^\pL\pN_]|$)')"
+    return f"case when contains(lower({text}), lower({term})) then {found} else false end"
+
+
 _S = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 _CAT = "case lower(trim(h)) " + " ".join(f"when '{a}' then '{c}'" for c, names in HEADERS.items() for a in names) + " end"
 _CATS = f"list_transform(tbl.header, lambda h: {_CAT})"
 _SENT = r"list_filter(list_transform(string_split(regexp_replace(text, '([.!?])[\s\x1c-\x1f\x85\p{Z}]+([A-Z])', '\1' || chr(1) || '\2', 'g'), chr(1)), lambda s: regexp_replace(s, '^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$', '', 'g')), lambda s: s <> '')"
+_GAZETTEER = ", ".join("({}, '{}', {})".format(i, t.replace("'", "''"), j) for i, (n, more) in enumerate(Lexicon().gazetteer.items()) for j, t in enumerate((n, *more)))
+_BLANKS = r"[\s\x1c-\x1f\x85\p{Z}]"
+_PROSE = rf"""with {ONCE_SQL}, pr as (select document_id, chunk_id, block_id, list_position(c2.block_ids, block_id) as pos, text from p join c c2 using (document_id, chunk_id) where kind in ('paragraph', 'list_item') and text <> ''),
+pt as (select *, string_split(regexp_replace(text, '([.!?])({_BLANKS}+)([A-Z])', '\1' || chr(1) || '\2' || chr(2) || '\3', 'g'), chr(1)) as parts from pr),
+kn as (select name, row_number() over (order by min(known_id)) - 1 as o from known_entities where trim(name) <> '' group by name),
+gz(o, t, n) as (values {_GAZETTEER}),
+m0 as (select document_id, chunk_id, block_id, name, o from pt, kn where {word_sql("text", "name")}),
+m1 as (select document_id, chunk_id, block_id, min_by(t, n) as t, o from pt, gz where {word_sql("text", "t")} group by document_id, chunk_id, block_id, o),
+st as (select document_id, chunk_id, block_id, n, regexp_replace(replace(s, chr(2), ''), '^{_BLANKS}+|{_BLANKS}+$', '', 'g') as s from (select document_id, chunk_id, block_id, unnest(parts) as s, generate_subscripts(parts, 1) - 1 as n from pt)),
+ob as (select st.*, unnest(regexp_extract_all(s, '(?i)\b(?:each\s+)?' || regexp_escape(name) || '\s+(?:SHALL|MUST)\s+have\s+([^.!?]*)', 1)) as tail, o from st join m0 using (document_id, chunk_id, block_id) where regexp_matches(s, '(?i)(?:SHALL|MUST)\s+have\s')),
+oi as (select *, list_filter(list_transform(regexp_split_to_array(tail, '\band\b'), lambda x: trim(regexp_replace(trim(x), '(?i)^\s*(?:an?|the)\s+', ''), ' .,;')), lambda x: x <> '') as xs from ob),
+ev as (
+  select document_id, chunk_id, block_id, (0, o, 0) as place, name as raw_name, null as own from m0
+  union all select document_id, chunk_id, block_id, (1, o, 0), t, null from m1
+  union all select document_id, chunk_id, block_id, (2, n, i - 1), x, s from (select *, unnest(xs) as x, generate_subscripts(xs, 1) as i from oi)
+  union all select document_id, chunk_id, block_id, (2, n, 1000000), regexp_extract(s, '^([A-Z][a-z]+)\b', 1), s from st where regexp_matches(regexp_extract(s, '^([A-Z][a-z]+)\b', 1), '(?i){NOMINAL}')),
+fi as (select document_id, chunk_id, block_id, min_by(trim(raw_name), place) as raw_name, min_by(coalesce(own, chr(3)), place) as own from ev where trim(raw_name) <> '' group by document_id, chunk_id, block_id, lower(trim(raw_name))),
+fs as (select fi.*, text, parts, list_filter(range(1, len(parts) + 1), lambda i: {word_sql("parts[i]", "raw_name")}) as hs from fi join pt using (document_id, chunk_id, block_id))
+select document_id, chunk_id, block_id, raw_name, coalesce(case when len(hs) > 0 then regexp_replace(replace(array_to_string(parts[hs[1]:hs[-1]], ''), chr(2), ''), '^{_BLANKS}+|{_BLANKS}+$', '', 'g') end, nullif(own, chr(3)), text) as sentence from fs"""
 QUERIES = {
     "spec_rows": q_spec_rows, "kv_rows": q_kv_rows, "form_fields": q_form_fields, "entity_mentions": q_entity_mentions, "prose_candidates": q_prose,
     "sentences": q_sentences, "nominalisations": q_nominalisations,
 }
 ORACLES = {
+    "prose_candidates": _PROSE,
     "spec_rows": f"""with {ONCE_SQL}, t as (select *, {_CATS} as cats from p where kind = 'table' and len(tbl.rows) > 0),
 r as (select document_id, chunk_id, block_id, cats, unnest(tbl.rows) as vals, unnest(range(len(tbl.rows))) as n from t where list_contains(cats, 'name')),
 z as (select *, {_S.format("vals[list_position(cats, 'name')]")} as raw_name, list_filter(list_transform(range(1, len(cats) + 1), lambda i: struct_pack(c := cats[i], v := {_S.format("vals[i]")}, i := i)), lambda e: e.c is not null and e.v <> '') as cl from r)
@@ -234,9 +260,9 @@ select document_id, chunk_id, block_id, raw_name, array_to_string(list_sort(list
 select document_id, chunk_id, block_id, trim(vals[1]) as raw_name, case when trim(vals[2]) <> '' then 'description=' || trim(vals[2]) else '' end as cells from r where len(vals) >= 2 and trim(vals[1]) <> ''""",
     "form_fields": f"""with {ONCE_SQL}, f as (select document_id, chunk_id, block_id, trim(regexp_extract({_S.format("text")}, '^([^:]{{1,80}}):\\s*(.*)$', 1)) as raw_name, trim(regexp_extract({_S.format("text")}, '^([^:]{{1,80}}):\\s*(.*)$', 2)) as v from p where kind = 'form_field')
 select document_id, chunk_id, block_id, raw_name, case when v <> '' then 'description=' || v else '' end as cells from f where raw_name <> ''""",
-    "entity_mentions": r"""with b as (select document_id, block_id, lower(text) as t, ' ' || regexp_replace(lower(text), '[^\pL\pN_]+', ' ', 'g') || ' ' as w from blocks where record_id in (select min(record_id) from blocks group by document_id, block_id)),
-k as (select name, lower(name) as n from known_entities where trim(name) <> '')
-select document_id, block_id, k.name as canonical from b, k where contains(t, n) and (contains(w, ' ' || n || ' ') or contains(w, ' ' || n || 's '))""",
+    "entity_mentions": r"""with b as (select document_id, block_id, text as t from blocks where record_id in (select min(record_id) from blocks group by document_id, block_id)),
+k as (select name from known_entities where trim(name) <> '')
+select document_id, block_id, k.name as canonical from b, k where """ + word_sql("t", "k.name"),
     "sentences": f"select doc_id, unnest(range(len(x)))::int as n, unnest(x) as sentence from (select doc_id, {_SENT} as x from documents where text is not null)",
     "nominalisations": rf"with s as (select doc_id, unnest(range(len(x)))::int as n, unnest(x) as sentence from (select doc_id, {_SENT} as x from documents where text is not null)) select doc_id, n, regexp_extract(sentence, '^([A-Z][a-z]+)(?:[^\pL\pN_]|$)', 1) as word from s where regexp_matches(word, '{NOMINAL}')",
 }

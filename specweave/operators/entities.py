@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from specweave.functions.keys import content_id
 from specweave.functions.text import norm
-from specweave.operators.candidates import corpus
+from specweave.operators.candidates import LEXICON_SQL, corpus, word_sql
 from specweave.operators.cleaning import delivered_once
 from specweave.operators.mentions import matched_text, mentions
 from specweave.session import table
@@ -117,8 +117,26 @@ def q_binding_sources(spark: SparkSession, root: str) -> DataFrame:
 
 
 _A = "a as (select *, source_document as document_id from attributes where record_id in (select min(record_id) from attributes group by attribute_id)), c as (select * from chunks where record_id in (select min(record_id) from chunks group by document_id, chunk_id))"
+_TERMS = f"""kn as (select name, row_number() over (order by min(known_id)) as o, arg_max(aliases, known_id) as aliases from known_entities where trim(name) <> '' group by name),
+tm as (select name, t, generate_subscripts(ts, 1) as n from (select name, list_concat([name], coalesce(aliases, [])) as ts, unnest(list_concat([name], coalesce(aliases, []))) as t from kn)
+  union all select b, b, 1 from (select unnest([{", ".join(f"'{b}'" for b in Lexicon().business)}]) as b) where b not in (select name from kn))"""
+_ENTITIES = f"""with {_A}, {LEXICON_SQL}, {_TERMS},
+ka as (select * from a where coalesce(score.route, '') <> 'discard'), kd as (select * from a where score.route = 'discard' and score.discard_reason = 'promoted'),
+r1 as (select ka.document_id, ka.entity as name, 'binding' as origin, 1 as rank, 0.9 as wt, list(distinct attribute_id) as attrs, list(distinct ka.source_chunk) filter (ka.source_chunk is not null) as chunks from ka where entity is not null group by all),
+r2 as (select kd.document_id, kd.display_name as name, 'promotion' as origin, 2 as rank, 0.85 as wt, []::varchar[] as attrs, list(distinct kd.source_chunk) filter (kd.source_chunk is not null) as chunks from kd group by kd.document_id, kd.display_name),
+r3 as (select document_id, name, 'lexicon' as origin, 3 as rank, 0.6 as wt, []::varchar[] as attrs, list(distinct chunk_id) as chunks from c, tm
+  where {word_sql("source_text", "t", False)} group by document_id, name having count(distinct chunk_id) >= {MIN_MENTIONS}),
+al as (select * from r1 union all select * from r2 union all select * from r3),
+tk as (select document_id, lower(attribute_name) as k from ka union select document_id, lower(display_name) from ka),
+ft as (select al.*, lower(al.name) as k, coalesce(lex.ty, 'Object') as ty, coalesce(lex.layer, 'Other') as layer from al left join lex on lex.key = lower(trim(regexp_replace(al.name, '\\s+', ' ', 'g')))
+  where length(trim(al.name)) >= 2 and lower(al.name) not in ({", ".join(f"'{g}'" for g in Lexicon().generic)}) and not exists (select 1 from tk where tk.document_id = al.document_id and tk.k = lower(al.name))),
+mg as (select document_id, k, ty, min_by(name, (rank, name)) as name, min_by(layer, (rank, name)) as layer, min_by(origin, (rank, name)) as origin, min_by(wt, (rank, name)) as wt,
+  len(list_distinct(flatten(list(attrs)))) as n_attributes, len(list_distinct(flatten(list(coalesce(chunks, []))))) as n_chunks from ft group by document_id, k, ty)
+select document_id, 'ent-' || left(sha256(coalesce(document_id, '') || '|' || name || '|' || ty), 16) as entity_id, name as entity_name, ty as entity_type, layer, origin, round(wt * least(1.0, (n_chunks + n_attributes) / 3.0), 6)::double as confidence, n_attributes::int as n_attributes, n_chunks::int as n_chunks
+  from mg where wt * least(1.0, (n_chunks + n_attributes) / 3.0) >= {MIN_CONFIDENCE}"""
 QUERIES = {"entities": q_entities, "entity_binding_sources": q_binding_sources}
 ORACLES = {
+    "entities": _ENTITIES,
     "entity_binding_sources": f"""with {_A}, r as (select a.document_id, a.entity as name, attribute_id, a.source_chunk, case when a.binding.evidence <> '' and contains(c.source_text, a.binding.evidence) then a.binding.evidence when a.source_text <> '' and contains(c.source_text, a.source_text) then a.source_text end as w
   from a left join c on c.document_id = a.document_id and c.chunk_id = a.source_chunk where a.entity is not null and coalesce(a.score.route, '') <> 'discard'),
 e as (select document_id, name, count(distinct source_chunk) as n from r where w is not null and source_chunk is not null group by all)
