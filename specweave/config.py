@@ -17,12 +17,13 @@ DEFAULTS: dict[str, Any] = {
     "ingest": {"min_chars_per_page": cleaning.MIN_PAGE_CHARS, "ocr_page_ratio": cleaning.OCR_PAGE_RATIO},
     "chunking": {"strategy": "heading_aware", "max_tokens": chunking.MAX_TOKENS, "overlap_tokens": chunking.OVERLAP_TOKENS, "heading_split_level": chunking.SPLIT_LEVEL},
     "scoring": {"weights": {s.name: s.weight for s in signals.REGISTRY}, "accept": signals.ACCEPT, "review": signals.REVIEW},
-    "binding": {"scopes": dict(binding.SCOPES), "decay": binding.DECAY, "floor": binding.FLOOR},
+    "binding": {"scopes": dict(binding.SCOPES), "decay": binding.DECAY, "floor": binding.FLOOR, "document_default_entity": None},
     "entities": {"origins": dict(entities.ORIGINS), "min_mentions": entities.MIN_MENTIONS, "min_confidence": entities.MIN_CONFIDENCE},
     "duplicates": {"weights": dict(duplicates.WEIGHTS), "duplicate": duplicates.DUPLICATE, "possible": duplicates.POSSIBLE},
     "quality": {"weight": quality.WEIGHT, "accept": quality.ACCEPT, "review": quality.REVIEW},
     "mapping": {"min_confidence": mapping.MIN_CONFIDENCE, "include_review_entities": False},
     "retry": {"max_attempts": 3, "backoff_seconds": 0.5},
+    "output": {"graph_export": None},
     "provider": "rules",
 }
 assert attributes  # registers the attribute stage's constants with the package

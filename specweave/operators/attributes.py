@@ -124,7 +124,7 @@ def review_items(attributes: DataFrame) -> DataFrame:
     """Queue items of the surviving attributes in the review band."""
     return attributes.filter("score.route = 'review'").select(
         "document_id", content_id("hri-", F.lit("attribute_review"), F.col("attribute_id")).alias("item_id"), F.lit("attribute_review").alias("kind"), F.array("attribute_id").alias("ref_ids"), F.col("confidence").alias("score"),
-        F.format_string('confidence %.2f in review band for "%s"', "confidence", "display_name").alias("reason"),
+        F.format_string('"%s" scores %.2f, neither accepted nor discarded', "display_name", "confidence").alias("reason"),
     )
 
 
@@ -138,11 +138,11 @@ def problems(attributes: DataFrame, chunks: DataFrame) -> DataFrame:
     return rows.select("document_id", "attribute_id", said.alias("problem")).filter("problem is not null")
 
 
-def extract(chunks: DataFrame, blocks: DataFrame, lexicon: Lexicon = Lexicon(), document_titles: DataFrame | None = None, scoring: dict | None = None) -> DataFrame:
+def extract(chunks: DataFrame, blocks: DataFrame, lexicon: Lexicon = Lexicon(), document_titles: DataFrame | None = None, scoring: dict | None = None, default_entity: str | None = None) -> DataFrame:
     """All attribute records (kept and discarded) of a corpus: candidates, binding, counting, scoring, building."""
     found = checkpointed(block_mentions(blocks, lexicon))  # used by several steps, as are the next two
     proposed = checkpointed(candidates(chunks, blocks, lexicon, found))
-    bound = checkpointed(bindings.bind(proposed, chunks, blocks, document_titles if document_titles is not None else titles(blocks), found, lexicon))
+    bound = checkpointed(bindings.bind(proposed, chunks, blocks, document_titles if document_titles is not None else titles(blocks), found, lexicon, default_entity))
     subjects = bindings.resolved_names(blocks.select("document_id", F.col("tbl.subject_hint").alias("text")), lexicon, document_terms(blocks, lexicon))
     subjects = subjects.select("document_id", norm(F.col("entity")).alias("entity_key")).distinct()
     given = scoring or {}

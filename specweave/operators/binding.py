@@ -22,6 +22,7 @@ SCOPES = {"table_subject": 1.0, "nearest_heading": 0.9, "syntactic": 0.85, "comp
 DECAY, FLOOR = 0.05, 0.5
 BINDING_TYPE = "struct<entity_name:string,scope:string,structural_distance:int,confidence:double,evidence:string>"
 
+# What may follow a bound name; names that patterns can be made of.
 _STOP = r"(?=\s+(?:is|are|was|were|takes|of|and|in|such)\b|[.,;]|$)"
 _NAMEABLE = r"^[A-Za-z][A-Za-z-]*(?:\s+[A-Za-z][A-Za-z-]*)?$"
 
@@ -98,7 +99,7 @@ def default_entities(titles: DataFrame, lexicon: Lexicon, extra: DataFrame) -> D
     return counted.groupBy("document_id").agg(F.first("title").alias("title"), F.min_by("canonical", F.struct(-F.col("n"), "canonical_ord")).alias("default_entity"))
 
 
-def bind(candidates: DataFrame, chunks: DataFrame, blocks: DataFrame, titles: DataFrame, found: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFrame:
+def bind(candidates: DataFrame, chunks: DataFrame, blocks: DataFrame, titles: DataFrame, found: DataFrame, lexicon: Lexicon = Lexicon(), default_entity: str | None = None) -> DataFrame:
     """Candidates with ``binding``, and with what scoring needs of their surroundings: source_text, heading_path, names,
     block_kind, page."""
     extra = document_terms(blocks, lexicon)
@@ -141,7 +142,7 @@ def bind(candidates: DataFrame, chunks: DataFrame, blocks: DataFrame, titles: Da
         bound(F.col("near_entity"), "nearest_heading", F.coalesce(F.col("near.i"), zero), F.col("near.h")),
         bound(F.col("pattern.entity"), "syntactic", zero, F.col("pattern.evidence")),
         bound(modifier, "compound_modifier", zero, name),
-        bound(F.col("default_entity"), "document_default", zero, F.col("title")),
+        bound(F.coalesce(F.lit(default_entity), F.col("default_entity")), "document_default", zero, F.col("title")),
         dangling,
     )
     return rows.withColumn("binding", binding.cast(BINDING_TYPE)).withColumn("patterned", F.col("pattern").isNotNull()).drop("pattern", "near", "near_text", "near_entity", "default_entity", "title", "names")

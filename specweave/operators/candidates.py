@@ -28,6 +28,7 @@ HEADERS = {
     "description": ["description", "desc", "definition"],
     "range": ["range", "values", "allowed values", "domain", "value range", "enumeration"],
 }
+#: Headings that name an entity; endings of nouns made of verbs.
 HEADING_ENTITY = UI + r"^\s*(?:\d+(?:\.\d+)*\s+)?(.+?)\s+(?:service\s+)?attributes\s*$"
 NOMINAL = r"(?:tion|ing|ment|ance)$"
 _KEYS = ["document_id", "chunk_id", "block_id", "pos"]

@@ -102,6 +102,12 @@ def document_ocr(flags: DataFrame, ratio: float = OCR_PAGE_RATIO) -> DataFrame:
     )
 
 
+def pages_of(blocks: DataFrame, min_chars: int = MIN_PAGE_CHARS) -> DataFrame:
+    """document_id, page_number, ocr_required of the pages that blocks stand on."""
+    length = F.sum(F.char_length(strip(F.coalesce("text", F.lit("")))))
+    return blocks.groupBy("document_id", F.col("page").alias("page_number")).agg((length < min_chars).alias("ocr_required"))
+
+
 def titles(blocks: DataFrame) -> DataFrame:
     """document_id, title: the first heading of level 1."""
     return blocks.filter("heading_level = 1").groupBy("document_id").agg(F.min_by("text", "ord").alias("title"))

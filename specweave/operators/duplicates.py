@@ -187,6 +187,20 @@ def canonical_entities(entities: DataFrame, grouped: DataFrame) -> DataFrame:
     )
 
 
+def partition_problems(entities: DataFrame, cents: DataFrame, decisions: DataFrame) -> DataFrame:
+    """document_id, problem: entities in no group or in several, unknown members, canonical ids that occur twice or don't
+    have exactly one decision."""
+    said = lambda what, c: F.concat(F.lit(f"{what}: "), F.col(c)).alias("problem")
+    members = cents.select("document_id", F.explode("member_ids").alias("entity_id")).groupBy("document_id", "entity_id").agg(F.count(F.lit(1)).alias("n"))
+    placed = entities.select("document_id", "entity_id", F.lit(1).alias("here")).join(members, ["document_id", "entity_id"], "full")
+    what = F.when(F.col("here").isNull(), "unknown member: ").when(F.col("n").isNull(), "in no group: ").when(F.col("n") > 1, "in several groups: ")
+    wrong = placed.select("document_id", F.concat(what, "entity_id").alias("problem")).filter("problem is not null")
+    twice = cents.groupBy("document_id", "canonical_id").count().filter("count > 1").select("document_id", said("canonical id twice", "canonical_id"))
+    judged = decisions.groupBy("document_id", "canonical_id").agg(F.count(F.lit(1)).alias("n"))
+    single = cents.select("document_id", "canonical_id", F.lit(1).alias("here")).join(judged, ["document_id", "canonical_id"], "full").filter("here is null or n is null or n > 1")
+    return wrong.unionByName(twice).unionByName(single.select("document_id", said("not exactly one decision", "canonical_id")))
+
+
 def review_items(found: DataFrame) -> DataFrame:
     """Queue items of possible duplicates."""
     return found.filter("classification = 'POSSIBLE_DUPLICATE'").select(

@@ -60,6 +60,16 @@ def mappings(rows: DataFrame, digits: int = 6) -> DataFrame:
     )
 
 
+def problems(mapped: DataFrame, attributes: DataFrame, cents: DataFrame) -> DataFrame:
+    """document_id, problem: mappings of unknown attributes or entities, ids that occur twice, confidences out of range."""
+    said = lambda what: F.concat(F.lit(f"{what}: "), "mapping_id").alias("problem")
+    no_attribute = mapped.join(attributes.select("document_id", "attribute_id"), ["document_id", "attribute_id"], "left_anti").select("document_id", said("unknown attribute"))
+    no_entity = mapped.join(cents.select("document_id", F.col("canonical_id").alias("entity_id")), ["document_id", "entity_id"], "left_anti").select("document_id", said("unknown entity"))
+    twice = mapped.groupBy("document_id", "mapping_id").count().filter("count > 1").select("document_id", said("twice"))
+    odd = mapped.filter("confidence is null or confidence < 0 or confidence > 1").select("document_id", said("confidence out of range"))
+    return no_attribute.unionByName(no_entity).unionByName(twice).unionByName(odd)
+
+
 def unmapped(rows: DataFrame) -> DataFrame:
     return rows.filter("rejection is not null").select("document_id", "attribute_id", "rejection")
 

@@ -10,9 +10,10 @@ import json
 from collections.abc import Iterable
 from functools import reduce
 from typing import Any
-from xml.sax.saxutils import quoteattr
+from xml.sax.saxutils import escape, quoteattr
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specweave.operators.candidates import corpus
@@ -41,12 +42,16 @@ def trace_edges(chunks: DataFrame, attributes: DataFrame, entities: DataFrame, c
     return reduce(DataFrame.unionByName, parts)
 
 
-def nodes(edges: DataFrame) -> DataFrame:
-    """node_id, kind of both ends of the edges."""
+def _kind_of(node: Column) -> Column:
     chain = F.lit("unknown")
     for prefix, kind in NODE_KINDS.items():
-        chain = F.when(F.col("node_id").startswith(prefix), F.lit(kind)).otherwise(chain)
-    return edges.select(F.explode(F.array("from_id", "to_id")).alias("node_id")).filter("node_id is not null").distinct().select("node_id", chain.alias("kind"))
+        chain = F.when(node.startswith(prefix), F.lit(kind)).otherwise(chain)
+    return chain
+
+
+def nodes(edges: DataFrame) -> DataFrame:
+    """node_id, kind of both ends of the edges."""
+    return edges.select(F.explode(F.array("from_id", "to_id")).alias("node_id")).filter("node_id is not null").distinct().select("node_id", _kind_of(F.col("node_id")).alias("kind"))
 
 
 def summaries(blocks: DataFrame, pages: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -57,13 +62,119 @@ def summaries(blocks: DataFrame, pages: DataFrame, chunks: DataFrame) -> DataFra
     return p.join(b, "document_id", "left").join(c, "document_id", "left").fillna(0, ["block_count", "chunk_count"])
 
 
-def assemble(document_ids: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
-    """document_id and one array of records per part."""
-    out = document_ids.select("document_id").distinct()
-    for name, rows in parts.items():
-        item = F.struct(*[c for c in rows.columns if c != "document_id"])
-        out = out.join(rows.groupBy("document_id").agg(F.collect_list(item).alias(name)), "document_id", "left")
-    return out
+def review_section(cents: DataFrame, decisions: DataFrame) -> DataFrame:
+    """document_id, section, canonical_id, member_ids, score: merged duplicates, entities to be reviewed, rejected ones."""
+    merged = cents.filter(F.size("member_ids") > 1).select("document_id", F.lit("duplicates_removed").alias("section"), "canonical_id", "member_ids", F.lit(None).cast("double").alias("score"))
+    judged = decisions.join(cents.select("document_id", "canonical_id", "member_ids"), ["document_id", "canonical_id"])
+    section = F.when(F.col("validation_status") == "REVIEW", "to_review").when(F.col("validation_status") == "REJECT", "rejected")
+    return merged.unionByName(judged.select("document_id", section.alias("section"), "canonical_id", "member_ids", F.col("overall_score").alias("score")).filter("section is not null"))
+
+
+def trace_problems(edges: DataFrame, known: DataFrame) -> DataFrame:
+    """document_id, problem: ends of edges that are no id of ``known`` (document_id, id)."""
+    ends = edges.select("document_id", F.explode(F.array("from_id", "to_id")).alias("id")).filter("id is not null").distinct()
+    return ends.join(known.distinct(), ["document_id", "id"], "left_anti").select("document_id", F.concat(F.lit("unknown end: "), "id").alias("problem"))
+
+
+def known_ids(chunks: DataFrame, attributes: DataFrame, entities: DataFrame, cents: DataFrame, mapped: DataFrame) -> DataFrame:
+    """document_id, id of everything that edges may name."""
+    one = lambda rows, c: rows.select("document_id", F.col(c).alias("id"))
+    every = [one(chunks, "document_id"), one(chunks, "chunk_id"), one(attributes, "attribute_id"), one(entities, "entity_id"), one(cents, "canonical_id"), one(mapped, "mapping_id")]
+    return reduce(DataFrame.unionByName, every)
+
+
+def records(parts: dict[str, DataFrame]) -> DataFrame:
+    """document_id, section, key, text: each record of a document's parts as canonical JSON; ``key`` is what it is sorted by."""
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        for pdf in batches:
+            values = [json.loads(r) for r in pdf["record"]]
+            keys = [json.dumps(_sort_key(v), ensure_ascii=False, default=str) for v in values]
+            yield pd.DataFrame({"document_id": pdf["document_id"], "section": pdf["section"], "key": keys, "text": [canonical_json(v).rstrip("\n") for v in values]})
+
+    rows = [df.select("document_id", F.lit(name).alias("section"), F.to_json(F.struct(*[c for c in df.columns if c != "document_id"]), {"ignoreNullFields": "false"}).alias("record")) for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, rows).mapInPandas(run, "document_id string, section string, key string, text string")
+
+
+def assembled(rows: DataFrame, begin: str, sections: dict[str, tuple[str, str, str]], end: str) -> DataFrame:
+    """document_id, seq, text: each document's output in pieces whose texts in order make up the whole.
+
+    ``sections``: name -> what opens it, what stands between its records, what closes it.  Rows stream by in order, one at
+    a time, so a huge document is many pieces rather than one row.
+    """
+    names = sorted(sections)
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        document, at, n, seq = None, 0, 0, 0
+        out: list[tuple[str, int, str]] = []
+
+        def say(text: str) -> None:
+            nonlocal seq
+            out.append((document, seq, text))
+            seq += 1
+
+        def advance(to: int) -> None:
+            nonlocal at, n
+            while at < to:
+                say(("" if n else sections[names[at]][0]) + sections[names[at]][2])
+                at, n = at + 1, 0
+
+        for pdf in batches:
+            for doc, section, text in zip(pdf["document_id"], pdf["section"], pdf["text"]):
+                if doc != document:
+                    if document is not None:
+                        advance(len(names))
+                        say(end)
+                    document, at, n, seq = doc, 0, 0, 0
+                    say(begin)
+                advance(names.index(section))
+                say((sections[section][1] if n else sections[section][0]) + text)
+                n += 1
+            yield pd.DataFrame(out, columns=["document_id", "seq", "text"])
+            out = []
+        if document is not None:
+            advance(len(names))
+            say(end)
+        yield pd.DataFrame(out, columns=["document_id", "seq", "text"])
+
+    ordered = rows.repartition("document_id").sortWithinPartitions("document_id", "section", "key", "text")
+    return ordered.select("document_id", "section", "text").mapInPandas(run, "document_id string, seq bigint, text string")
+
+
+def documents_json(parts: dict[str, DataFrame]) -> DataFrame:
+    """The final output of each document as canonical JSON, in pieces."""
+    names = sorted(parts)
+    sections = {n: (f'"{n}": [\n', ",\n", "]\n" if n == names[-1] else "],\n") for n in names}
+    return assembled(records(parts), "{\n", sections, "}\n")
+
+
+def documents_graph(edges: DataFrame, form: str) -> DataFrame:
+    """Each document's graph as ``json`` (nodes and links) or ``graphml``, in pieces."""
+    if form not in ("json", "graphml"):
+        raise ValueError(f"unknown graph form {form!r}")
+    ends = edges.select("document_id", F.explode(F.array("from_id", "to_id")).alias("node_id")).filter("node_id is not null").distinct()
+    both = ends.select("document_id", F.lit("nodes").alias("section"), F.col("node_id").alias("key"), _kind_of(F.col("node_id")).alias("kind"), F.lit(None).cast("string").alias("to_id")).unionByName(
+        edges.distinct().select("document_id", F.lit("edges").alias("section"), F.col("from_id").alias("key"), "kind", "to_id")
+    )
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        for pdf in batches:
+            texts = []
+            for section, key, kind, to in zip(pdf["section"], pdf["key"], pdf["kind"], pdf["to_id"]):
+                if form == "json":
+                    texts.append(json.dumps({"id": key, "kind": kind} if section == "nodes" else {"source": key, "target": to, "kind": kind}, ensure_ascii=False))
+                elif section == "nodes":
+                    texts.append(f'<node id={quoteattr(key)}><data key="d0">{escape(kind)}</data></node>')
+                else:
+                    texts.append(f'<edge source={quoteattr(key)} target={quoteattr(to)}><data key="d1">{escape(kind)}</data></edge>')
+            # in GraphML nodes come first
+            yield pdf[["document_id", "key"]].assign(section=[{"nodes": "1nodes", "edges": "2edges"}[s] for s in pdf["section"]], text=texts)[["document_id", "section", "key", "text"]]
+
+    lines = both.filter("key is not null and (section = 'nodes' or to_id is not null)").mapInPandas(run, "document_id string, section string, key string, text string")
+    if form == "json":
+        return assembled(lines, '{"directed": true, "multigraph": false, "graph": {}, ', {"1nodes": ('"nodes": [', ", ", "], "), "2edges": ('"edges": [', ", ", "]")}, "}\n")
+    head = '<?xml version="1.0" encoding="utf-8"?>\n<graphml xmlns="http://graphml.graphdrawing.org/xmlns">\n<key id="d0" for="node" attr.name="kind" attr.type="string"/>\n<key id="d1" for="edge" attr.name="kind" attr.type="string"/>\n<graph edgedefault="directed">\n'
+    return assembled(lines, head, {"1nodes": ("", "\n", "\n"), "2edges": ("", "\n", "\n")}, "</graph>\n</graphml>\n")
 
 
 def _sort_key(record: dict[str, Any]) -> tuple:
@@ -109,20 +220,6 @@ def same_rows(a: DataFrame, b: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def node_link(node_rows: Iterable, edge_rows: Iterable) -> dict[str, Any]:
-    """One document's graph as nodes and links."""
-    return {"directed": True, "multigraph": False, "graph": {}, "nodes": [{"id": n.node_id, "kind": n.kind} for n in node_rows], "edges": [{"source": e.from_id, "target": e.to_id, "kind": e.kind} for e in edge_rows]}
-
-
-def graphml(node_rows: Iterable, edge_rows: Iterable) -> str:
-    """One document's graph as GraphML."""
-    lines = ['<?xml version="1.0" encoding="utf-8"?>', '<graphml xmlns="http://graphml.graphdrawing.org/xmlns">']
-    lines += ['<key id="d0" for="node" attr.name="kind" attr.type="string"/>', '<key id="d1" for="edge" attr.name="kind" attr.type="string"/>', '<graph edgedefault="directed">']
-    lines += [f"<node id={quoteattr(n.node_id)}><data key=\"d0\">{n.kind}</data></node>" for n in node_rows]
-    lines += [f"<edge source={quoteattr(e.from_id)} target={quoteattr(e.to_id)}><data key=\"d1\">{e.kind.replace('>', '&gt;')}</data></edge>" for e in edge_rows]
-    return "\n".join([*lines, "</graph>", "</graphml>", ""])
-
-
 def _given_edges(spark: SparkSession, root: str) -> DataFrame:
     _, chunks, _ = corpus(spark, root)
     once = lambda name, key: delivered_once(table(spark, root, name), [key])
@@ -139,6 +236,15 @@ def q_trace_edges(spark: SparkSession, root: str) -> DataFrame:
     return _given_edges(spark, root)
 
 
+def q_trace_problems(spark: SparkSession, root: str) -> DataFrame:
+    """Ends of the edges of the given tables that are in none of them."""
+    _, chunks, _ = corpus(spark, root)
+    once = lambda name, key: delivered_once(table(spark, root, name), [key])
+    attributes = once("attributes", "attribute_id").withColumn("document_id", F.col("source_document"))
+    known = known_ids(chunks, attributes, once("entities", "entity_id"), once("canonical_entities", "canonical_id"), once("mappings", "mapping_id"))
+    return trace_problems(_given_edges(spark, root), known)
+
+
 def q_graph_nodes(spark: SparkSession, root: str) -> DataFrame:
     return nodes(_given_edges(spark, root))
 
@@ -153,8 +259,12 @@ union all select document_id, unnest(source_attributes), entity_id, 'attribute>e
 union all select document_id, unnest(member_ids), canonical_id, 'entity>canonical' from {_first("canonical_entities", "canonical_id")}
 union all select document_id, attribute_id, mapping_id, 'attribute>mapping' from {_first("mappings", "mapping_id")}
 union all select document_id, mapping_id, entity_id, 'mapping>entity' from {_first("mappings", "mapping_id")}"""
-QUERIES = {"doc_summary": q_summaries, "trace_edges": q_trace_edges, "graph_nodes": q_graph_nodes}
+QUERIES = {"trace_problems": q_trace_problems, "doc_summary": q_summaries, "trace_edges": q_trace_edges, "graph_nodes": q_graph_nodes}
 ORACLES = {
+    "trace_problems": f"""with e as ({_EDGES}), x as (select document_id, from_id as id from e union select document_id, to_id from e),
+k as (select document_id, document_id as id from {_first("chunks", "document_id", "chunk_id")} union select document_id, chunk_id from {_first("chunks", "document_id", "chunk_id")} union select source_document, attribute_id from {_first("attributes", "attribute_id")}
+  union select document_id, entity_id from {_first("entities", "entity_id")} union select document_id, canonical_id from {_first("canonical_entities", "canonical_id")} union select document_id, mapping_id from {_first("mappings", "mapping_id")})
+select document_id, 'unknown end: ' || id as problem from x where id is not null and not exists (select 1 from k where k.document_id = x.document_id and k.id = x.id)""",
     "doc_summary": f"""with p as (select document_id, count(*) as page_count, count(*) filter (ocr_required) as ocr_pages from {_first("pages", "document_id", "page_number")} group by 1),
 b as (select document_id, count(*) as n from {_first("blocks", "document_id", "block_id")} group by 1), c as (select document_id, count(*) as n from {_first("chunks", "document_id", "chunk_id")} group by 1)
 select document_id, page_count, ocr_pages, coalesce(b.n, 0) as block_count, coalesce(c.n, 0) as chunk_count from p left join b using (document_id) left join c using (document_id)""",

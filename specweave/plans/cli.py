@@ -10,7 +10,7 @@ import sys
 from specweave import config
 from specweave.plans.pipeline import STAGES, StageError, run_pipeline
 from specweave.session import local_session
-from specweave.sources.files import blocks_of_files, read_files
+from specweave.sources.files import blocks_of_files, read_files, unread
 from specweave.sources.lexicons import Lexicon
 
 
@@ -50,7 +50,12 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     try:
         spark = local_session()
-        done = run_pipeline(blocks_of_files(read_files(spark, args.path)), args.out, settings, resume=args.resume, resume_from=args.resume_from)
+        files = read_files(spark, args.path)
+        left = unread(files)
+        left.write.mode("overwrite").json(f"{args.out}/unread")
+        for row in left.limit(20).collect():  # the whole list is in the output folder
+            print(f"not read: {row.file_name} ({row.why})", file=sys.stderr)
+        done = run_pipeline(blocks_of_files(files), args.out, settings, resume=args.resume, resume_from=args.resume_from)
     except StageError as failed:
         print(failed, file=sys.stderr)
         return 3

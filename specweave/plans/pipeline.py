@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from specweave import config
@@ -56,7 +56,7 @@ def _chunking(run: Run) -> dict[str, DataFrame]:
 
 
 def _attribute_extraction(run: Run) -> dict[str, DataFrame]:
-    return {"all_attributes": attribute_ops.extract(run.tables["chunks"], run.tables["blocks"], run.lexicon, run.tables["titles"], run.settings["scoring"])}
+    return {"all_attributes": attribute_ops.extract(run.tables["chunks"], run.tables["blocks"], run.lexicon, run.tables["titles"], run.settings["scoring"], run.settings["binding"]["document_default_entity"])}
 
 
 def _attribute_storage(run: Run) -> dict[str, DataFrame]:
@@ -90,8 +90,54 @@ def _attribute_mapping(run: Run) -> dict[str, DataFrame]:
 def _final_output(run: Run) -> dict[str, DataFrame]:
     t = run.tables
     edges = outputs.trace_edges(t["chunks"], t["attributes"], t["entities"], t["canonical_entities"], t["mappings"])
-    parts = {"attributes": t["attributes"].select("document_id", "attribute_id", "attribute_name", "entity", "confidence"), "entities": t["canonical_entities"].select("document_id", "canonical_id", "canonical_name", "member_ids", "confidence"), "mappings": t["mappings"], "unmapped": t["unmapped"], "trace": edges}
-    return {"trace_edges": edges, "graph_nodes": outputs.nodes(edges), "final": outputs.assemble(t["blocks"], parts)}
+    summaries = outputs.summaries(t["blocks"], cleaning.pages_of(t["blocks"]), t["chunks"])
+    dangling = t["attributes"].filter("entity is null").select("document_id", "attribute_id")
+    queue = t["attribute_reviews"].unionByName(t["entity_reviews"])
+    review = outputs.review_section(t["canonical_entities"], t["decisions"])
+    parts = {
+        "document": summaries, "attributes": t["attributes"].drop("cand"), "entities": t["canonical_entities"], "mappings": t["mappings"], "review": review, "review_queue": queue,
+        "unmapped": t["unmapped"], "dangling": dangling, "trace": edges,
+    }
+    form = run.settings["output"]["graph_export"]
+    graph = outputs.documents_graph(edges, form) if form else run.spark.createDataFrame([], "document_id string, seq bigint, text string")
+    return {"trace_edges": edges, "graph_nodes": outputs.nodes(edges), "review": review, "dangling": dangling, "final": outputs.documents_json(parts), "graph": graph}
+
+
+# -- what each stage's output must fulfil: tables of problems that must be empty
+
+
+def _chunk_problems(run: Run) -> DataFrame:
+    return chunking.chunk_problems(run.tables["chunks"], run.tables["blocks"])
+
+
+def _attribute_problems(run: Run) -> DataFrame:
+    return attribute_ops.problems(run.tables["all_attributes"], run.tables["chunks"]).select("document_id", F.concat_ws(": ", "problem", "attribute_id").alias("problem"))
+
+
+def _entity_problems(run: Run) -> DataFrame:
+    t = run.tables
+    found = entities.problems(t["entities"], t["chunks"]).select("document_id", F.concat_ws(": ", "problem", "entity_id").alias("problem"))
+    twice = t["entities"].groupBy("document_id", "entity_id").count().filter("count > 1").select("document_id", F.concat(F.lit("twice: "), "entity_id").alias("problem"))
+    return found.unionByName(twice)
+
+
+def _review_problems(run: Run) -> DataFrame:
+    return duplicates.partition_problems(run.tables["named_entities"], run.tables["canonical_entities"], run.tables["decisions"])
+
+
+def _mapping_problems(run: Run) -> DataFrame:
+    return mapping.problems(run.tables["mappings"], run.tables["attributes"], run.tables["canonical_entities"])
+
+
+def _trace_problems(run: Run) -> DataFrame:
+    t = run.tables
+    return outputs.trace_problems(t["trace_edges"], outputs.known_ids(t["chunks"], t["attributes"], t["entities"], t["canonical_entities"], t["mappings"]))
+
+
+CHECKS: dict[str, Callable[[Run], DataFrame]] = {
+    "chunking": _chunk_problems, "attribute_extraction": _attribute_problems, "entity_generation": _entity_problems,
+    "entity_reviewer": _review_problems, "attribute_mapping": _mapping_problems, "final_output": _trace_problems,
+}
 
 
 @dataclass(frozen=True)
@@ -111,7 +157,10 @@ STAGES = (
     Stage("entity_normalization", _entity_normalization, ("entities",), ("named_entities",)),
     Stage("entity_reviewer", _entity_reviewer, ("named_entities", "chunks", "attributes"), ("duplicate_pairs", "canonical_entities", "decisions", "entity_reviews")),
     Stage("attribute_mapping", _attribute_mapping, ("attributes", "entities", "canonical_entities", "decisions", "chunks"), ("mappings", "unmapped")),
-    Stage("final_output", _final_output, ("chunks", "attributes", "entities", "canonical_entities", "mappings"), ("trace_edges", "graph_nodes", "final")),
+    Stage(
+        "final_output", _final_output, ("blocks", "chunks", "attributes", "attribute_reviews", "entities", "canonical_entities", "decisions", "entity_reviews", "mappings", "unmapped"),
+        ("trace_edges", "graph_nodes", "review", "dangling", "final", "graph"),
+    ),
 )
 
 
@@ -140,15 +189,21 @@ def _perform(run: Run, i: int, stage: Stage) -> None:
             made = stage.work(run)
             if set(made) != set(stage.makes):
                 raise StageError(f"{stage.name}: made {sorted(made)}, not {sorted(stage.makes)}")
+            counts: dict[str, int] = {}
             for name, rows in made.items():
-                rows.write.mode("overwrite").parquet(f"{_folder(run, i, stage)}/{name}")
+                seen = Observation()
+                rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{_folder(run, i, stage)}/{name}")
+                counts[name] = seen.get["n"]
             break
         except PySparkException as failure:
             if attempt == retry["max_attempts"] or "AnalysisException" in type(failure).__name__:
                 raise StageError(f"{stage.name}: {str(failure)[:300]}") from failure
             time.sleep(retry["backoff_seconds"] * 2 ** (attempt - 1))
     _read(run, i, stage)
-    counts = {name: run.tables[name].count() for name in stage.makes}
+    if stage.name in CHECKS:
+        wrong = CHECKS[stage.name](run).limit(5).collect()  # a few examples
+        if wrong:
+            raise StageError(f"{stage.name}: wrong output, e.g. " + "; ".join(f"{r.document_id}: {r.problem}" for r in wrong))
     run.records.append({"stage": stage.name, "attempts": attempt, "seconds": round(time.time() - began, 3), "rows": counts})
     run.spark.createDataFrame([(json.dumps(run.records[-1]),)], "record string").coalesce(1).write.mode("overwrite").text(f"{_folder(run, i, stage)}/_done")
 

@@ -68,6 +68,33 @@ def docx_blocks(content: bytes) -> list[tuple[str, str, int | None, dict | None]
     return out
 
 
+def unread(files: DataFrame) -> DataFrame:
+    """document_id, file_name, why of the files that give no blocks: their words must be extracted elsewhere (``layout_blocks``)."""
+    return files.filter("format = 'pdf'").select("document_id", "file_name", F.lit("no word extraction for PDF").alias("why"))
+
+
+def docx_properties(content: bytes) -> tuple[str | None, str | None]:
+    """Title and author of a DOCX file's core properties."""
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            root = ElementTree.fromstring(archive.read("docProps/core.xml"))
+    except (zipfile.BadZipFile, KeyError, ElementTree.ParseError):
+        return None, None
+    said = {node.tag.rsplit("}", 1)[-1]: (node.text or "").strip() or None for node in root}
+    return said.get("title"), said.get("creator")
+
+
+def properties_of_files(files: DataFrame) -> DataFrame:
+    """document_id, title, author that DOCX files state about themselves."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            said = [docx_properties(c) for c in pdf["content"]]
+            yield pd.DataFrame({"document_id": pdf["document_id"], "title": [t for t, _ in said], "author": [a for _, a in said]})
+
+    return files.filter("format = 'docx'").select("document_id", "content").mapInPandas(run, "document_id string, title string, author string")
+
+
 def blocks_of_files(files: DataFrame) -> DataFrame:
     """Blocks of text, Markdown and DOCX files."""
 

@@ -129,6 +129,23 @@ class Lexicon:
             raise ValueError(f"more than {most} known entities: too many for a lexicon")
         return Lexicon(known={r.name: (r.layer, r.entity_type, list(r.aliases or [])) for r in rows if r.name and r.name.strip()})
 
+    @staticmethod
+    def from_yaml(path: str) -> Lexicon:
+        """The default lists, of which a YAML file (known_entities, aliases, gazetteer, property_nouns, business,
+        lifecycle_verbs, furniture, generic) replaces those that it has."""
+        import yaml
+
+        with open(path, encoding="utf-8") as source:
+            given = yaml.safe_load(source) or {}
+        known = given.pop("known_entities", None)
+        unknown = set(given) - {"aliases", "gazetteer", "property_nouns", "business", "lifecycle_verbs", "furniture", "generic"}
+        if unknown:
+            raise ValueError(f"unknown lists: {', '.join(sorted(unknown))}")
+        lists = {k: tuple(v) if isinstance(v, list) else v for k, v in given.items()}
+        if known is not None:
+            lists["known"] = {n: ((x or {}).get("layer"), (x or {}).get("type"), list((x or {}).get("aliases") or [])) for n, x in known.items()}
+        return Lexicon(**lists)
+
     # -- lookups as dictionaries: later entries of the known entities win, aliases fill what is absent
     def entity_keys(self) -> dict[str, str]:
         keys: dict[str, str] = {}

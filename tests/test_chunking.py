@@ -37,15 +37,26 @@ def test_heading_paths_and_ids(spark):
 def test_long_documents_in_buckets(spark):
     rows = [("d", i, 1 + i // 50, "heading" if i % 7 == 0 else "paragraph", f"t{i}", 1 + i % 3 if i % 7 == 0 else None) for i in range(300)]
     b = blocks(spark, rows)
-    from specweave.functions import running
-
-    once = chunking.heading_state(b).select("block_id", "section", "heading_path").collect()
-    small, running.BUCKET = running.BUCKET, 16
-    try:
-        again = chunking.heading_state(b).select("block_id", "section", "heading_path").collect()
-    finally:
-        running.BUCKET = small
-    assert sorted(map(str, once)) == sorted(map(str, again))
+    cut = lambda size: sorted(str(r) for r in chunking.heading_state(b, bucket=size).select("block_id", "section", "heading_path").collect())
+    assert cut(4096) == cut(16) == cut(3)
+    deep = blocks(spark, [("d", i, 1, "heading", f"H{n}", n) for i, n in enumerate((9, 10, 11, 10, 12, 2))])
+    paths = {r.ord: r.heading_path for r in chunking.heading_state(deep, bucket=2).collect()}
+    assert paths == {0: ["H9"], 1: ["H9", "H10"], 2: ["H9", "H10", "H11"], 3: ["H9", "H10"], 4: ["H9", "H10", "H12"], 5: ["H2"]}
+
+
+def test_blocks_without_page(spark):
+    b = blocks(spark, [("d", 0, 1, "paragraph", "one", None), ("d", 1, None, "paragraph", "two", None), ("d", 2, None, "paragraph", "w " * 700, None)])
+    for made in (chunking.by_page(b), chunking.by_page(b, 3), chunking.fixed_tokens(b), chunking.heading_aware(b)):
+        rows = made.collect()
+        assert {x for r in rows for x in r.block_ids} == {"d-0", "d-1", "d-2"} and len({r.chunk_id for r in rows}) == len(rows)
+
+
+def test_terms_are_found_as_they_are_written(spark):
+    from specweave.operators.mentions import mentions
+
+    texts = spark.createDataFrame([(1, "an Airline Card and a Line-Card"), (2, "two line cards"), (3, "the very long name of a thing that has nine words indeed"), (4, None), (5, "")], "id int, text string")
+    terms = spark.createDataFrame([("entity", "Line Card", 0, "Line Card", 0), ("entity", "long", 1, "very long name of a thing that has nine words", 0)], "source string, canonical string, canonical_ord int, term string, term_ord int")
+    assert {(r.id, r.canonical) for r in mentions(texts, ["id"], terms).collect()} == {(2, "Line Card"), (3, "long")}
 
 
 def test_furniture_and_subjects(spark):

@@ -1,9 +1,12 @@
 """The whole pipeline over two small documents: what it finds, that documents don't mix, resuming, exit codes."""
 
+import json
+from xml.etree import ElementTree
+
 import pytest
 
 from specweave import config
-from specweave.operators import outputs
+from specweave.operators import duplicates, outputs
 from specweave.plans import cli
 from specweave.plans.pipeline import StageError, run_pipeline
 from specweave.sources.lexicons import Lexicon
@@ -53,11 +56,30 @@ def test_entities_mappings_and_edges(done):
     assert t["mappings"].filter("relationship_type = 'has_attribute'").count() >= 2
     kinds = {r.kind for r in t["trace_edges"].select("kind").distinct().collect()}
     assert {"document>chunk", "chunk>attribute", "attribute>entity", "entity>canonical", "attribute>mapping", "mapping>entity"} == kinds
-    final = {r.document_id: r for r in t["final"].collect()}
-    text = outputs.canonical_json(final["doc-1"])
-    assert text == outputs.canonical_json(final["doc-1"]) and text.endswith("}\n")
-    xml = outputs.graphml(t["graph_nodes"].collect(), t["trace_edges"].collect())
-    assert xml.count("<node ") == t["graph_nodes"].count()
+    text = "".join(r.text for r in t["final"].filter("document_id = 'doc-1'").orderBy("seq").collect())
+    final = json.loads(text)
+    assert set(final) == {"attributes", "dangling", "document", "entities", "mappings", "review", "review_queue", "trace", "unmapped"}
+    assert len(final["mappings"]) == t["mappings"].filter("document_id = 'doc-1'").count() and final["document"][0]["chunk_count"] == t["chunks"].filter("document_id = 'doc-1'").count()
+    merged = t["canonical_entities"].filter("size(member_ids) > 1").count()
+    assert t["review"].count() == merged + t["decisions"].filter("validation_status <> 'ACCEPT'").count() and t["dangling"].count() == t["attributes"].filter("entity is null").count()
+
+
+def test_graphs(done):
+    edges = done[0].tables["trace_edges"]
+    said = {f: "".join(r.text for r in outputs.documents_graph(edges, f).filter("document_id = 'doc-1'").orderBy("seq").collect()) for f in ("json", "graphml")}
+    mine = edges.filter("document_id = 'doc-1'")
+    graph, xml = json.loads(said["json"]), ElementTree.fromstring(said["graphml"])
+    assert len(graph["edges"]) == mine.distinct().count() and {n["id"] for n in graph["nodes"]} == {r.node_id for r in outputs.nodes(mine).collect()}
+    assert len(list(xml.iter("{http://graphml.graphdrawing.org/xmlns}node"))) == len(graph["nodes"])
+
+
+def test_wrong_outputs_are_refused(done, tmp_path):
+    wrong = {"chunking": lambda run: {"chunks": done[0].tables["chunks"].unionByName(done[0].tables["chunks"])}}
+    with pytest.raises(StageError, match="twice"):
+        run_pipeline(parse_texts(done[2]), str(tmp_path), overrides=wrong)
+    t = done[0].tables
+    assert duplicates.partition_problems(t["entities"], t["canonical_entities"], t["decisions"]).count() == 0
+    assert duplicates.partition_problems(t["entities"], t["canonical_entities"].limit(0), t["decisions"]).count() == t["entities"].count() + t["decisions"].count()
 
 
 def test_resume(done):
