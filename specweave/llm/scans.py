@@ -27,12 +27,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specweave.session import table
+from specweave.session import Shelf, table
 
 #: Blocks that the model is trained on: the ones with the smallest hash of their record_id.
 TRAIN_BLOCKS = 6_000
-#: A word is kept in the broadcast counts if it is at least one in this many words, so there are at most as many.
-WORD_SHARE = 200_000
+#: A word is known if it occurs so often, whatever the size of the corpus.
+KNOWN = 5
+#: Known words in the broadcast counts: if there are more, the most frequent ones.
+KNOWN_WORDS = 500_000
 #: A misread word is at least this much rarer than the word it stands for.
 RARER = 20
 #: A block at a page's edge of fewer characters is an edge as a whole, a longer one by its first and last line.
@@ -97,11 +99,10 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"word": pd.Series(list(held), dtype="object"), "n": pd.Series(list(held.values()), dtype="int64")})
 
 
-def word_counts(blocks: DataFrame) -> dict[str, int]:
-    """Counts of the words that are at least one in ``WORD_SHARE`` of all (and occur five times): at most that many."""
-    counts = blocks.select("text").filter("text is not null").mapInPandas(_counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter("word <> ''")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return {r.word: r.n for r in counts.filter((F.col("n") * WORD_SHARE >= total) & (F.col("n") >= 5)).collect()}
+def word_counts(blocks: DataFrame, shelf: Shelf) -> dict[str, int]:
+    """Counts of the known words, over all blocks; of the ``KNOWN_WORDS`` most frequent ones if there are more."""
+    counted = blocks.select("text").filter("text is not null").mapInPandas(_counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).filter(f"word <> '' and n >= {KNOWN}")
+    return {r.word: r.n for r in shelf.keep(counted).orderBy(F.desc("n"), "word").limit(KNOWN_WORDS).collect()}  # bounded
 
 
 def drawn(word: str) -> str:
@@ -109,6 +110,22 @@ def drawn(word: str) -> str:
     return _DRAWN.sub(lambda m: _DRAWN_AS[m.group()], word.translate(_ONE).replace("ri", "n")).lower()
 
 
+class _Kept(dict):
+    """Results of a function by word; forgets everything when it has grown to its bound."""
+
+    bound = 300_000
+
+    def __init__(self, work) -> None:
+        super().__init__()
+        self.work = work
+
+    def __missing__(self, word: str):
+        if len(self) >= self.bound:
+            self.clear()
+        out = self[word] = self.work(word)
+        return out
+
+
 class Reader:
     """Tells misread words from real ones by corpus counts."""
 
@@ -122,6 +139,9 @@ class Reader:
             if len(w) >= 4 and "-" not in w:
                 self.alike.setdefault(drawn(w), []).append(w)
         self._meant: dict[str, str | None] = {}
+        self._corrected = _Kept(self._correct)
+        self._misread = _Kept(self._is_misread)
+        self.folded = _Kept(lambda word: self.corrected(word).lower())
 
     def count(self, word: str) -> int:
         n = self.counts.get(word, 0)
@@ -155,7 +175,7 @@ class Reader:
         return out
 
     def _search(self, word: str) -> str | None:
-        if len(word) > 40 or word.isdigit():
+        if word.isdigit():
             return None
         own = self.count(word)
         digits = any(c.isdigit() for c in word)
@@ -178,11 +198,22 @@ class Reader:
 
     def corrected(self, word: str) -> str:
         """A whole word, or a compound part by part, as it was meant."""
+        return self._corrected[word]
+
+    def _correct(self, word: str) -> str:
         whole = self.meant(word)
         if whole is not None or "-" not in word or self.count(word):
             return whole or word
         return "-".join(self.meant(p) or p for p in word.split("-"))
 
+    def _is_misread(self, word: str) -> bool:
+        bare = _strip(word)
+        return bool(bare) and self.corrected(bare) != bare
+
+    def misread(self, text: str) -> bool:
+        """Whether a whole word of the text is misread."""
+        return any(map(self._misread.__getitem__, whole_words(text)))
+
     def is_compound(self, left: str, right: str) -> bool:
         """Whether a line's end falls on a compound's own hyphen."""
         a, b = left.lower().strip(_EDGE_PUNCT), right.lower().strip(_EDGE_PUNCT)
@@ -213,8 +244,6 @@ def unread_number(text: str, reader: Reader) -> str:
 
 
 def number_shape(text: str, reader: Reader) -> bool:
-    if len(text) > 24:
-        return False
     return bool(_NUMBER.match(text) or _NUMBER.match(unread_number(text, reader)) or re.fullmatch(r"[0-9lIOSB]{1,4}", text) and any(c.isdigit() for c in text))
 
 
@@ -247,7 +276,7 @@ def features(segs: list[tuple[int, str]], edge: bool, recurs: dict[str, str], re
             shape = "numbered"
         else:
             shape = "short"
-        ws = tuple(reader.corrected(w).lower() for w in words_of(text)[:14])
+        ws = tuple(dict.fromkeys(map(reader.folded.__getitem__, words_of(text))))
         out.append((place, shape, recurs.get(skeleton(text), ""), ws))
     return out
 
@@ -274,7 +303,7 @@ class LineModel:
                     shape[s, sh] += 1
                     recur[s, r] += 1
                     total[s] += 1
-                    for w in set(ws):
+                    for w in ws:
                         word[s, w] += 1
                         seen.add(w)
                 before = s or None
@@ -284,6 +313,7 @@ class LineModel:
         spread = lambda p, n: log(0.8 * p + 0.2 / n)
         self.start = [log((start[s] + 1) / (sum(start.values()) + len(STATES))) for s in STATES]
         self.step = [[spread((step[a, b] + 1) / (sum(step[a, c] for c in STATES) + len(STATES)), 4 * len(STATES)) for b in STATES] for a in STATES]
+        self.into = [[self.step[a][b] for a in range(len(STATES))] for b in range(len(STATES))]
         self.place = {p: [spread((place[s, p] + 0.5) / (total[s] + 4), places) for s in STATES] for p in {k[1] for k in place}}
         self.shape = {p: [log((shape[s, p] + 0.05) / (total[s] + 0.5)) for s in STATES] for p in {k[1] for k in shape}}
         self.recur = {r: [spread((recur[s, r] + 0.5) / (total[s] + 1), 4) for s in STATES] for r in RECURS}
@@ -298,24 +328,32 @@ class LineModel:
 
     def emission(self, f: tuple) -> list[float]:
         place, shape, recurs, ws = f
-        a, b, c = self.place.get(place, self.none), self.shape.get(shape, self.none), self.recur[recurs]
-        voted = [self.word[w] for w in set(ws) if w in self.word]
+        base = self._memo.get(f[:3])
+        if base is None:
+            base = self._memo[f[:3]] = [sum(x) for x in zip(self.place.get(place, self.none), self.shape.get(shape, self.none), self.recur[recurs])]
+        word = self.word
+        voted = [word[w] for w in ws if w in word]
+        if not voted:
+            return base
         scale = 1.0 if len(voted) <= 6 else 6.0 / len(voted)
-        return [a[i] + b[i] + c[i] + scale * sum(v[i] for v in voted) for i in range(len(STATES))]
+        return [b + scale * sum(v) for b, v in zip(base, zip(*voted))]
 
     def path(self, feats: list[tuple]) -> list[str]:
         """The most probable labels."""
         if not feats:
             return []
-        e = self.emission(feats[0])
-        score = [s + x for s, x in zip(self.start, e)]
+        score = [s + x for s, x in zip(self.start, self.emission(feats[0]))]
         back = []
         for f in feats[1:]:
-            e = self.emission(f)
-            came = [max(range(len(STATES)), key=lambda a, b=b: score[a] + self.step[a][b]) for b in range(len(STATES))]
-            score = [score[came[b]] + self.step[came[b]][b] + e[b] for b in range(len(STATES))]
+            came, after = [], []
+            for x, steps in zip(self.emission(f), self.into):
+                ways = [a + b for a, b in zip(score, steps)]
+                best = max(ways)
+                came.append(ways.index(best))
+                after.append(best + x)
+            score = after
             back.append(came)
-        at = max(range(len(STATES)), key=lambda i: score[i])
+        at = score.index(max(score))
         out = [at]
         for came in reversed(back):
             at = came[at]
@@ -397,7 +435,7 @@ def trained(rows: DataFrame, reader: Reader, train_blocks: int = TRAIN_BLOCKS) -
     sample = rows.select("kind", "text", "edge", "recurring", F.xxhash64("record_id").alias("h")).orderBy("h").limit(train_blocks).collect()  # bounded
     sequences = []
     for r in sample:
-        feats = features(segments(r.text)[:200], r.edge, recurrences(r.recurring), reader)
+        feats = features(segments(r.text), r.edge, recurrences(r.recurring), reader)
         sequences.append((feats, self_labels(feats, r.kind)))
     return LineModel(sequences)
 
@@ -421,12 +459,7 @@ class Page:
 
     def _misread(self) -> bool:
         aside = [text for (_, text), label in zip(self.segs, self.labels) if label in ("header", "number")]
-        for part in (self.text, *aside):
-            for word in whole_words(part):
-                bare = _strip(word)
-                if bare and self.reader.corrected(bare) != bare:
-                    return True
-        return False
+        return self.reader.misread(self.text) or any(map(self.reader.misread, aside))
 
     def _joined(self) -> str:
         """Body lines as one paragraph, breaks on lines of their own."""
@@ -466,8 +499,9 @@ class Page:
 
 def _prepared(blocks: DataFrame):
     spark = blocks.sparkSession
-    rows = placed(blocks)
-    counts = word_counts(blocks)
+    shelf = Shelf(spark)
+    rows = shelf.keep(placed(blocks))
+    counts = word_counts(blocks, shelf)
     model = trained(rows, Reader(counts))
     return rows, spark.sparkContext.broadcast((counts, model))
 
