@@ -244,6 +244,9 @@ def unread_number(text: str, reader: Reader) -> str:
 
 
 def number_shape(text: str, reader: Reader) -> bool:
+    """Whether a line is a page's number, with or without words around it; a line of more than a dozen words is none."""
+    if len(text) > 60 and len(words_of(text)) > 12:
+        return False
     return bool(_NUMBER.match(text) or _NUMBER.match(unread_number(text, reader)) or re.fullmatch(r"[0-9lIOSB]{1,4}", text) and any(c.isdigit() for c in text))
 
 
