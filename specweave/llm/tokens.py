@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import os
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -113,40 +114,51 @@ class PrefixEncoder:
 
 
 class GrowingText:
-    """An encoded text that can be appended to and edited at its end without encoding all of it again.
+    """An encoded text that can be appended to and edited without encoding all of it again.
 
-    The last tokens of each piece's prefixes are kept.  A change at ``start`` leaves all pieces alone that end at least one
-    piece before it; in the first piece that differs the prefixes common to old and new are reused.
+    The last tokens of each piece's prefixes are kept.  Before an edit all pieces stay that end at least one piece ahead of
+    it; behind it all stay from the first piece on that begins where one began before, because how a text is cut from there
+    on depends on nothing to its left.  In between, prefixes common to an old and a new piece are reused.
     """
 
     def __init__(self, encoder: PrefixEncoder, text: str = "") -> None:
         self.encoder, self.text = encoder, ""
         self.pieces: list[tuple[int, str, list[int]]] = []
-        self.replace_from(0, text)
+        self.replace(0, 0, text)
 
     def append(self, more: str) -> None:
-        self.replace_from(len(self.text), more)
+        self.replace(len(self.text), len(self.text), more)
 
     def replace_from(self, start: int, tail: str) -> None:
         """Replace everything from ``start`` on by ``tail``."""
-        self.text = self.text[:start] + tail
-        keep = len(self.pieces)
-        while keep and self.pieces[keep - 1][0] + len(self.pieces[keep - 1][1]) >= start:
-            keep -= 1
+        self.replace(start, len(self.text), tail)
+
+    def replace(self, start: int, end: int, new: str) -> int:
+        """Replace the characters from ``start`` to ``end`` by ``new``; the number of pieces that were encoded again."""
+        shift = len(new) - (end - start)
+        self.text = self.text[:start] + new + self.text[end:]
+        keep = bisect_left(self.pieces, start, key=lambda p: p[0] + len(p[1]))
         keep = max(0, keep - 1)  # the cut before the change may depend on what follows it
-        old = {at: (piece, last) for at, piece, last in self.pieces[keep:]}
-        begin = self.pieces[keep][0] if keep < len(self.pieces) else 0
-        if keep == 0:
-            begin = 0
-        self.pieces = self.pieces[:keep]
+        begin = self.pieces[keep][0] if keep < len(self.pieces) and keep else 0
+        old = {at: (piece, last) for at, piece, last in self.pieces[keep:] if at < end}
+        behind = bisect_left(self.pieces, end, key=lambda p: p[0])
+        tail = self.pieces[behind:]
+        starts = {at + shift: i for i, (at, _, _) in enumerate(tail)}
+        made = []
         for m in self.encoder.pattern.finditer(self.text, begin):
+            if m.start() >= start + len(new) and m.start() in starts:
+                made += [(at + shift, piece, last) for at, piece, last in tail[starts[m.start()] :]]
+                break
             data, last = m.group().encode("utf-8", "replace"), []
             if m.start() in old:
                 before, known = old[m.start()]
                 common = os.path.commonprefix([data, before.encode("utf-8", "replace")])
                 last = known[: len(common)]
             self.encoder.extend(data, last)
-            self.pieces.append((m.start(), m.group(), last))
+            made.append((m.start(), m.group(), last))
+        again = len(made) if not tail else sum(at < start + len(new) for at, _, _ in made)
+        self.pieces = self.pieces[:keep] + made
+        return again
 
     def ids(self) -> list[int]:
         return [t for _, _, last in self.pieces for t in self.encoder.tokens(last)]

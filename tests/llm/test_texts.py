@@ -95,6 +95,12 @@ def test_appends_and_edits(encoder, plain):
         else:
             text.replace_from(rng.randint(0, len(text.text)), rng.choice(["", " new end", "x"]))
         assert text.ids() == plain.encode_ordinary(text.text)
+    for _ in range(200):
+        start = rng.randint(0, len(text.text))
+        text.replace(start, min(len(text.text), start + rng.randint(0, 6)), rng.choice(["", " ", "new", " it's", "\n\n", "9", "é "]))
+        assert text.ids() == plain.encode_ordinary(text.text)
+    long = GrowingText(encoder, "plain words of a text. " * 2000)
+    assert long.replace(20_000, 20_005, "other") < 10 and long.ids() == plain.encode_ordinary(long.text)
 
 
 # -- leaks
