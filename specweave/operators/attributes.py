@@ -15,7 +15,8 @@ from specweave.functions.keys import content_id
 from specweave.functions.text import camel_case, head_noun, norm, strip
 from specweave.operators import binding as bindings
 from specweave.operators import signals
-from specweave.operators.candidates import block_mentions, candidates, corpus, document_terms
+from specweave.operators.candidates import HEADING_ENTITY, LEXICON_SQL, ONCE_SQL, block_mentions, candidates, corpus, document_terms, word_sql
+from specweave.operators.candidates import ORACLES as CANDIDATES_SQL
 from specweave.operators.cleaning import delivered_once, titles
 from specweave.operators.signals import cell
 from specweave.session import checkpointed, table
@@ -138,10 +139,11 @@ def problems(attributes: DataFrame, chunks: DataFrame) -> DataFrame:
     return rows.select("document_id", "attribute_id", said.alias("problem")).filter("problem is not null")
 
 
-def extract(chunks: DataFrame, blocks: DataFrame, lexicon: Lexicon = Lexicon(), document_titles: DataFrame | None = None, scoring: dict | None = None, default_entity: str | None = None) -> DataFrame:
+def extract(chunks: DataFrame, blocks: DataFrame, lexicon: Lexicon = Lexicon(), document_titles: DataFrame | None = None, scoring: dict | None = None, default_entity: str | None = None, proposed: DataFrame | None = None) -> DataFrame:
     """All attribute records (kept and discarded) of a corpus: candidates, binding, counting, scoring, building."""
     found = checkpointed(block_mentions(blocks, lexicon))  # used by several steps, as are the next two
-    proposed = checkpointed(candidates(chunks, blocks, lexicon, found))
+    own = candidates(chunks, blocks, lexicon, found)
+    proposed = checkpointed(own if proposed is None else own.unionByName(proposed))  # those of a model come last
     bound = checkpointed(bindings.bind(proposed, chunks, blocks, document_titles if document_titles is not None else titles(blocks), found, lexicon, default_entity))
     subjects = bindings.resolved_names(blocks.select("document_id", F.col("tbl.subject_hint").alias("text")), lexicon, document_terms(blocks, lexicon))
     subjects = subjects.select("document_id", norm(F.col("entity")).alias("entity_key")).distinct()
@@ -162,6 +164,16 @@ def q_bindings(spark: SparkSession, root: str) -> DataFrame:
     return bound.select("document_id", "chunk_id", "block_id", "raw_name", "origin", "binding.entity_name", "binding.scope", "binding.confidence")
 
 
+def q_subject_bindings(spark: SparkSession, root: str) -> DataFrame:
+    """The bindings by the subject of the candidate's table."""
+    return q_bindings(spark, root).filter("scope = 'table_subject'").select("document_id", "chunk_id", "block_id", "raw_name", "origin", "entity_name", "confidence")
+
+
+def q_default_entities(spark: SparkSession, root: str) -> DataFrame:
+    blocks, _, lexicon = corpus(spark, root)
+    return bindings.default_entities(titles(blocks), lexicon, document_terms(blocks, lexicon)).select("document_id", "title", "default_entity")
+
+
 def q_extract(spark: SparkSession, root: str) -> DataFrame:
     blocks, chunks, lexicon = corpus(spark, root)
     return extract(chunks, blocks, lexicon)
@@ -201,15 +213,33 @@ def q_dedup_given(spark: SparkSession, root: str) -> DataFrame:
     a = delivered_once(table(spark, root, "attributes"), ["attribute_id"]).filter("confidence is not null and not isnan(confidence) and score.route is not null")
     slim = a.select(F.col("source_document").alias("document_id"), "entity", "attribute_name", "attribute_id", "display_name", "aliases", "evidence", "confidence", "score", F.col("record_id").alias("cand"))
     kept = dedup(slim.withColumn("aliases", F.coalesce("aliases", F.array().cast("array<string>"))).withColumn("evidence", F.coalesce("evidence", F.array().cast(slim.schema["evidence"].dataType))))
-    return kept.select("document_id", "entity", "attribute_name", "attribute_id")
+    return kept.select("document_id", "entity", "attribute_name", "attribute_id", F.size("evidence").alias("n_evidence"))
 
 
 _NOUNS = "case head " + " ".join(f"when '{n}' then '{k}'" for n, k in Lexicon().noun_kinds().items() if k in ("measure", "identifier")) + " end"
-QUERIES = {"bindings": q_bindings, "routed_attributes": q_routed, "signal_hits": q_signal_hits, "dedup_attributes": q_dedup, "units_domains_types": q_units_domains, "camel_and_head_names": q_names, "attribute_ids": q_ids, "dedup_given_attributes": q_dedup_given}
+_KNOWN = "kn as (select name, row_number() over (order by min(known_id)) as o from known_entities where trim(name) <> '' group by name)"
+_BOUND = {
+    "subject_bindings": rf"""with {ONCE_SQL}, {LEXICON_SQL}, {_KNOWN},
+cand as (select *, 'spec_table' as origin from ({CANDIDATES_SQL["spec_rows"]}) union all select *, 'kv_pair' from ({CANDIDATES_SQL["kv_rows"]})),
+su as (select distinct document_id, tbl.subject_hint as t from b where tbl.subject_hint is not null),
+s1 as (select su.*, nullif(trim(regexp_extract(t, '{HEADING_ENTITY.replace("(?iuU)", "(?i)")}', 1)), '') as implied from su),
+s2 as (select s1.*, lex.name as known from s1 left join lex on lex.key = lower(trim(regexp_replace(coalesce(implied, t), '\s+', ' ', 'g')))),
+s3 as (select document_id, t, min_by(kn.name, (-length(kn.name), o)) as inner_name from s2, kn where {word_sql("t", "kn.name", False)} group by document_id, t),
+re as (select s2.document_id, s2.t, coalesce(known, implied, inner_name) as entity from s2 left join s3 on s3.document_id = s2.document_id and s3.t = s2.t)
+select cand.document_id, chunk_id, cand.block_id, raw_name, origin, entity as entity_name, 1.0::double as confidence from cand join b on b.document_id = cand.document_id and b.block_id = cand.block_id
+  join re on re.document_id = b.document_id and re.t = b.tbl.subject_hint where entity is not null""",
+    "default_entities": rf"""with {ONCE_SQL}, {_KNOWN}, ti as (select document_id, arg_min(text, ord) as title from b where heading_level = 1 group by 1),
+ht as (select ti.*, name, o, len(regexp_extract_all(replace(lower(title), lower(name), chr(1)), '(?:^|[^\pL\pN_])\x01')) as n from ti, kn where {word_sql("title", "name", False)})
+select document_id, title, min_by(name, (-n, o)) as default_entity from ht group by document_id, title""",
+}
+QUERIES = {"subject_bindings": q_subject_bindings, "default_entities": q_default_entities, "bindings": q_bindings, "routed_attributes": q_routed, "signal_hits": q_signal_hits, "dedup_attributes": q_dedup, "units_domains_types": q_units_domains, "camel_and_head_names": q_names, "attribute_ids": q_ids, "dedup_given_attributes": q_dedup_given}
 ORACLES = {
+    **_BOUND,
     "attribute_ids": "select record_id, 'attr-' || left(sha256(coalesce(source_document, '') || '|' || coalesce(source_chunk, '') || '|' || coalesce(attribute_name, '') || '|' || coalesce(source_text, '')), 16) as made_id from attributes",
     "dedup_given_attributes": """with a as (select * from attributes where record_id in (select min(record_id) from attributes group by attribute_id) and confidence is not null and not isnan(confidence) and score.route <> 'discard')
-select source_document as document_id, entity, attribute_name, attribute_id from a qualify row_number() over (partition by source_document, entity, attribute_name order by confidence desc, attribute_id desc) = 1""",
+, g as (select source_document as d, entity as e, attribute_name as t, len(list_distinct(flatten(list(coalesce(evidence, [])))))::int as n from a group by all)
+select source_document as document_id, entity, attribute_name, attribute_id, n as n_evidence from a join g on g.d is not distinct from source_document and g.e is not distinct from entity and g.t is not distinct from attribute_name
+qualify row_number() over (partition by source_document, entity, attribute_name order by confidence desc, attribute_id desc) = 1""",
     "camel_and_head_names": r"""with t as (select record_id, regexp_extract_all(display_name, '[A-Za-z0-9]+') as x, trim(regexp_replace(display_name, '\([^)]*\)', '', 'g')) as bare from attributes)
 select record_id, array_to_string(list_transform(x, lambda w, i: case when i = 1 then lower(w) when length(w) > 1 and w = upper(w) and regexp_matches(w, '[A-Z]') then upper(w[1]) || lower(w[2:]) else upper(w[1]) || w[2:] end), '') as camel,
   lower(coalesce(regexp_extract_all(bare, '[A-Za-z0-9'']+')[-1], bare)) as head from t""",

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from specweave import config
+from specweave.functions import providers
 from specweave.operators import attributes as attribute_ops
 from specweave.operators import chunking, cleaning, duplicates, entities, mapping, naming, outputs, quality
 from specweave.sources.lexicons import Lexicon
@@ -34,6 +35,8 @@ class Run:
     lexicon: Lexicon
     tables: dict[str, DataFrame] = field(default_factory=dict)
     records: list[dict[str, Any]] = field(default_factory=list)
+    #: A model that proposes entities and candidates and judges entities; None (or the rules) proposes nothing.
+    model: providers.Provider | None = None
 
     @property
     def home(self) -> str:
@@ -56,7 +59,8 @@ def _chunking(run: Run) -> dict[str, DataFrame]:
 
 
 def _attribute_extraction(run: Run) -> dict[str, DataFrame]:
-    return {"all_attributes": attribute_ops.extract(run.tables["chunks"], run.tables["blocks"], run.lexicon, run.tables["titles"], run.settings["scoring"], run.settings["binding"]["document_default_entity"])}
+    proposed = providers.proposed_candidates(run.tables["chunks"], run.tables["blocks"], run.model) if run.model else None
+    return {"all_attributes": attribute_ops.extract(run.tables["chunks"], run.tables["blocks"], run.lexicon, run.tables["titles"], run.settings["scoring"], run.settings["binding"]["document_default_entity"], proposed)}
 
 
 def _attribute_storage(run: Run) -> dict[str, DataFrame]:
@@ -66,7 +70,8 @@ def _attribute_storage(run: Run) -> dict[str, DataFrame]:
 
 
 def _entity_generation(run: Run) -> dict[str, DataFrame]:
-    return {"entities": entities.generate(run.tables["attributes"], run.tables["discarded"], run.tables["chunks"], run.lexicon)}
+    proposed = providers.proposals(run.tables["chunks"], list(run.lexicon.known), run.model) if run.model else None
+    return {"entities": entities.generate(run.tables["attributes"], run.tables["discarded"], run.tables["chunks"], run.lexicon, proposed)}
 
 
 def _entity_normalization(run: Run) -> dict[str, DataFrame]:
@@ -77,7 +82,7 @@ def _entity_reviewer(run: Run) -> dict[str, DataFrame]:
     e = run.tables["named_entities"]
     pairs = duplicates.checkpointed(duplicates.duplicate_pairs(e, run.lexicon))
     cents = duplicates.checkpointed(duplicates.canonical_entities(e, duplicates.groups(e, pairs)))
-    decisions = duplicates.checkpointed(quality.decide(cents, run.tables["chunks"], run.tables["attributes"], run.lexicon))
+    decisions = duplicates.checkpointed(quality.decide(cents, run.tables["chunks"], run.tables["attributes"], run.lexicon, providers.adjustments(cents, run.model) if run.model else None))
     return {"duplicate_pairs": pairs, "canonical_entities": cents, "decisions": decisions, "entity_reviews": duplicates.review_items(pairs).unionByName(quality.review_items(decisions))}
 
 
@@ -208,10 +213,11 @@ def _perform(run: Run, i: int, stage: Stage) -> None:
     run.spark.createDataFrame([(json.dumps(run.records[-1]),)], "record string").coalesce(1).write.mode("overwrite").text(f"{_folder(run, i, stage)}/_done")
 
 
-def run_pipeline(blocks: DataFrame, root: str, settings: dict[str, Any] | None = None, lexicon: Lexicon | None = None, resume: bool = True, resume_from: str | None = None, overrides: dict[str, Callable[[Run], dict[str, DataFrame]]] | None = None) -> Run:
+def run_pipeline(blocks: DataFrame, root: str, settings: dict[str, Any] | None = None, lexicon: Lexicon | None = None, resume: bool = True, resume_from: str | None = None, overrides: dict[str, Callable[[Run], dict[str, DataFrame]]] | None = None, model: providers.Provider | None = None) -> Run:
     """Run all stages over ``blocks``.  ``resume`` takes finished stages as they are; ``resume_from`` works again from a
-    stage on, whose predecessors must be finished; ``overrides`` replaces the work of stages by name."""
-    run = Run(blocks.sparkSession, root, settings or config.load(), lexicon or Lexicon(), {"input_blocks": blocks})
+    stage on, whose predecessors must be finished; ``overrides`` replaces the work of stages by name; ``model`` may add to what the
+    rules find."""
+    run = Run(blocks.sparkSession, root, settings or config.load(), lexicon or Lexicon(), {"input_blocks": blocks}, model=model)
     names = [s.name for s in STAGES]
     if resume_from is not None and resume_from not in names:
         raise StageError(f"unknown stage {resume_from!r}")
