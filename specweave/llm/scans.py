@@ -24,6 +24,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -254,7 +255,13 @@ def skeleton(text: str) -> str:
     return re.sub(r"\d+", "#", " ".join(text.lower().split()))
 
 
-def features(segs: list[tuple[int, str]], edge: bool, recurs: dict[str, str], reader: Reader) -> list[tuple]:
+def line_hash(text: str) -> int:
+    """The hash of a line's skeleton, the same as on the JVM."""
+    h = xxhash.xxh64_intdigest(skeleton(text).encode("utf-8", "surrogatepass"), seed=42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def features(segs: list[tuple[int, str]], edge: bool, recurs: dict[int, str], reader: Reader) -> list[tuple]:
     """Per segment: place, shape, recurrence ('edge', 'inner' or '') and words."""
     out = []
     last = segs[-1][0] if segs else 0
@@ -280,7 +287,7 @@ def features(segs: list[tuple[int, str]], edge: bool, recurs: dict[str, str], re
         else:
             shape = "short"
         ws = tuple(dict.fromkeys(map(reader.folded.__getitem__, words_of(text))))
-        out.append((place, shape, recurs.get(skeleton(text), ""), ws))
+        out.append((place, shape, recurs.get(line_hash(text), "") if recurs else "", ws))
     return out
 
 
@@ -388,9 +395,9 @@ def self_labels(feats: list[tuple], kind: str | None) -> list[str]:
 # -- the operator ----------------------------------------------------------------------------------------------------
 
 
-def recurring_lines(blocks: DataFrame) -> DataFrame:
-    """record_id, recurring: the block's segments, as skeletons, that stand on two or more pages of the document, each with
-    whether they do so at page edges.
+def recurring_lines(blocks: DataFrame, shelf: Shelf) -> DataFrame:
+    """record_id, recurring: the hashes of the block's segments, as skeletons, that stand on two or more pages of the
+    document, each with whether they do so at page edges.
 
     The lines of all blocks count, whatever the block's length and place, and every block that holds such a line is marked.
     A line is at a page's edge if it belongs to a short block there, or is the first or last line of a longer one.  Only
@@ -403,33 +410,29 @@ def recurring_lines(blocks: DataFrame) -> DataFrame:
     rows = rows.withColumn("n", F.size("lines"))  # columns of their own, so that no line computes them again
     cut = F.transform("lines", lambda x, i: F.struct((F.col("edge") & (F.col("short") | (i == 0) | (i == F.col("n") - 1))).alias("at_edge"), F.when(x.rlike(r"^\s*\|"), F.array(x)).otherwise(F.split(x, r"[ \t]{3,}")).alias("parts")))
     segs = F.flatten(F.transform(cut, lambda x: F.transform(x["parts"], lambda part: F.struct(plain(part).alias("line"), x["at_edge"].alias("at_edge")))))
-    held = rows.select("record_id", "document_id", "page", F.filter(segs, lambda x: x["line"] != "").alias("segs"))
-    parts = held.select("record_id", "document_id", "page", F.posexplode("segs").alias("pos", "seg")).select(
-        "record_id", "document_id", "page", "pos", F.xxhash64("seg.line").alias("h"), "seg.at_edge"
-    )
+    each = rows.select("record_id", "document_id", "page", F.explode(segs).alias("seg")).filter("seg.line <> ''")
+    parts = shelf.keep(each.select("record_id", "document_id", "page", F.xxhash64("seg.line").alias("line"), "seg.at_edge"))
     outer = F.when(F.col("at_edge"), F.col("page"))
     again = (
-        parts.groupBy("document_id", "h")
+        parts.groupBy("document_id", "line")
         .agg(F.min("page").alias("p"), F.max("page").alias("q"), F.coalesce(F.min(outer) != F.max(outer), F.lit(False)).alias("outer"))
         .filter("p <> q")
-        .select("document_id", "h", "outer")
+        .select("document_id", "line", "outer")
     )
-    marks = parts.select("record_id", "document_id", "pos", "h").join(again, ["document_id", "h"]).groupBy("record_id").agg(F.collect_list(F.struct("pos", "outer")).alias("marks"))
-    line = lambda m: F.struct(F.col("segs")[m["pos"]]["line"].alias("line"), m["outer"].alias("outer"))
-    return held.select("record_id", "segs").join(marks, "record_id").select("record_id", F.array_distinct(F.transform("marks", line)).alias("recurring"))
+    return parts.select("record_id", "document_id", "line").join(again, ["document_id", "line"]).groupBy("record_id").agg(F.collect_set(F.struct("line", "outer")).alias("recurring"))
 
 
-def placed(blocks: DataFrame) -> DataFrame:
+def placed(blocks: DataFrame, shelf: Shelf) -> DataFrame:
     """record_id, document_id, page, ord, kind, text, edge (first or last block of its page), recurring (skeletons of its
     segments that stand on two or more pages of the document, by whether they do so at page edges)."""
     b = blocks.select("record_id", "document_id", "page", "ord", "kind", "text").filter("text is not null")
     ends = b.filter("document_id is not null and page is not null").groupBy("document_id", "page").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi"))
     b = b.join(ends, ["document_id", "page"], "left").withColumn("edge", F.coalesce((F.col("ord") == F.col("lo")) | (F.col("ord") == F.col("hi")), F.lit(True))).drop("lo", "hi")
-    return b.join(recurring_lines(b), "record_id", "left")
+    return b.join(recurring_lines(b, shelf), "record_id", "left")
 
 
-def recurrences(recurring) -> dict[str, str]:
-    """Skeleton -> where it recurs, of the marks of a block."""
+def recurrences(recurring) -> dict[int, str]:
+    """Hash of a skeleton -> where it recurs, of the marks of a block."""
     return {m["line"]: "edge" if m["outer"] else "inner" for m in recurring} if recurring is not None else {}
 
 
@@ -446,7 +449,7 @@ def trained(rows: DataFrame, reader: Reader, train_blocks: int = TRAIN_BLOCKS) -
 class Page:
     """Labels, defects and repaired text of one block."""
 
-    def __init__(self, text: str, edge: bool, recurring: dict[str, str], reader: Reader, model: LineModel) -> None:
+    def __init__(self, text: str, edge: bool, recurring: dict[int, str], reader: Reader, model: LineModel) -> None:
         self.segs = segments(text)
         self.labels = model.path(features(self.segs, edge, recurring, reader))
         self.reader = reader
@@ -503,7 +506,7 @@ class Page:
 def _prepared(blocks: DataFrame):
     spark = blocks.sparkSession
     shelf = Shelf(spark)
-    rows = shelf.keep(placed(blocks))
+    rows = shelf.keep(placed(blocks, shelf))
     counts = word_counts(blocks, shelf)
     model = trained(rows, Reader(counts))
     return rows, spark.sparkContext.broadcast((counts, model))

@@ -2,7 +2,8 @@ import random
 
 import pytest
 
-from specweave.llm.scans import Reader, number_shape, placed, readable_paragraphs, scan_defects, segments, skeleton
+from specweave.llm.scans import Reader, line_hash, number_shape, placed, readable_paragraphs, scan_defects, segments
+from specweave.session import Shelf
 
 DDL = "record_id bigint, document_id string, ord int, page int, kind string, text string, edge boolean, recurring string, lo int"
 SUBJECTS = "operator engineer planner technician customer dispatcher auditor coordinator".split()
@@ -76,8 +77,8 @@ def test_recurrence_counts_lines_of_all_blocks(spark):
         ]
     rows += [(90, "doc-mixed", 1, 1, None, head, None, None, None), (91, "doc-mixed", 2, 2, None, head, None, None, None), (92, "doc-mixed", 4, 3, None, f"{sentence(rng)}\n{head}\n{sentence(rng)}", None, None, None)]
     rows += [(93, "doc-mixed", 3, 3, None, "First.", None, None, None), (94, "doc-mixed", 5, 3, None, "Last.", None, None, None), (95, "doc-once", 1, 1, None, head, None, None, None)]
-    marks = {r.record_id: {m.line: m.outer for m in r.recurring or ()} for r in placed(spark.createDataFrame(rows, "record_id bigint, document_id string, ord int, page int, kind string, text string, x string, y string, z string")).collect()}
-    line = skeleton(head)
+    marks = {r.record_id: {m.line: m.outer for m in r.recurring or ()} for r in placed(spark.createDataFrame(rows, "record_id bigint, document_id string, ord int, page int, kind string, text string, x string, y string, z string"), Shelf(spark)).collect()}
+    line = line_hash(head)
     assert all(marks[page * 10].get(line) is True and marks[page * 10 + 2].get(line) is False for page in range(1, 5))
     assert marks[90] == marks[91] == {line: True} and marks[92] == {line: True}
     assert marks[93] == marks[94] == marks[95] == {}
