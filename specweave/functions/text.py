@@ -85,7 +85,3 @@ def token_count(text: Column) -> Column:
     """1.3 tokens per blank-separated word, rounded up."""
     n = F.size(F.filter(F.split(text, r"(?U)\s+"), lambda w: w != ""))
     return F.ceil(n * F.lit(1.3)).cast("int")
-
-
-def any_of(terms: list[str]) -> Column:
-    return F.array(*[F.lit(t) for t in terms])

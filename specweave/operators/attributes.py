@@ -174,6 +174,25 @@ def q_default_entities(spark: SparkSession, root: str) -> DataFrame:
     return bindings.default_entities(titles(blocks), lexicon, document_terms(blocks, lexicon)).select("document_id", "title", "default_entity")
 
 
+def _given(spark: SparkSession, root: str) -> DataFrame:
+    return delivered_once(table(spark, root, "attributes"), ["attribute_id"]).withColumn("document_id", F.col("source_document"))
+
+
+def q_problems(spark: SparkSession, root: str) -> DataFrame:
+    """What is wrong with the given attributes (first deliveries)."""
+    _, chunks, _ = corpus(spark, root)
+    return problems(_given(spark, root), chunks)
+
+
+def q_reviews(spark: SparkSession, root: str) -> DataFrame:
+    return review_items(_given(spark, root)).select("document_id", "item_id", "kind", F.array_join("ref_ids", "|").alias("refs"), "score")
+
+
+def q_bound_counts(spark: SparkSession, root: str) -> DataFrame:
+    """How many of the given attributes are bound to each entity."""
+    return bindings.bind_counts(_given(spark, root).withColumn("raw_name", F.col("display_name")))
+
+
 def q_extract(spark: SparkSession, root: str) -> DataFrame:
     blocks, chunks, lexicon = corpus(spark, root)
     return extract(chunks, blocks, lexicon)
@@ -232,9 +251,20 @@ select cand.document_id, chunk_id, cand.block_id, raw_name, origin, entity as en
 ht as (select ti.*, name, o, len(regexp_extract_all(replace(lower(title), lower(name), chr(1)), '(?:^|[^\pL\pN_])\x01')) as n from ti, kn where {word_sql("title", "name", False)})
 select document_id, title, min_by(name, (-n, o)) as default_entity from ht group by document_id, title""",
 }
-QUERIES = {"subject_bindings": q_subject_bindings, "default_entities": q_default_entities, "bindings": q_bindings, "routed_attributes": q_routed, "signal_hits": q_signal_hits, "dedup_attributes": q_dedup, "units_domains_types": q_units_domains, "camel_and_head_names": q_names, "attribute_ids": q_ids, "dedup_given_attributes": q_dedup_given}
+_N = r"lower(trim(regexp_replace({0}, '[\s\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')))"
+_GIVEN_SQL = "a as (select *, source_document as document_id from attributes where record_id in (select min(record_id) from attributes group by attribute_id))"
+_CHECKED = {
+    "attribute_problems": f"""with {_GIVEN_SQL}, c as (select * from chunks where record_id in (select min(record_id) from chunks group by document_id, chunk_id)),
+p as (select a.document_id, attribute_id, case when c.source_text is null then 'unknown chunk' when len(list_filter(evidence, lambda e: e.chunk_id = a.source_chunk and not contains(c.source_text, e.text))) > 0 then 'evidence not in chunk'
+  when abs(confidence - score.clamped) > 1e-9 then 'confidence differs' end as problem from a left join c on c.document_id = a.document_id and c.chunk_id = a.source_chunk)
+select * from p where problem is not null""",
+    "attribute_reviews": f"with {_GIVEN_SQL} select document_id, 'hri-' || left(sha256('attribute_review|' || coalesce(attribute_id, '')), 16) as item_id, 'attribute_review' as kind, coalesce(attribute_id, '') as refs, confidence as score from a where score.route = 'review'",
+    "bound_counts": f"with {_GIVEN_SQL} select document_id, {_N.format('binding.entity_name')} as entity_key, count(*) as n from a where binding.entity_name is not null and {_N.format('binding.entity_name')} <> {_N.format('display_name')} group by all",
+}
+QUERIES = {"attribute_problems": q_problems, "attribute_reviews": q_reviews, "bound_counts": q_bound_counts, "subject_bindings": q_subject_bindings, "default_entities": q_default_entities, "bindings": q_bindings, "routed_attributes": q_routed, "signal_hits": q_signal_hits, "dedup_attributes": q_dedup, "units_domains_types": q_units_domains, "camel_and_head_names": q_names, "attribute_ids": q_ids, "dedup_given_attributes": q_dedup_given}
 ORACLES = {
     **_BOUND,
+    **_CHECKED,
     "attribute_ids": "select record_id, 'attr-' || left(sha256(coalesce(source_document, '') || '|' || coalesce(source_chunk, '') || '|' || coalesce(attribute_name, '') || '|' || coalesce(source_text, '')), 16) as made_id from attributes",
     "dedup_given_attributes": """with a as (select * from attributes where record_id in (select min(record_id) from attributes group by attribute_id) and confidence is not null and not isnan(confidence) and score.route <> 'discard')
 , g as (select source_document as d, entity as e, attribute_name as t, len(list_distinct(flatten(list(coalesce(evidence, [])))))::int as n from a group by all)

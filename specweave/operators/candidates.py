@@ -54,9 +54,9 @@ def implied_entities(blocks: DataFrame, lexicon: Lexicon) -> DataFrame:
     """document_id, name, ord: entities that headings and table subjects of a document imply and the lexicon doesn't know."""
     texts = F.array_compact(F.array(F.when(F.col("heading_level").isNotNull(), F.col("text")), F.col("tbl.subject_hint")))
     said = blocks.select("document_id", "ord", F.explode(texts).alias("t")).select("document_id", "ord", heading_entity(F.col("t")).alias("name")).filter("name is not null")
-    key = F.lower(F.regexp_replace("name", r"(?U)\s+", " "))
-    known = lookup(lexicon.entity_keys(), key)
-    return said.filter(known.isNull()).groupBy("document_id", key.alias("key")).agg(F.min_by("name", "ord").alias("name"), F.min("ord").alias("ord"))
+    known = blocks.sparkSession.createDataFrame([(k,) for k in lexicon.entity_keys()], "key string")
+    keyed = said.withColumn("key", F.lower(F.regexp_replace("name", r"(?U)\s+", " "))).join(F.broadcast(known), "key", "left_anti")  # the lexicon is bounded
+    return keyed.groupBy("document_id", "key").agg(F.min_by("name", "ord").alias("name"), F.min("ord").alias("ord"))
 
 
 def document_terms(blocks: DataFrame, lexicon: Lexicon) -> DataFrame:

@@ -238,6 +238,13 @@ def q_reviews(spark: SparkSession, root: str) -> DataFrame:
     return review_items(_given_pairs(spark, root)).select("document_id", "item_id", "kind", F.array_join("ref_ids", "|").alias("refs"), F.round("score", 6).alias("score"))
 
 
+def q_partition_problems(spark: SparkSession, root: str) -> DataFrame:
+    """Where the given canonical entities of documents are no partition of the given entities (first deliveries)."""
+    e = delivered_once(table(spark, root, "entities"), ["document_id", "entity_id"])
+    c = delivered_once(table(spark, root, "canonical_entities"), ["canonical_id"]).filter("document_id is not null")
+    return partition_problems(e, c, c.select("document_id", "canonical_id"))
+
+
 def common_length_sql(a: str, b: str) -> str:
     """Length of the longest common subsequence of two texts, row by row of the usual table."""
     cell = f"case when ({b})[j] = ch then prev[j] + 1 else greatest(prev[j + 1], acc[j]) end"
@@ -289,8 +296,13 @@ gr as (select e.*, rt.root from e join rt on rt.document_id = e.document_id and
 ce as (select document_id, root, min_by(struct_pack(name := name, n := n, ty := ty, layer := layer), (-len(ch), length(name), name, id)) as m, list_sort(list(id)) as member_ids,
   list_sort(list_distinct(flatten(list(ch)))) as ch, list_sort(list_distinct(flatten(list(att)))) as att, list_sort(list_distinct(flatten(list(coalesce(ev, []))))) as ev, max(confidence) as confidence, list_sort(list_distinct(list(origin))) as origins from gr group by document_id, root),
 cn as (select *, 'cent-' || left(sha256(array_to_string(member_ids, '|')), 16) as canonical_id from ce)"""
-QUERIES = {"pair_features": q_pairs, "duplicate_pairs": q_duplicates, "duplicate_groups": q_groups, "duplicate_reviews": q_reviews}
+QUERIES = {"partition_problems": q_partition_problems, "pair_features": q_pairs, "duplicate_pairs": q_duplicates, "duplicate_groups": q_groups, "duplicate_reviews": q_reviews}
 ORACLES = {
+    "partition_problems": """with e as (select * from entities where record_id in (select min(record_id) from entities group by document_id, entity_id)), c as (select * from canonical_entities where record_id in (select min(record_id) from canonical_entities group by canonical_id) and document_id is not null),
+m as (select document_id, m, count(*) as n from (select document_id, unnest(member_ids) as m from c) group by all)
+select document_id, 'unknown member: ' || m as problem from m where m is not null and not exists (select 1 from e where e.document_id = m.document_id and e.entity_id = m.m)
+union all select document_id, 'in no group: ' || entity_id from e where entity_id is not null and not exists (select 1 from m where e.document_id = m.document_id and e.entity_id = m.m)
+union all select e.document_id, 'in several groups: ' || entity_id from e join m on e.document_id = m.document_id and e.entity_id = m.m where n > 1""",
     "pair_features": f"with {PAIRS_SQL} select document_id, a, b, {', '.join(f'round({c}, 6) as {c}' for c in (*WEIGHTS, 'composite'))} from cm",
     "duplicate_pairs": f"with {PAIRS_SQL} select document_id, a, b, round(composite, 6) as composite, classification from cl where classification <> 'DISTINCT'",
     "duplicate_groups": f"with recursive {GROUPS_SQL} select document_id, canonical_id, m.name as canonical_name, m.n as normalized_name, m.ty as entity_type, array_to_string(member_ids, ',') as members, len(ch)::int as n_chunks, round(confidence, 6) as confidence from cn",

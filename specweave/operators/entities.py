@@ -116,6 +116,12 @@ def q_binding_sources(spark: SparkSession, root: str) -> DataFrame:
     return from_bindings(given_attributes(spark, root)[0], chunks).select("document_id", "name", F.size("attrs").alias("n_attributes"), F.size("chunks").alias("n_chunks"), F.size("evidence").alias("n_evidence"))
 
 
+def q_problems(spark: SparkSession, root: str) -> DataFrame:
+    """What is wrong with the given entities (first deliveries)."""
+    _, chunks, _ = corpus(spark, root)
+    return problems(delivered_once(table(spark, root, "entities"), ["document_id", "entity_id"]), chunks)
+
+
 _A = "a as (select *, source_document as document_id from attributes where record_id in (select min(record_id) from attributes group by attribute_id)), c as (select * from chunks where record_id in (select min(record_id) from chunks group by document_id, chunk_id))"
 _TERMS = f"""kn as (select name, row_number() over (order by min(known_id)) as o, arg_max(aliases, known_id) as aliases from known_entities where trim(name) <> '' group by name),
 tm as (select name, t, generate_subscripts(ts, 1) as n from (select name, list_concat([name], coalesce(aliases, [])) as ts, unnest(list_concat([name], coalesce(aliases, []))) as t from kn)
@@ -134,8 +140,11 @@ mg as (select document_id, k, ty, min_by(name, (rank, name)) as name, min_by(lay
   len(list_distinct(flatten(list(attrs)))) as n_attributes, len(list_distinct(flatten(list(coalesce(chunks, []))))) as n_chunks from ft group by document_id, k, ty)
 select document_id, 'ent-' || left(sha256(coalesce(document_id, '') || '|' || name || '|' || ty), 16) as entity_id, name as entity_name, ty as entity_type, layer, origin, round(wt * least(1.0, (n_chunks + n_attributes) / 3.0), 6)::double as confidence, n_attributes::int as n_attributes, n_chunks::int as n_chunks
   from mg where wt * least(1.0, (n_chunks + n_attributes) / 3.0) >= {MIN_CONFIDENCE}"""
-QUERIES = {"entities": q_entities, "entity_binding_sources": q_binding_sources}
+QUERIES = {"entity_problems": q_problems, "entities": q_entities, "entity_binding_sources": q_binding_sources}
 ORACLES = {
+    "entity_problems": f"""with {_A}, e as (select * from entities where record_id in (select min(record_id) from entities group by document_id, entity_id)), x as (select document_id, entity_id, unnest(supporting_evidence) as ev from e)
+select document_id, entity_id, case when len(supporting_evidence) = 0 then 'no evidence' else 'no chunks' end as problem from e where len(supporting_evidence) = 0 or len(source_chunks) = 0
+union all select distinct x.document_id, x.entity_id, 'evidence not in chunk' from x left join c on c.document_id = x.document_id and c.chunk_id = x.ev.chunk_id where c.source_text is null or not contains(c.source_text, x.ev.text)""",
     "entities": _ENTITIES,
     "entity_binding_sources": f"""with {_A}, r as (select a.document_id, a.entity as name, attribute_id, a.source_chunk, case when a.binding.evidence <> '' and contains(c.source_text, a.binding.evidence) then a.binding.evidence when a.source_text <> '' and contains(c.source_text, a.source_text) then a.source_text end as w
   from a left join c on c.document_id = a.document_id and c.chunk_id = a.source_chunk where a.entity is not null and coalesce(a.score.route, '') <> 'discard'),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from specweave.functions.keys import content_id, id_key
 from specweave.functions.text import norm
 from specweave.operators import quality
+from specweave.operators.cleaning import delivered_once
 from specweave.session import checkpointed, table
 from specweave.operators.duplicates import given_entities
 from specweave.sources.lexicons import Lexicon
@@ -97,6 +98,13 @@ def q_rejections(spark: SparkSession, root: str) -> DataFrame:
     return rejections(_given(spark, root))
 
 
+def q_problems(spark: SparkSession, root: str) -> DataFrame:
+    """What is wrong with the given mappings (first deliveries)."""
+    once = lambda name, key: delivered_once(table(spark, root, name), [key])
+    attributes = once("attributes", "attribute_id").withColumn("document_id", F.col("source_document"))
+    return problems(once("mappings", "mapping_id"), attributes, once("canonical_entities", "canonical_id"))
+
+
 def relationship(evidence: Column, text: Column, scope: Column) -> Column:
     """Constraint words make a constraint, strong scopes own the attribute, others refer to it."""
     return F.when(F.concat_ws(" ", evidence, text).rlike(CONSTRAINT), F.lit("constrains")).when(scope.isin(*OWNING), F.lit("has_attribute")).otherwise(F.lit("references"))
@@ -126,8 +134,14 @@ ju as (select *, case when nk is null then 'dangling' when ent is null then 'unr
 evs as (select x.document_id, x.attribute_id, x.ev.chunk_id as chunk_id, x.ev.text as text from (select document_id, attribute_id, unnest(evidence) as ev from ka) x join c on c.document_id = x.document_id and c.chunk_id = x.ev.chunk_id where contains(c.source_text, x.ev.text)
   union select document_id, attribute_id, source_chunk, said from ju where said <> '' and contains(ctext, said)),
 eva as (select document_id, attribute_id, string_agg(chunk_id || ':' || md5(text), ',' order by chunk_id, text) as evidence from evs group by all)"""
-QUERIES = {"mapping_rejections": q_rejections, "mappings": q_mappings, "unmapped_attributes": q_unmapped, "relationship_types": q_relationships, "unmapped_given_attributes": q_unmapped_given}
+QUERIES = {"mapping_problems": q_problems, "mapping_rejections": q_rejections, "mappings": q_mappings, "unmapped_attributes": q_unmapped, "relationship_types": q_relationships, "unmapped_given_attributes": q_unmapped_given}
 ORACLES = {
+    "mapping_problems": """with m as (select * from mappings where record_id in (select min(record_id) from mappings group by mapping_id)), a as (select *, source_document as document_id from attributes where record_id in (select min(record_id) from attributes group by attribute_id)),
+c as (select * from canonical_entities where record_id in (select min(record_id) from canonical_entities group by canonical_id))
+select document_id, 'unknown attribute: ' || mapping_id as problem from m where not exists (select 1 from a where a.document_id = m.document_id and a.attribute_id = m.attribute_id)
+union all select document_id, 'unknown entity: ' || mapping_id from m where not exists (select 1 from c where c.document_id = m.document_id and c.canonical_id = m.entity_id)
+union all select document_id, 'twice: ' || mapping_id from m group by document_id, mapping_id having count(*) > 1
+union all select document_id, 'confidence out of range: ' || mapping_id from m where confidence is null or confidence < 0 or confidence > 1""",
     "mappings": f"with recursive {_JUDGED} select ju.document_id, 'map-' || left(sha256(ju.attribute_id || '|' || canonical_id || '|' || rel), 16) as mapping_id, ju.attribute_id, canonical_id as entity_id, rel as relationship_type, source_chunk, round(sc, 8) as confidence, coalesce(eva.evidence, '') as evidence from ju left join eva on eva.document_id = ju.document_id and eva.attribute_id = ju.attribute_id where rejection is null",
     "unmapped_attributes": f"with recursive {_JUDGED} select document_id, attribute_id, rejection from ju where rejection is not null",
     "mapping_rejections": f"with recursive {_JUDGED} select rejection, count(*) as n from ju where rejection is not null group by all",

@@ -80,11 +80,27 @@ GAZETTEER = {
 }
 # Head nouns that denote a property, by kind.
 PROPERTY_NOUNS = {
-    "measure": "bandwidth latency jitter throughput mtu rate speed size length capacity delay loss utilization frequency power weight height width depth temperature volume count quantity amount cost price fee charge limit threshold percentage ratio".split(),
-    "identifier": "id identifier code number reference key index tag label address msisdn imsi iccid imei uri url".split(),
-    "status": "status state condition flag indicator".split(),
-    "temporal": "date time timestamp duration ttl validity period interval timeout expiry expiration deadline schedule start end".split(),
-    "descriptor": "name type class category priority level mode version description format medium protocol profile tier grade role kind scheme encoding colour color model vendor manufacturer region zone country currency language unit direction topology standard".split(),
+    "measure": [
+        "bandwidth", "latency", "jitter", "throughput", "mtu", "rate", "speed", "size", "length", "capacity", "delay", "loss",
+        "utilization", "frequency", "power", "weight", "height", "width", "depth", "temperature", "volume", "count", "quantity", "amount",
+        "cost", "price", "fee", "charge", "limit", "threshold", "percentage", "ratio",
+    ],
+    "identifier": [
+        "id", "identifier", "code", "number", "reference", "key", "index", "tag", "label", "address", "msisdn", "imsi", "iccid", "imei",
+        "uri", "url",
+    ],
+    "status": [
+        "status", "state", "condition", "flag", "indicator",
+    ],
+    "temporal": [
+        "date", "time", "timestamp", "duration", "ttl", "validity", "period", "interval", "timeout", "expiry", "expiration", "deadline",
+        "schedule", "start", "end",
+    ],
+    "descriptor": [
+        "name", "type", "class", "category", "priority", "level", "mode", "version", "description", "format", "medium", "protocol",
+        "profile", "tier", "grade", "role", "kind", "scheme", "encoding", "colour", "color", "model", "vendor", "manufacturer", "region",
+        "zone", "country", "currency", "language", "unit", "direction", "topology", "standard",
+    ],
 }
 # Aggregate business entities.
 BUSINESS_ENTITIES = (
@@ -94,7 +110,11 @@ BUSINESS_ENTITIES = (
     "Location", "Agreement", "Business Interaction", "Usage", "Policy",
 )
 # Verbs whose subject has a life cycle.
-LIFECYCLE_VERBS = "created submitted suspended terminated activated deactivated cancelled canceled provisioned deprovisioned approved rejected fulfilled completed closed opened initiated ordered delivered installed decommissioned renewed expired modified amended updated deleted archived".split()
+LIFECYCLE_VERBS = [
+    "created", "submitted", "suspended", "terminated", "activated", "deactivated", "cancelled", "canceled", "provisioned",
+        "deprovisioned", "approved", "rejected", "fulfilled", "completed", "closed", "opened", "initiated", "ordered", "delivered",
+        "installed", "decommissioned", "renewed", "expired", "modified", "amended", "updated", "deleted", "archived",
+    ]
 # Patterns of page furniture, case aside.
 FURNITURE = (
     r"^\s*figure\s+\d+", r"^\s*fig\.\s*\d+", r"^\s*table\s+\d+\s*[-–—:]", r"^\s*table\s+\d+\s*$", r"^\s*appendix\b", r"^\s*annex\b", r"revision\s+history",
