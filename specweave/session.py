@@ -58,13 +58,15 @@ def _shared_folder(spark: SparkSession) -> str:
     folder is chosen; a session of a real cluster must name a shared one.
     """
     context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    if context.getCheckpointDir() is not None:
+        return context.getCheckpointDir()
+    folder = spark.conf.get(CHECKPOINT_CONF, None)
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="specweave-checkpoint-")
     context.setCheckpointDir(folder)
-    return context.getCheckpointDir() or folder
+    return context.getCheckpointDir()
 
 
 def _file_system(spark: SparkSession, path: str):
