@@ -62,6 +62,7 @@ _WORD = re.compile(r"[^\s|()\[\]{}<>\"“”„;:,.?–—=*/+]+(?:-[^\s|()\[\]{
 _GAP = re.compile(r"[ \t]{3,}")
 _ROMAN = r"(?=[ivxlcdm])m{0,3}(?:cm|cd|d?c{0,3})(?:xc|xl|l?x{0,3})(?:ix|iv|v?i{0,3})"
 _NUMBER = re.compile(rf"^(?:(?:page|pages|p|pg|sheet|seite|folio|pag)\b\.?)?\s*[-–—\[(|~*]*\s*(?:\d{{1,6}}|{_ROMAN})\s*[-–—\])|~*]*\s*(?:(?:of|/|von|de)\s*\d{{1,6}})?\s*[-–—\])]*$", re.I)
+_PART_NUMBER = re.compile(rf"(?<![^\W_])(?:\d{{1,6}}|{_ROMAN})(?![^\W_])", re.I)
 _CUT = re.compile(r"(\S*[^\W\d_])[-‐‑¬­]")
 _HEAD = re.compile(r"^([^\W\d_]\S*)")
 _DIGITS = re.compile(r"^[0-9lIOoSBbZ!|]+$")
@@ -142,6 +143,7 @@ class Reader:
         self._meant: dict[str, str | None] = {}
         self._corrected = _Kept(self._correct)
         self._misread = _Kept(self._is_misread)
+        self.numeric = _Kept(lambda word: bool(_PART_NUMBER.search(self.corrected(word))))
         self.folded = _Kept(lambda word: self.corrected(word).lower())
 
     def count(self, word: str) -> int:
@@ -244,11 +246,14 @@ def unread_number(text: str, reader: Reader) -> str:
     return _WORD.sub(lambda m: reader.corrected(m.group()), text)
 
 
-def number_shape(text: str, reader: Reader) -> bool:
+def number_shape(text: str, reader: Reader, words: list[str] | None = None) -> bool:
     """Whether a line is a page's number, with or without words around it; a line of more than a dozen words is none."""
-    if len(text) > 60 and len(words_of(text)) > 12:
+    words = words_of(text) if words is None else words
+    if len(words) > 12:
         return False
-    return bool(_NUMBER.match(text) or _NUMBER.match(unread_number(text, reader)) or re.fullmatch(r"[0-9lIOSB]{1,4}", text) and any(c.isdigit() for c in text))
+    if _NUMBER.match(text) or any(map(reader.numeric.__getitem__, words)) and _NUMBER.match(unread_number(text, reader)):
+        return True
+    return bool(re.fullmatch(r"[0-9lIOSB]{1,4}", text) and any(c.isdigit() for c in text))
 
 
 def skeleton(text: str) -> str:
@@ -270,7 +275,8 @@ def features(segs: list[tuple[int, str]], edge: bool, recurs: dict[int, str], re
         alone = first == last
         place = ("edge" if edge else "inner") + ("-alone" if alone else "-first" if line == first else "-last" if line == last else "-mid")
         gap = k > 0 and segs[k - 1][0] == line
-        if number_shape(text, reader):
+        words = words_of(text)
+        if number_shape(text, reader, words):
             shape = "number-gap" if gap else "number"
         elif text.startswith("|"):
             shape = "row"
@@ -286,7 +292,7 @@ def features(segs: list[tuple[int, str]], edge: bool, recurs: dict[int, str], re
             shape = "numbered"
         else:
             shape = "short"
-        ws = tuple(dict.fromkeys(map(reader.folded.__getitem__, words_of(text))))
+        ws = tuple(dict.fromkeys(map(reader.folded.__getitem__, words)))
         out.append((place, shape, recurs.get(line_hash(text), "") if recurs else "", ws))
     return out
 
