@@ -86,6 +86,7 @@ class Shelf:
         self.paths: dict[int, str] = {}
         self.home = f"{_shared_folder(spark)}/kept-{uuid.uuid4().hex}"
         files, place = _file_system(spark, self.home)
+        files.mkdirs(place)
         files.deleteOnExit(place)
 
     def keep(self, df: DataFrame) -> DataFrame:
