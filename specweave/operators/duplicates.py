@@ -102,7 +102,8 @@ def pairs(entities: DataFrame) -> DataFrame:
     return by_type.unionByName(by_letter)
 
 
-def _keys(side: str = "") -> Column:
+def name_keys(side: str = "") -> Column:
+    """The names by which an entity has alias links."""
     key = lambda c: F.lower(strip(F.coalesce(c, F.lit(""))))
     return F.array_distinct(F.array(key(F.col(f"{side}entity_name")), key(F.col(f"{side}normalized_entity_name"))))
 
@@ -120,7 +121,7 @@ def candidate_pairs(entities: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFr
     """
     if sum(w for f, w in WEIGHTS.items() if f not in ("normalized_exact", "alias_link")) >= POSSIBLE:
         return pairs(entities)
-    e = compared(entities).withColumn("keys", _keys())
+    e = compared(entities).withColumn("keys", name_keys())
     a, b = _sides(e.drop("keys"))
     same = (F.col("a_document_id") == F.col("b_document_id")) & (F.col("a_entity_id") < F.col("b_entity_id"))
     named = a.join(b, same & (F.col("a_normalized_entity_name") == F.col("b_normalized_entity_name")))
@@ -137,7 +138,7 @@ def candidate_pairs(entities: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFr
 
 def features(paired: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFrame:
     """The seven features, composite, classification and reason of pairs."""
-    rows = paired.withColumn("_ka", _keys("a_")).withColumn("_kb", _keys("b_"))
+    rows = paired.withColumn("_ka", name_keys("a_")).withColumn("_kb", name_keys("b_"))
     ids = ["a_document_id", "a_entity_id", "b_entity_id"]
     tied = rows.select(*ids, F.explode("_ka").alias("x"), "_kb").select(*ids, "x", F.explode("_kb").alias("y"))
     linked = tied.join(_links(paired, lexicon), ["x", "y"]).select(*ids).distinct().withColumn("_linked", F.lit(True))
@@ -151,36 +152,56 @@ def features(paired: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFrame:
         "evidence_overlap": jaccard(F.col("a_shingles"), F.col("b_shingles")),
         "alias_link": one(F.coalesce("_linked", F.lit(False))),
     })
+    return judged(f.withColumns({"document_id": F.col("a_document_id"), "a": F.col("a_entity_id"), "b": F.col("b_entity_id")}))
+
+
+def judged(f: DataFrame) -> DataFrame:
+    """Adds composite, classification and reason to pairs (document_id, a, b) with their features."""
     f = f.withColumn("composite", precise_sum([F.lit(w) * F.col(c) for c, w in WEIGHTS.items()]))
     strong = (F.col("normalized_exact") == 1) | (F.col("alias_link") == 1) | (F.col("attribute_overlap") >= 0.5)
     kind = F.when((F.col("composite") >= DUPLICATE) & (F.col("type_match") == 1) & strong, F.lit("DUPLICATE")).when(F.col("composite") >= POSSIBLE, F.lit("POSSIBLE_DUPLICATE")).otherwise(F.lit("DISTINCT"))
     f = f.withColumn("classification", kind)
     said = F.format_string("%s: composite=%.3f, type_match=%.2f, normalized_exact=%.2f, alias_link=%.2f, attribute_overlap=%.2f, name_sim=%.2f", "classification", "composite", "type_match", "normalized_exact", "alias_link", "attribute_overlap", "name_sim")
-    return f.select(F.col("a_document_id").alias("document_id"), F.col("a_entity_id").alias("a"), F.col("b_entity_id").alias("b"), *WEIGHTS, "composite", "classification", said.alias("reason"))
+    return f.select("document_id", "a", "b", *WEIGHTS, "composite", "classification", said.alias("reason"))
 
 
 def duplicate_pairs(entities: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFrame:
-    return features(candidate_pairs(entities, lexicon), lexicon).filter("classification <> 'DISTINCT'")
+    """The pairs that are duplicates or may be.
+
+    Beyond ``candidate_pairs``: a pair of one normal name without alias link needs a chunk or an attribute in common, as long
+    as the other weights stay below the threshold.
+    """
+    from specweave.operators import nearest  # it compares by this module's features
+
+    if sum(w for f, w in WEIGHTS.items() if f not in ("chunk_overlap", "attribute_overlap", "alias_link")) >= POSSIBLE or sum(w for f, w in WEIGHTS.items() if f not in ("normalized_exact", "alias_link")) >= POSSIBLE:
+        return features(candidate_pairs(entities, lexicon), lexicon).filter("classification <> 'DISTINCT'")
+    return judged(nearest.likely_pairs(entities, lexicon)).filter("classification <> 'DISTINCT'")
 
 
 def groups(entities: DataFrame, found: DataFrame) -> DataFrame:
-    """document_id, entity_id, root: the smallest id reached over DUPLICATE pairs, however long the chain."""
+    """document_id, entity_id, root: the smallest id reached over DUPLICATE pairs, however long the chain; entities without
+    such a pair, which are groups of their own, have no row."""
     node = lambda c: F.struct("document_id", F.col(c).alias("entity_id"))
     links = found.filter("classification = 'DUPLICATE'").select(node("a").alias("src"), node("b").alias("dst"))
-    roots = connected_components(links).select("node.document_id", "node.entity_id", F.col("component.entity_id").alias("found"))
-    return entities.select("document_id", "entity_id").join(roots, ["document_id", "entity_id"], "left").select("document_id", "entity_id", F.coalesce("found", "entity_id").alias("root"))
+    return checkpointed(connected_components(links).select("node.document_id", "node.entity_id", F.col("component.entity_id").alias("root")))
 
 
 def canonical_entities(entities: DataFrame, grouped: DataFrame) -> DataFrame:
     """One row per group: name, type and layer of the member with most chunks (then shortest name, then first), all
     members' attributes, chunks and evidence, and the highest confidence."""
-    rows = entities.join(grouped, ["document_id", "entity_id"])
+    rows = entities.filter("document_id is not null and entity_id is not null").join(grouped, ["document_id", "entity_id"], "left")
     best = F.struct((-F.size("source_chunks")).alias("few"), F.length("entity_name").alias("long"), "entity_name", "entity_id")
     union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
-    g = rows.groupBy("document_id", "root").agg(
+    several = rows.filter("root is not null").groupBy("document_id", "root").agg(
         F.min_by(F.struct("entity_name", "normalized_entity_name", "entity_type", "layer"), best).alias("m"), F.array_sort(F.collect_set("entity_id")).alias("member_ids"), union("source_attributes").alias("source_attributes"),
         union("source_chunks").alias("source_chunks"), union("supporting_evidence").alias("supporting_evidence"), F.max("confidence").alias("confidence"), F.array_sort(F.collect_set("origin")).alias("origins"),
     )
+    alone = lambda c: F.array_sort(F.array_distinct(F.coalesce(F.col(c), F.array().cast(rows.schema[c].dataType))))
+    one = rows.filter("root is null").select(
+        "document_id", F.col("entity_id").alias("root"), F.struct("entity_name", "normalized_entity_name", "entity_type", "layer").alias("m"), F.array_compact(F.array("entity_id")).alias("member_ids"), alone("source_attributes").alias("source_attributes"),
+        alone("source_chunks").alias("source_chunks"), alone("supporting_evidence").alias("supporting_evidence"), "confidence", F.array_compact(F.array("origin")).alias("origins"),
+    )
+    g = several.unionByName(one)  # most entities are alone and needn't be moved
     return g.select(
         "document_id", F.concat(F.lit("cent-"), F.substring(F.sha2(F.array_join("member_ids", "|"), 256), 1, 16)).alias("canonical_id"), F.col("m.entity_name").alias("canonical_name"), F.col("m.normalized_entity_name").alias("normalized_name"),
         F.col("m.entity_type").alias("entity_type"), F.col("m.layer").alias("layer"), "member_ids", "source_attributes", "source_chunks", "supporting_evidence", F.round("confidence", 6).alias("confidence"), "origins",
@@ -222,7 +243,7 @@ def q_pairs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _given_pairs(spark: SparkSession, root: str) -> DataFrame:
-    return duplicate_pairs(given_entities(spark, root), Lexicon.from_table(table(spark, root, "known_entities")))
+    return duplicate_pairs(checkpointed(given_entities(spark, root)), Lexicon.from_table(table(spark, root, "known_entities")))
 
 
 def q_duplicates(spark: SparkSession, root: str) -> DataFrame:
@@ -231,7 +252,7 @@ def q_duplicates(spark: SparkSession, root: str) -> DataFrame:
 
 def q_groups(spark: SparkSession, root: str) -> DataFrame:
     e = checkpointed(given_entities(spark, root))
-    return canonical_entities(e, groups(e, _given_pairs(spark, root))).select("document_id", "canonical_id", "canonical_name", "normalized_name", "entity_type", F.array_join("member_ids", ",").alias("members"), F.size("source_chunks").alias("n_chunks"), "confidence")
+    return canonical_entities(e, groups(e, duplicate_pairs(e, Lexicon.from_table(table(spark, root, "known_entities"))))).select("document_id", "canonical_id", "canonical_name", "normalized_name", "entity_type", F.array_join("member_ids", ",").alias("members"), F.size("source_chunks").alias("n_chunks"), "confidence")
 
 
 def q_reviews(spark: SparkSession, root: str) -> DataFrame:

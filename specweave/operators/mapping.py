@@ -14,7 +14,6 @@ from specweave.functions.text import norm
 from specweave.operators import quality
 from specweave.operators.cleaning import delivered_once
 from specweave.session import checkpointed, table
-from specweave.operators.duplicates import given_entities
 from specweave.sources.lexicons import Lexicon
 
 #: Least confidence; words that make a constraint; scopes that own their attribute.
@@ -23,35 +22,51 @@ CONSTRAINT = r"\b(SHALL|MUST|SHOULD|REQUIRED)\b"
 OWNING = ("table_subject", "nearest_heading", "syntactic")
 
 
-def judged(attributes: DataFrame, entities: DataFrame, cents: DataFrame, decisions: DataFrame, chunks: DataFrame, lexicon: Lexicon = Lexicon(), include_review: bool = False) -> DataFrame:
-    """Every attribute with its target and ``rejection`` (null: mapped)."""
-    spark = attributes.sparkSession
-    named = entities.groupBy("document_id", F.lower("entity_name").alias("_name")).agg(F.min("entity_id").alias("_entity"), F.min_by("entity_name", "entity_id").alias("_entity_name"))
-    canonical = lexicon.entity_lookup(spark).select(F.col("key").alias("_k"), F.lower("name").alias("_name2"))
-    a = attributes.withColumn("_name", F.lower("binding.entity_name")).withColumn("_k", norm(F.col("binding.entity_name"))).join(F.broadcast(canonical), "_k", "left")
-    a = a.join(named, ["document_id", "_name"], "left")
-    second = named.select("document_id", F.col("_name").alias("_name2"), F.col("_entity").alias("_entity2"), F.col("_entity_name").alias("_entity_name2"))
-    a = a.join(second, ["document_id", "_name2"], "left").withColumn("_entity", F.coalesce("_entity", "_entity2")).withColumn("_entity_name", F.coalesce("_entity_name", "_entity_name2"))
-    member = cents.select("document_id", F.explode("member_ids").alias("_entity"), "canonical_id", F.col("source_chunks").alias("_chunks"))
+def _known(entities: DataFrame, cents: DataFrame, decisions: DataFrame) -> DataFrame:
+    """document_id, _name: the entity of each name (case aside) with its group and the group's decision."""
+    named = entities.groupBy("document_id", F.lower("entity_name").alias("_name")).agg(F.min("entity_id").alias("_entity"), F.min_by("entity_name", "entity_id").alias("_entity_name")).filter("_entity is not null")
     status = decisions.select("document_id", "canonical_id", "validation_status", "overall_score")
-    a = a.join(member, ["document_id", "_entity"], "left").join(status, ["document_id", "canonical_id"], "left")
-    a = a.join(chunks.select("document_id", F.col("chunk_id").alias("source_chunk"), F.col("source_text").alias("_text")), ["document_id", "source_chunk"], "left")
-    said = F.col("binding.evidence")
+    member = cents.select("document_id", F.explode("member_ids").alias("_entity"), "canonical_id", F.col("source_chunks").alias("_chunks"))
+    return named.join(member, ["document_id", "_entity"], "left").join(status, ["document_id", "canonical_id"], "left")
+
+
+def targets(attributes: DataFrame, entities: DataFrame, cents: DataFrame, decisions: DataFrame, lexicon: Lexicon = Lexicon(), include_review: bool = False) -> DataFrame:
+    """Every attribute with its target and ``rejection`` (null: mapped); texts that aren't needed for that are left out."""
+    spark, bound = attributes.sparkSession, F.col("binding.entity_name")
+    names = checkpointed(_known(entities, cents, decisions))
+    found = [c for c in names.columns if c not in ("document_id", "_name")]
+    canonical = lexicon.entity_lookup(spark).select(F.col("key").alias("_k"), F.lower("name").alias("_name2"))
+    relation = relationship(F.col("binding.evidence"), F.col("source_text"), F.col("binding.scope"))
+    rows = attributes.select(
+        "document_id", "attribute_id", "source_chunk", F.lower(bound).alias("_name"), norm(bound).alias("_k"), F.col("binding.evidence").alias("said"), (F.col("binding.confidence") * F.col("confidence")).alias("_sure"), relation.alias("relationship_type")
+    )
+    a = rows.join(F.broadcast(canonical), "_k", "left").drop("_k").join(names, ["document_id", "_name"], "left")
+    other = F.col("_entity").isNull() & F.col("_name2").isNotNull()  # not known by its own name, but by the lexicon's
+    second = a.filter(other).drop(*found).join(names.withColumnRenamed("_name", "_name2"), ["document_id", "_name2"], "left")
+    a = a.filter(~other).unionByName(second)
     eligible = F.col("validation_status").isin(*(["ACCEPT", "REVIEW"] if include_review else ["ACCEPT"]))
-    score = F.col("binding.confidence") * F.col("confidence") * F.col("overall_score")
-    together = F.coalesce(F.array_contains("_chunks", F.col("source_chunk")), F.lit(False)) | F.coalesce((said != "") & F.contains(F.lower(said), F.lower("_entity_name")), F.lit(False))
+    score = F.col("_sure") * F.col("overall_score")
+    together = F.coalesce(F.array_contains("_chunks", F.col("source_chunk")), F.lit(False)) | F.coalesce((F.col("said") != "") & F.contains(F.lower("said"), F.lower("_entity_name")), F.lit(False))
     why = (
         F.when(F.col("_name").isNull(), F.lit("dangling")).when(F.col("_entity").isNull(), F.lit("unresolved_entity")).when(F.col("canonical_id").isNull(), F.lit("no_canonical_group"))
         .when(~F.coalesce(eligible, F.lit(False)), F.lit("ineligible_entity")).when(~F.coalesce(score >= MIN_CONFIDENCE, F.lit(False)), F.lit("below_min_confidence")).when(~together, F.lit("no_cooccurrence"))
     )
-    relation = relationship(said, F.col("source_text"), F.col("binding.scope"))
+    return a.withColumn("rejection", why).withColumn("mapping_score", score)
+
+
+def judged(attributes: DataFrame, entities: DataFrame, cents: DataFrame, decisions: DataFrame, chunks: DataFrame, lexicon: Lexicon = Lexicon(), include_review: bool = False) -> DataFrame:
+    """``targets`` with the evidence (``supporting``) of those that are mapped."""
+    kept = ["document_id", "attribute_id", "canonical_id", "relationship_type", "source_chunk", "said", "mapping_score", "rejection"]
+    rows = checkpointed(targets(attributes, entities, cents, decisions, lexicon, include_review).select(*kept))
+    mapped, said = rows.filter("rejection is null"), F.col("said")
     # each item of evidence counts if it stands in its own chunk, which needn't be the attribute's
-    items = attributes.select("document_id", "attribute_id", F.explode("evidence").alias("e")).select("document_id", "attribute_id", F.col("e.chunk_id").alias("chunk_id"), F.col("e.text").alias("text"))
-    held = items.join(chunks.select("document_id", "chunk_id", "source_text"), ["document_id", "chunk_id"]).filter(F.contains("source_text", F.col("text")))
-    a = a.join(held.groupBy("document_id", "attribute_id").agg(F.collect_set(F.struct("chunk_id", "text")).alias("_own")), ["document_id", "attribute_id"], "left")
-    own = F.col("_own")
-    bound = F.when((said != "") & F.contains("_text", said), F.array(F.struct(F.col("source_chunk").alias("chunk_id"), said.alias("text")))).otherwise(F.array().cast("array<struct<chunk_id:string,text:string>>"))
-    return a.withColumn("rejection", why).withColumn("relationship_type", relation).withColumn("mapping_score", score).withColumn("supporting", F.array_sort(F.array_distinct(F.concat(F.coalesce(own, bound), bound)))).drop("_own")
+    items = attributes.join(mapped.select("document_id", "attribute_id"), ["document_id", "attribute_id"], "left_semi").select("document_id", "attribute_id", F.explode("evidence").alias("e"))
+    own = items.select("document_id", "attribute_id", F.col("e.chunk_id").alias("chunk_id"), F.col("e.text").alias("text"))
+    bound = mapped.filter(said != "").select("document_id", "attribute_id", F.col("source_chunk").alias("chunk_id"), said.alias("text"))
+    held = own.unionByName(bound).join(chunks.select("document_id", "chunk_id", "source_text"), ["document_id", "chunk_id"]).filter(F.contains("source_text", F.col("text")))
+    texts = held.groupBy("document_id", "attribute_id").agg(F.array_sort(F.collect_set(F.struct("chunk_id", "text"))).alias("supporting"))
+    none = F.array().cast("array<struct<chunk_id:string,text:string>>")
+    return mapped.join(texts, ["document_id", "attribute_id"], "left").withColumn("supporting", F.coalesce("supporting", none)).unionByName(rows.filter("rejection is not null").withColumn("supporting", none))
 
 
 def mappings(rows: DataFrame, digits: int = 6) -> DataFrame:
@@ -79,23 +94,29 @@ def rejections(rows: DataFrame) -> DataFrame:
     return rows.filter("rejection is not null").groupBy("rejection").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _given(spark: SparkSession, root: str) -> DataFrame:
-    cents, chunks, attributes, lexicon = quality.given_canonicals(spark, root)
-    decisions = checkpointed(quality.decide(cents, chunks, attributes, lexicon))
-    return judged(attributes, given_entities(spark, root), cents, decisions, chunks, lexicon)
+def _given(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame, Lexicon]:
+    """Attributes, entities, canonical entities, decisions, chunks and lexicon."""
+    e, cents, chunks, attributes, lexicon = quality.given_canonicals(spark, root)
+    attributes = checkpointed(attributes.select("document_id", "attribute_id", "display_name", "attribute_name", "source_chunk", "source_text", "binding", "confidence", "evidence"))
+    return attributes, e, cents, checkpointed(quality.decide(cents, chunks, attributes, lexicon)), chunks, lexicon
+
+
+def _given_targets(spark: SparkSession, root: str) -> DataFrame:
+    attributes, e, cents, decisions, _, lexicon = _given(spark, root)
+    return targets(attributes, e, cents, decisions, lexicon)
 
 
 def q_mappings(spark: SparkSession, root: str) -> DataFrame:
     said = F.array_join(F.transform("supporting_evidence", lambda e: F.concat_ws(":", e["chunk_id"], F.md5(e["text"]))), ",")
-    return mappings(_given(spark, root), 8).select("document_id", "mapping_id", "attribute_id", "entity_id", "relationship_type", "source_chunk", "confidence", said.alias("evidence"))
+    return mappings(judged(*_given(spark, root)), 8).select("document_id", "mapping_id", "attribute_id", "entity_id", "relationship_type", "source_chunk", "confidence", said.alias("evidence"))
 
 
 def q_unmapped(spark: SparkSession, root: str) -> DataFrame:
-    return unmapped(_given(spark, root))
+    return unmapped(_given_targets(spark, root))
 
 
 def q_rejections(spark: SparkSession, root: str) -> DataFrame:
-    return rejections(_given(spark, root))
+    return rejections(_given_targets(spark, root))
 
 
 def q_problems(spark: SparkSession, root: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from specweave.functions.keys import content_id
 from specweave.functions.numbers import clamp, precise_sum
 from specweave.functions.text import norm
-from specweave.operators import duplicates, entities
+from specweave.operators import duplicates, entities, nearest
 from specweave.operators.candidates import LEXICON_SQL, ONCE_SQL, corpus
 from specweave.session import checkpointed
 from specweave.sources.lexicons import Lexicon
@@ -24,12 +24,7 @@ WEIGHT, ACCEPT, REVIEW = 0.125, 0.75, 0.50
 def closest(cents: DataFrame, lexicon: Lexicon) -> DataFrame:
     """document_id, canonical_id, nearest: the highest composite of each entity with any other of its document."""
     e = cents.select("document_id", F.col("canonical_id").alias("entity_id"), F.col("canonical_name").alias("entity_name"), F.col("normalized_name").alias("normalized_entity_name"), "entity_type", "source_chunks", "source_attributes", "supporting_evidence")
-    e = duplicates.compared(e)
-    side = lambda p: e.select([F.col(c).alias(f"{p}_{c}") for c in e.columns])
-    every = side("a").join(side("b"), (F.col("a_document_id") == F.col("b_document_id")) & (F.col("a_entity_id") < F.col("b_entity_id")))
-    f = duplicates.features(every, lexicon)
-    both = f.select("document_id", F.explode(F.array("a", "b")).alias("canonical_id"), "composite")
-    return both.groupBy("document_id", "canonical_id").agg(F.max("composite").alias("nearest"))
+    return nearest.nearest(e, lexicon).withColumnRenamed("entity_id", "canonical_id")
 
 
 def relevance(cents: DataFrame, chunks: DataFrame, attributes: DataFrame) -> DataFrame:
@@ -60,7 +55,9 @@ def decide(cents: DataFrame, chunks: DataFrame, attributes: DataFrame, lexicon:
     """
     spark, key = cents.sparkSession, ["document_id", "canonical_id"]
     look = lexicon.entity_lookup(spark).select(F.col("key").alias("_k"), F.col("layer").alias("_layer"))
-    rows = cents.withColumn("_k", norm(F.col("canonical_name"))).join(F.broadcast(look), "_k", "left").drop("_k")
+    # only what the scores need goes through the joins
+    slim = cents.select(*key, "canonical_name", "entity_type", "layer", "confidence", "origins", F.coalesce(F.size("source_attributes"), F.lit(0)).alias("_attributes"), F.coalesce(F.size("supporting_evidence"), F.lit(0)).alias("_evidence"))
+    rows = slim.withColumn("_k", norm(F.col("canonical_name"))).join(F.broadcast(look), "_k", "left").drop("_k")
     rows = rows.join(closest(cents, lexicon), key, "left").join(relevance(cents, chunks, attributes), key, "left").join(grounding(cents, chunks), key, "left")
     words = F.filter(F.split("canonical_name", r"\s+"), lambda w: w != "")
     generic = F.size(F.filter(words, lambda w: F.lower(w).isin(*lexicon.generic)))
@@ -68,7 +65,7 @@ def decide(cents: DataFrame, chunks: DataFrame, attributes: DataFrame, lexicon:
     base = 1.0 - F.least(F.lit(1.0), generic * 0.5)
     base = F.least(F.lit(1.0), base + F.when(F.size(words) >= 2, 0.1).otherwise(0.0))
     base = F.least(F.lit(1.0), base + F.when((F.upper(solid) == solid) & solid.rlike(r"\p{L}") & (F.length(name) <= 6), 0.1).otherwise(0.0))
-    n_attrs = F.coalesce(F.size("source_attributes"), F.lit(0))
+    n_attrs = F.col("_attributes")
     business = F.lower("canonical_name").isin(*[b.lower() for b in lexicon.business])
     same = F.count(F.lit(1)).over(Window.partitionBy("document_id", F.lower("canonical_name"))) - 1
     scores = {
@@ -76,7 +73,7 @@ def decide(cents: DataFrame, chunks: DataFrame, attributes: DataFrame, lexicon:
         "uniqueness": F.greatest(F.lit(0.0), 1.0 - F.coalesce("nearest", F.lit(0.0))),
         "real_world_correspondence": F.when(F.col("_layer").isNotNull() | business, 1.0).when(n_attrs >= 2, 0.7).when((F.size("origins") == 1) & F.array_contains("origins", "llm"), 0.4).otherwise(0.5),
         "contextual_relevance": F.coalesce("relevance", F.lit(0.0)),
-        "completeness": ((F.coalesce((F.col("entity_type") != "") & (F.col("entity_type") != "Object"), F.lit(False))).cast("int") + F.coalesce(F.col("layer") != "Other", F.lit(False)).cast("int") + (n_attrs >= 1).cast("int") + (F.coalesce(F.size("supporting_evidence"), F.lit(0)) >= 1).cast("int")) / 4.0,
+        "completeness": ((F.coalesce((F.col("entity_type") != "") & (F.col("entity_type") != "Object"), F.lit(False))).cast("int") + F.coalesce(F.col("layer") != "Other", F.lit(False)).cast("int") + (n_attrs >= 1).cast("int") + (F.col("_evidence") >= 1).cast("int")) / 4.0,
         "source_grounding": F.coalesce("grounding", F.lit(0.0)),
         "entity_type_correctness": F.when(F.col("_layer").isNull(), 0.5).when(F.col("_layer") == F.col("layer"), 1.0).otherwise(0.0),
         "disambiguation_potential": F.when(same == 0, F.when(n_attrs >= 1, 1.0).otherwise(0.6)).otherwise(F.greatest(F.lit(0.0), 1.0 - same * 0.3)),
@@ -99,16 +96,16 @@ def review_items(decisions: DataFrame) -> DataFrame:
     return decisions.filter("validation_status = 'REVIEW'").select("document_id", content_id("hri-", F.lit("entity_review"), F.col("canonical_id")).alias("item_id"), F.lit("entity_review").alias("kind"), F.array("canonical_id").alias("ref_ids"), F.col("overall_score").alias("score"), "reason")
 
 
-def given_canonicals(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame, Lexicon]:
-    """Canonical entities made of the given entities, with chunks, attributes and lexicon."""
+def given_canonicals(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, Lexicon]:
+    """The given entities, canonical entities made of them, chunks, attributes and lexicon."""
     _, chunks, lexicon = corpus(spark, root)
     e = checkpointed(duplicates.given_entities(spark, root))
-    cents = checkpointed(duplicates.canonical_entities(e, duplicates.groups(e, duplicates.duplicate_pairs(e, lexicon))))
-    return cents, chunks, entities.given_attributes(spark, root)[0], lexicon
+    cents = checkpointed(duplicates.canonical_entities(e, duplicates.groups(e, checkpointed(duplicates.duplicate_pairs(e, lexicon).select("document_id", "a", "b", "classification")))))
+    return e, cents, checkpointed(chunks.select("document_id", "chunk_id", "heading_path", "source_text")), entities.given_attributes(spark, root)[0], lexicon
 
 
 def q_quality(spark: SparkSession, root: str) -> DataFrame:
-    cents, chunks, attributes, lexicon = given_canonicals(spark, root)
+    _, cents, chunks, attributes, lexicon = given_canonicals(spark, root)
     d = decide(cents, chunks, attributes, lexicon)
     return d.select("document_id", "canonical_id", *[F.round(c, 9).alias(c) for c in CRITERIA], F.round("overall_score", 9).alias("overall_score"), "validation_status", F.array_join("issues", ",").alias("issues"))
 
@@ -141,7 +138,7 @@ qd as (select *, case when source_grounding = 0 then 'REJECT' when round(overall
 
 
 def q_quality_reviews(spark: SparkSession, root: str) -> DataFrame:
-    cents, chunks, attributes, lexicon = given_canonicals(spark, root)
+    _, cents, chunks, attributes, lexicon = given_canonicals(spark, root)
     r = review_items(decide(cents, chunks, attributes, lexicon))
     return r.select("document_id", "item_id", "kind", F.array_join("ref_ids", "|").alias("refs"), F.round("score", 9).alias("score"))
 
