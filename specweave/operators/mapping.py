@@ -94,15 +94,15 @@ def rejections(rows: DataFrame) -> DataFrame:
     return rows.filter("rejection is not null").groupBy("rejection").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _given(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame, Lexicon]:
+def _given(spark: SparkSession, root: str, evidence: bool = True) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame, Lexicon]:
     """Attributes, entities, canonical entities, decisions, chunks and lexicon."""
     e, cents, chunks, attributes, lexicon = quality.given_canonicals(spark, root)
-    attributes = checkpointed(attributes.select("document_id", "attribute_id", "display_name", "attribute_name", "source_chunk", "source_text", "binding", "confidence", "evidence"))
+    attributes = checkpointed(attributes.select("document_id", "attribute_id", "display_name", "attribute_name", "source_chunk", "source_text", "binding", "confidence", *["evidence"] * evidence))
     return attributes, e, cents, checkpointed(quality.decide(cents, chunks, attributes, lexicon)), chunks, lexicon
 
 
 def _given_targets(spark: SparkSession, root: str) -> DataFrame:
-    attributes, e, cents, decisions, _, lexicon = _given(spark, root)
+    attributes, e, cents, decisions, _, lexicon = _given(spark, root, evidence=False)
     return targets(attributes, e, cents, decisions, lexicon)
 
 
