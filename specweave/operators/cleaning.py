@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from specweave.functions.running import running_last
 from specweave.functions.text import UI, U, strip
-from specweave.session import table
+from specweave.session import checkpointed, table
 from specweave.sources.lexicons import Lexicon
 
 #: A page with fewer characters needs OCR; a PDF does if more than this share of its pages do.
 MIN_PAGE_CHARS = 20
 OCR_PAGE_RATIO = 0.5
+#: Rows that are broadcast at most.
+FEW = 2_000_000
 
 
 def dehyphenate(text: Column) -> Column:
@@ -48,6 +50,19 @@ def delivered_once(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(first.select("record_id"), "record_id", "left_semi")
 
 
+def delivered_once_in_place(rows: DataFrame, keys: list[str], few: int = FEW) -> DataFrame:
+    """``delivered_once`` for wide rows: only ids are moved to find the rows to leave out.  These are broadcast up to ``few``
+    of them; if there are more, the rows are joined with them as they are."""
+    first = rows.groupBy(*keys).agg(F.min("record_id").alias("record_id"))
+    again = checkpointed(rows.select("record_id").filter("record_id is not null").join(first.select("record_id"), "record_id", "left_anti"))
+    return rows.filter("record_id is not null").join(few_broadcast(again, few), "record_id", "left_anti")
+
+
+def few_broadcast(rows: DataFrame, few: int = FEW) -> DataFrame:
+    """A written table, to be broadcast if it has ``few`` rows at most."""
+    return F.broadcast(rows) if rows.count() <= few else rows
+
+
 def repeated_edges(blocks: DataFrame) -> DataFrame:
     """(document_id, text) of texts that begin, or that end, two or more pages of a document."""
     b = blocks.select("document_id", "page", "ord", strip(F.col("text")).alias("text")).filter("text <> ''")

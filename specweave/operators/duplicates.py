@@ -229,9 +229,9 @@ def review_items(found: DataFrame) -> DataFrame:
     )
 
 
-def given_entities(spark: SparkSession, root: str) -> DataFrame:
+def given_entities(spark: SparkSession, root: str, once=delivered_once) -> DataFrame:
     """Entities of the given table (first deliveries) that have a name; without a normal name the name in lower case."""
-    e = delivered_once(table(spark, root, "entities"), ["document_id", "entity_id"]).filter(strip(F.col("entity_name")) != "")
+    e = once(table(spark, root, "entities"), ["document_id", "entity_id"]).filter(strip(F.col("entity_name")) != "")
     normal = strip(F.col("normalized_entity_name"))
     return e.withColumn("normalized_entity_name", F.coalesce(F.when(normal != "", normal), F.lower(strip(F.col("entity_name")))))
 

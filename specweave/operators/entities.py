@@ -98,9 +98,9 @@ def problems(entities: DataFrame, chunks: DataFrame) -> DataFrame:
     return empty.unionByName(lost.select("document_id", "entity_id", F.lit("evidence not in chunk").alias("problem")).distinct())
 
 
-def given_attributes(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+def given_attributes(spark: SparkSession, root: str, once=delivered_once) -> tuple[DataFrame, DataFrame]:
     """Kept and discarded attributes of the given table (first deliveries), with their document's id."""
-    a = delivered_once(table(spark, root, "attributes"), ["attribute_id"]).withColumn("document_id", F.col("source_document"))
+    a = once(table(spark, root, "attributes"), ["attribute_id"]).withColumn("document_id", F.col("source_document"))
     discarded = F.coalesce(F.col("score.route") == "discard", F.lit(False))
     return a.filter(~discarded), a.filter(discarded)
 

@@ -5,15 +5,16 @@ Defined results: entities without evidence are rejected; chunks that don't exist
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from specweave.functions.keys import content_id
 from specweave.functions.numbers import clamp, precise_sum
 from specweave.functions.text import norm
 from specweave.operators import duplicates, entities, nearest
-from specweave.operators.candidates import LEXICON_SQL, ONCE_SQL, corpus
-from specweave.session import checkpointed
+from specweave.operators.candidates import LEXICON_SQL, ONCE_SQL
+from specweave.operators.cleaning import delivered_once_in_place, few_broadcast
+from specweave.session import checkpointed, table
 from specweave.sources.lexicons import Lexicon
 
 #: Criteria in order, their weight, thresholds.
@@ -22,43 +23,55 @@ WEIGHT, ACCEPT, REVIEW = 0.125, 0.75, 0.50
 
 
 def closest(cents: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """document_id, canonical_id, nearest: the highest composite of each entity with any other of its document."""
-    e = cents.select("document_id", F.col("canonical_id").alias("entity_id"), F.col("canonical_name").alias("entity_name"), F.col("normalized_name").alias("normalized_entity_name"), "entity_type", "source_chunks", "source_attributes", "supporting_evidence")
-    return nearest.nearest(e, lexicon).withColumnRenamed("entity_id", "canonical_id")
+    """number, nearest: the highest composite of each entity with any other of its document."""
+    e = cents.select("document_id", F.col("number").cast("string").alias("entity_id"), F.col("canonical_name").alias("entity_name"), F.col("normalized_name").alias("normalized_entity_name"), "entity_type", "source_chunks", "source_attributes", "supporting_evidence")
+    return nearest.nearest(e, lexicon).select(F.col("entity_id").cast("bigint").alias("number"), "nearest")
 
 
-def relevance(cents: DataFrame, chunks: DataFrame, attributes: DataFrame) -> DataFrame:
-    """document_id, canonical_id, relevance: share of source chunks whose headings name the entity or its attributes."""
-    key = ["document_id", "canonical_id"]
-    names = attributes.select("document_id", "attribute_id", F.array(F.lower("display_name"), F.lower("attribute_name")).alias("terms"))
-    own = cents.select(*key, F.explode("source_attributes").alias("attribute_id")).join(names, ["document_id", "attribute_id"]).groupBy(*key).agg(F.flatten(F.collect_list("terms")).alias("more"))
+def headings(cents: DataFrame, chunks: DataFrame) -> DataFrame:
+    """number, heads: the headings of each source chunk of an entity, in one text a chunk."""
     heads = chunks.select("document_id", F.col("chunk_id").alias("c"), F.lower(F.array_join("heading_path", " ")).alias("heads"))
-    at = cents.select(*key, F.array(F.lower("canonical_name"), F.lower("normalized_name")).alias("base"), F.explode("source_chunks").alias("c")).join(heads, ["document_id", "c"], "left").join(own, key, "left")
-    terms = F.filter(F.concat("base", F.coalesce("more", F.array().cast("array<string>"))), lambda t: t != "")
-    hit = F.exists(terms, lambda t: F.contains(F.coalesce("heads", F.lit("")), t))
-    return at.groupBy(*key).agg(F.avg(hit.cast("double")).alias("relevance"))
+    at = cents.select("document_id", "number", F.explode("source_chunks").alias("c")).join(heads, ["document_id", "c"], "left")
+    return at.groupBy("number").agg(F.collect_list(F.coalesce("heads", F.lit(""))).alias("heads"))
+
+
+def attribute_terms(cents: DataFrame, attributes: DataFrame) -> DataFrame:
+    """number, more: the names of each entity's attributes in lower case."""
+    names = attributes.select("document_id", "attribute_id", F.array(F.lower("display_name"), F.lower("attribute_name")).alias("terms"))
+    own = cents.select("document_id", "number", F.explode("source_attributes").alias("attribute_id")).join(names, ["document_id", "attribute_id"])
+    return own.groupBy("number").agg(F.flatten(F.collect_list("terms")).alias("more"))
+
+
+def relevance() -> Column:
+    """Share of source chunks whose headings name the entity or its attributes."""
+    terms = F.filter(F.concat(F.array(F.lower("canonical_name"), F.lower("normalized_name")), F.coalesce("more", F.array().cast("array<string>"))), lambda t: t != "")
+    # the array of one keeps the terms from being made again for every heading
+    hits = F.transform(F.array(terms), lambda own: F.size(F.filter("heads", lambda h: F.exists(own, lambda t: F.contains(h, t)))))[0]
+    return F.when(F.col("heads").isNotNull(), hits / F.size("heads")).otherwise(0.0)
 
 
 def grounding(cents: DataFrame, chunks: DataFrame) -> DataFrame:
-    """document_id, canonical_id, grounding: share of the evidence that stands in its chunk."""
-    key = ["document_id", "canonical_id"]
-    ev = cents.select(*key, F.explode("supporting_evidence").alias("e")).select(*key, F.col("e.chunk_id").alias("chunk_id"), F.col("e.text").alias("words"))
+    """number, grounding: share of the evidence that stands in its chunk."""
+    ev = cents.select("document_id", "number", F.explode("supporting_evidence").alias("e")).select("document_id", "number", F.col("e.chunk_id").alias("chunk_id"), F.col("e.text").alias("words"))
     held = ev.join(chunks.select("document_id", "chunk_id", "source_text"), ["document_id", "chunk_id"], "left")
-    return held.groupBy(*key).agg(F.avg(F.coalesce(F.contains("source_text", F.col("words")), F.lit(False)).cast("double")).alias("grounding"))
+    return held.groupBy("number").agg(F.avg(F.coalesce(F.contains("source_text", F.col("words")), F.lit(False)).cast("double")).alias("grounding"))
 
 
 def decide(cents: DataFrame, chunks: DataFrame, attributes: DataFrame, lexicon: Lexicon = Lexicon(), adjustments: DataFrame | None = None) -> DataFrame:
     """document_id, canonical_id, the eight scores, overall_score, confidence, validation_status, issues, reason.
 
     ``adjustments`` (document_id, canonical_id, specificity_delta, real_world_delta) may come from a model; each delta is
-    held within 0.2.
+    held within 0.2.  Entities are joined by a short ``number``, which they get here if they have none.
     """
+    cents = cents if "number" in cents.columns else checkpointed(cents.withColumn("number", F.monotonically_increasing_id()))
     spark, key = cents.sparkSession, ["document_id", "canonical_id"]
     look = lexicon.entity_lookup(spark).select(F.col("key").alias("_k"), F.col("layer").alias("_layer"))
     # only what the scores need goes through the joins
-    slim = cents.select(*key, "canonical_name", "entity_type", "layer", "confidence", "origins", F.coalesce(F.size("source_attributes"), F.lit(0)).alias("_attributes"), F.coalesce(F.size("supporting_evidence"), F.lit(0)).alias("_evidence"))
+    slim = cents.select("number", *key, "canonical_name", "normalized_name", "entity_type", "layer", "confidence", "origins", F.coalesce(F.size("source_attributes"), F.lit(0)).alias("_attributes"), F.coalesce(F.size("supporting_evidence"), F.lit(0)).alias("_evidence"))
     rows = slim.withColumn("_k", norm(F.col("canonical_name"))).join(F.broadcast(look), "_k", "left").drop("_k")
-    rows = rows.join(closest(cents, lexicon), key, "left").join(relevance(cents, chunks, attributes), key, "left").join(grounding(cents, chunks), key, "left")
+    for found in (closest(cents, lexicon), grounding(cents, chunks), attribute_terms(cents, attributes), headings(cents, chunks)):
+        rows = rows.join(found, "number", "left")
+    rows = rows.withColumn("relevance", relevance())
     words = F.filter(F.split("canonical_name", r"\s+"), lambda w: w != "")
     generic = F.size(F.filter(words, lambda w: F.lower(w).isin(*lexicon.generic)))
     name, solid = F.col("canonical_name"), F.replace("canonical_name", F.lit(" "), F.lit(""))
@@ -72,7 +85,7 @@ def decide(cents: DataFrame, chunks: DataFrame, attributes: DataFrame, lexicon:
         "specificity": clamp(base),
         "uniqueness": F.greatest(F.lit(0.0), 1.0 - F.coalesce("nearest", F.lit(0.0))),
         "real_world_correspondence": F.when(F.col("_layer").isNotNull() | business, 1.0).when(n_attrs >= 2, 0.7).when((F.size("origins") == 1) & F.array_contains("origins", "llm"), 0.4).otherwise(0.5),
-        "contextual_relevance": F.coalesce("relevance", F.lit(0.0)),
+        "contextual_relevance": F.col("relevance"),
         "completeness": ((F.coalesce((F.col("entity_type") != "") & (F.col("entity_type") != "Object"), F.lit(False))).cast("int") + F.coalesce(F.col("layer") != "Other", F.lit(False)).cast("int") + (n_attrs >= 1).cast("int") + (F.col("_evidence") >= 1).cast("int")) / 4.0,
         "source_grounding": F.coalesce("grounding", F.lit(0.0)),
         "entity_type_correctness": F.when(F.col("_layer").isNull(), 0.5).when(F.col("_layer") == F.col("layer"), 1.0).otherwise(0.0),
@@ -98,10 +111,12 @@ def review_items(decisions: DataFrame) -> DataFrame:
 
 def given_canonicals(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, Lexicon]:
     """The given entities, canonical entities made of them, chunks, attributes and lexicon."""
-    _, chunks, lexicon = corpus(spark, root)
-    e = checkpointed(duplicates.given_entities(spark, root))
-    cents = checkpointed(duplicates.canonical_entities(e, duplicates.groups(e, checkpointed(duplicates.duplicate_pairs(e, lexicon).select("document_id", "a", "b", "classification")))))
-    return e, cents, checkpointed(chunks.select("document_id", "chunk_id", "heading_path", "source_text")), entities.given_attributes(spark, root)[0], lexicon
+    lexicon = Lexicon.from_table(table(spark, root, "known_entities"))
+    chunks = delivered_once_in_place(table(spark, root, "chunks"), ["document_id", "chunk_id"])
+    e = duplicates.given_entities(spark, root, delivered_once_in_place)
+    grouped = duplicates.groups(e, checkpointed(duplicates.duplicate_pairs(e, lexicon).select("document_id", "a", "b", "classification")))
+    cents = checkpointed(duplicates.canonical_entities(e, few_broadcast(grouped, 500_000)).withColumn("number", F.monotonically_increasing_id()))
+    return e, cents, chunks, entities.given_attributes(spark, root, delivered_once_in_place)[0], lexicon
 
 
 def q_quality(spark: SparkSession, root: str) -> DataFrame:
