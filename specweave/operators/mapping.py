@@ -22,28 +22,29 @@ CONSTRAINT = r"\b(SHALL|MUST|SHOULD|REQUIRED)\b"
 OWNING = ("table_subject", "nearest_heading", "syntactic")
 
 
-def _known(entities: DataFrame, cents: DataFrame, decisions: DataFrame) -> DataFrame:
-    """document_id, _name: the entity of each name (case aside) with its group and the group's decision."""
-    named = entities.groupBy("document_id", F.lower("entity_name").alias("_name")).agg(F.min("entity_id").alias("_entity"), F.min_by("entity_name", "entity_id").alias("_entity_name")).filter("_entity is not null")
+def _known(asked: DataFrame, entities: DataFrame, cents: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Of each asked name (document_id, _name, _name2) the entity that has it (case aside), else the one that has the lexicon's
+    name for it, with its group and the group's decision."""
+    named = entities.groupBy("document_id", F.lower("entity_name").alias("_key")).agg(F.min("entity_id").alias("_entity"), F.min_by("entity_name", "entity_id").alias("_entity_name")).filter("_entity is not null")
+    tries = asked.select("document_id", "_name", "_name2", F.posexplode(F.array("_name", "_name2")).alias("_try", "_key"))
+    found = tries.join(named, ["document_id", "_key"]).groupBy("document_id", "_name", "_name2").agg(F.min_by(F.struct("_entity", "_entity_name"), "_try").alias("_f"))
     status = decisions.select("document_id", "canonical_id", "validation_status", "overall_score")
     member = cents.select("document_id", F.explode("member_ids").alias("_entity"), "canonical_id", F.col("source_chunks").alias("_chunks"))
-    return named.join(member, ["document_id", "_entity"], "left").join(status, ["document_id", "canonical_id"], "left")
+    return found.select("document_id", "_name", "_name2", "_f.*").join(member, ["document_id", "_entity"], "left").join(status, ["document_id", "canonical_id"], "left")
 
 
 def targets(attributes: DataFrame, entities: DataFrame, cents: DataFrame, decisions: DataFrame, lexicon: Lexicon = Lexicon(), include_review: bool = False) -> DataFrame:
     """Every attribute with its target and ``rejection`` (null: mapped); texts that aren't needed for that are left out."""
     spark, bound = attributes.sparkSession, F.col("binding.entity_name")
-    names = checkpointed(_known(entities, cents, decisions))
-    found = [c for c in names.columns if c not in ("document_id", "_name")]
     canonical = lexicon.entity_lookup(spark).select(F.col("key").alias("_k"), F.lower("name").alias("_name2"))
     relation = relationship(F.col("binding.evidence"), F.col("source_text"), F.col("binding.scope"))
     rows = attributes.select(
         "document_id", "attribute_id", "source_chunk", F.lower(bound).alias("_name"), norm(bound).alias("_k"), F.col("binding.evidence").alias("said"), (F.col("binding.confidence") * F.col("confidence")).alias("_sure"), relation.alias("relationship_type")
     )
-    a = rows.join(F.broadcast(canonical), "_k", "left").drop("_k").join(names, ["document_id", "_name"], "left")
-    other = F.col("_entity").isNull() & F.col("_name2").isNotNull()  # not known by its own name, but by the lexicon's
-    second = a.filter(other).drop(*found).join(names.withColumnRenamed("_name", "_name2"), ["document_id", "_name2"], "left")
-    a = a.filter(~other).unionByName(second)
+    a = rows.join(F.broadcast(canonical), "_k", "left").drop("_k")
+    names = _known(a.select("document_id", "_name", "_name2").filter("_name is not null").distinct(), entities, cents, decisions)
+    names = names.withColumnsRenamed({"document_id": "_d", "_name": "_n", "_name2": "_n2"})
+    a = a.join(names, (F.col("document_id") == F.col("_d")) & (F.col("_name") == F.col("_n")) & F.col("_name2").eqNullSafe(F.col("_n2")), "left").drop("_d", "_n", "_n2")
     eligible = F.col("validation_status").isin(*(["ACCEPT", "REVIEW"] if include_review else ["ACCEPT"]))
     score = F.col("_sure") * F.col("overall_score")
     together = F.coalesce(F.array_contains("_chunks", F.col("source_chunk")), F.lit(False)) | F.coalesce((F.col("said") != "") & F.contains(F.lower("said"), F.lower("_entity_name")), F.lit(False))
@@ -94,15 +95,15 @@ def rejections(rows: DataFrame) -> DataFrame:
     return rows.filter("rejection is not null").groupBy("rejection").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _given(spark: SparkSession, root: str, evidence: bool = True) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame, Lexicon]:
+def _given(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame, Lexicon]:
     """Attributes, entities, canonical entities, decisions, chunks and lexicon."""
     e, cents, chunks, attributes, lexicon = quality.given_canonicals(spark, root)
-    attributes = checkpointed(attributes.select("document_id", "attribute_id", "display_name", "attribute_name", "source_chunk", "source_text", "binding", "confidence", *["evidence"] * evidence))
-    return attributes, e, cents, checkpointed(quality.decide(cents, chunks, attributes, lexicon)), chunks, lexicon
+    decisions = quality.decide(cents, chunks, attributes, lexicon).select("document_id", "canonical_id", "validation_status", "overall_score")
+    return attributes, e, cents, checkpointed(decisions), chunks, lexicon
 
 
 def _given_targets(spark: SparkSession, root: str) -> DataFrame:
-    attributes, e, cents, decisions, _, lexicon = _given(spark, root, evidence=False)
+    attributes, e, cents, decisions, _, lexicon = _given(spark, root)
     return targets(attributes, e, cents, decisions, lexicon)
 
 

@@ -1,4 +1,4 @@
-"""Quality of the given entities: rows with texts are moved where they are compared, and nowhere else."""
+"""Quality of the given entities and mapping of attributes: rows with texts are moved where they are compared, and nowhere else."""
 
 import __spark_entry__
 from specweave.operators.cleaning import delivered_once, delivered_once_in_place
@@ -32,3 +32,8 @@ def test_quality_reviews_writes_no_texts_of_chunks(spark, monkeypatch):
     kept, rows = kept_columns(monkeypatch, "quality_reviews", spark)
     assert rows and not any("source_text" in columns for columns in kept)
     assert sum("supporting_evidence" in columns for columns in kept) == 1  # the canonical entities
+
+
+def test_unmapped_attributes_writes_no_attributes(spark, monkeypatch):
+    kept, rows = kept_columns(monkeypatch, "unmapped_attributes", spark)
+    assert rows and not any({"source_text", "binding", "_entity_name"} & columns for columns in kept)
